@@ -17,12 +17,18 @@ def last_not_null(field: str, *order: str) -> Column:
     return F.max_by(F.col(field), place).cast("double")
 
 
-def last_values(rows: DataFrame, panel: str, fields: list[str], order: list[str]) -> DataFrame:
-    """(panel, field, value): the last non-null value of each field."""
-    last = rows.agg(*(last_not_null(f, *order).alias(f) for f in fields))
-    return last.unpivot([], fields, "field", "value").select(
-        F.lit(panel).alias("panel"), "field", "value"
-    )
+def last_values(rows: DataFrame, fields: list[tuple[str, str]], order: list[str]) -> DataFrame:
+    """(panel, field, value): the last non-null value of each (panel, field)."""
+    return rows.agg(
+        F.array(*(
+            F.struct(
+                F.lit(panel).alias("panel"),
+                F.lit(field).alias("field"),
+                last_not_null(field, *order).alias("value"),
+            )
+            for panel, field in fields
+        )).alias("figures")
+    ).select(F.inline("figures"))
 
 
 def legend_figures(series: DataFrame, measure: str, order: str) -> DataFrame:

@@ -13,7 +13,6 @@ WITH keyed AS (
          (['Grocery','Electronics','Travel','Clothing','Restaurants','Fuel'])
            [(o_orderkey // 32) % 6 + 1] AS merchant,
          o_orderdate AS "timestamp",
-         o_orderpriority,
          ((o_orderkey * 1103515245 + 12345) % 2147483648) / 2147483648.0::DOUBLE AS u,
          ((o_orderkey * 22695477 + 1) % 4294967296) / 4294967296.0::DOUBLE AS u2,
          ((o_orderkey * 1597334677 + 7) % 4294967296) / 4294967296.0::DOUBLE AS u3
@@ -103,11 +102,12 @@ SELECT "transactionId" AS message_key, 'garbage' AS raw, 'unreadable message' AS
 FROM tx WHERE o_orderkey % 100 = 0
 """,
     "quarantine_causes": """
-SELECT CASE o_orderpriority
-         WHEN '1-URGENT' THEN 'unreadable message'
-         WHEN '2-HIGH' THEN 'empty message'
-         WHEN '3-MEDIUM' THEN 'no user'
-         WHEN '4-NOT SPECIFIED' THEN 'amount has no log'
+SELECT CASE merchant
+         WHEN 'Electronics' THEN 'unreadable message'
+         WHEN 'Travel' THEN 'empty message'
+         WHEN 'Clothing' THEN 'no user'
+         WHEN 'Restaurants' THEN 'no amount'
+         WHEN 'Fuel' THEN 'amount has no log'
          ELSE 'accepted' END AS cause,
        count(*) AS "count"
 FROM tx GROUP BY 1

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from txrisk import schema
 from txrisk.functions.risk import drawn_label, reason_codes, risk_score
@@ -79,22 +79,20 @@ def quarantine(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def quarantine_causes(spark: SparkSession, folder: str) -> DataFrame:
-    """A different fault for each order priority, counted by the cause it is rejected for."""
-    orders = source.read_orders(spark, folder)
-    messages = envelope.to_envelope(source.transactions(orders))
-    faults = orders.select(
-        source.transaction_id(F.col("o_orderkey")).alias("key"), "o_orderpriority"
-    )
+    """A different fault for every merchant but one, counted by the cause it is rejected for."""
     text = F.col("value").cast("string")
-    damaged = messages.join(faults, "key").select(
-        "key",
-        F.when(F.col("o_orderpriority") == "1-URGENT", F.regexp_replace(text, r"\}$", ""))
-        .when(F.col("o_orderpriority") == "2-HIGH", F.lit(None))
-        .when(F.col("o_orderpriority") == "3-MEDIUM",
-              F.regexp_replace(text, r'"userId":\d+', '"userId":"abc"'))
-        .when(F.col("o_orderpriority") == "4-NOT SPECIFIED",
-              F.regexp_replace(text, r'"amount":[^,]+', '"amount":-1.0'))
-        .otherwise(text).cast("binary").alias("value"),
+
+    def sold_by(merchant: str) -> Column:
+        return text.contains(f'"merchant":"{merchant}"')
+
+    damaged = envelope.to_envelope(_transactions(spark, folder)).withColumn(
+        "value",
+        F.when(sold_by("Electronics"), F.regexp_replace(text, r"\}$", ""))
+        .when(sold_by("Travel"), F.lit(None))
+        .when(sold_by("Clothing"), F.regexp_replace(text, r'"userId":\d+', '"userId":"abc"'))
+        .when(sold_by("Restaurants"), F.regexp_replace(text, r'"amount":[^,]+,', ""))
+        .when(sold_by("Fuel"), F.regexp_replace(text, r'"amount":[^,]+', '"amount":-1.0'))
+        .otherwise(text).cast("binary"),
     )
     return (
         envelope.checked(damaged)

@@ -7,8 +7,6 @@ table is read once.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from txrisk import values as V
@@ -121,15 +119,21 @@ def last_not_null(predictions: DataFrame, rows: DataFrame | None = None) -> Data
     other two. ``rows`` may be the summary.
     """
     rows = predictions if rows is None else rows
-    panels = [
-        last_values(user_top3(predictions), "user_top3", ["userId", "amount", "fraud_rank"],
-                    ["userId", "fraud_rank", "transactionId"]),
-        last_values(prediction_counts(rows), "prediction_counts",
-                    ["prediction", "total_transactions"], ["prediction"]),
-        last_values(average_amount(rows), "average_amount", ["prediction", "avg_amount"],
-                    ["prediction"]),
-    ]
-    return reduce(DataFrame.unionByName, panels)
+    ranked = last_values(
+        user_top3(predictions),
+        [("user_top3", "userId"), ("user_top3", "amount"), ("user_top3", "fraud_rank")],
+        ["userId", "fraud_rank", "transactionId"],
+    )
+    by_prediction = rows.groupBy("prediction").agg(
+        _row_count(rows).alias("total_transactions"), _amount_mean(rows).alias("avg_amount")
+    )
+    grouped = last_values(
+        by_prediction,
+        [("prediction_counts", "prediction"), ("prediction_counts", "total_transactions"),
+         ("average_amount", "prediction"), ("average_amount", "avg_amount")],
+        ["prediction"],
+    )
+    return ranked.unionByName(grouped)
 
 
 def merchant_legend(rows: DataFrame) -> DataFrame:

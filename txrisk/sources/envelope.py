@@ -23,13 +23,16 @@ def parse_envelope(messages: DataFrame) -> DataFrame:
 
     Nothing fails here: fields the text lacks are null, and text that is no readable object is also
     kept in ``_corrupt_record``. Fields the schema does not know, such as a label, are dropped.
+
+    The payload is flattened by a generator and not by a projection: a later filter on its fields
+    would be pushed through a projection, and every field it names would parse the text again.
     """
     options = {"columnNameOfCorruptRecord": schema.CORRUPT_COLUMN, "mode": "PERMISSIVE"}
-    return (
-        messages.selectExpr("CAST(key AS STRING) AS message_key", "CAST(value AS STRING) AS raw")
-        .select("message_key", "raw", F.from_json("raw", schema.MESSAGE, options).alias("data"))
-        .select("message_key", "raw", "data.*")
+    texts = messages.selectExpr(
+        "CAST(key AS STRING) AS message_key", "CAST(value AS STRING) AS raw"
     )
+    payload = F.from_json("raw", schema.MESSAGE, options)
+    return texts.select("message_key", "raw", F.inline(F.array(payload)))
 
 
 def reject_cause() -> Column:
