@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -11,20 +11,22 @@ from txrisk import values as V
 INDEX_SUFFIX = "_idx"
 NUMERIC_FEATURES = ("userId", "amount_log")
 
-# Fitting an index brings every distinct value to the driver. A tree model splits on few dozen
-# categories at most, so a column with more than this many is a mistake, found before the fit.
-MAX_CATEGORIES = 1000
+# An indexer keeps every distinct value of a column on the driver and in each task. A tree model splits
+# on a few dozen categories at most, so a column with more than this many is taken for a mistake. Spark
+# prunes a ranking before its shuffle for limits up to 1000 only.
+MAX_CATEGORIES = 500
 
 
 def feature_columns(categories: tuple[str, ...] = V.CATEGORIES) -> list[str]:
     return [*NUMERIC_FEATURES, *(c + INDEX_SUFFIX for c in categories)]
 
 
-def category_index(rows: DataFrame, categories: tuple[str, ...] = V.CATEGORIES) -> DataFrame:
+def category_index(rows: DataFrame, categories: tuple[str, ...] = V.CATEGORIES,
+                   limit: int = MAX_CATEGORIES) -> DataFrame:
     """(column, value, index): values by falling frequency, ties alphabetical, counted from 0.
 
-    The table the string indexer fits, as a DataFrame. Counting happens before the shuffle, and the
-    ranking only sees one row per distinct value.
+    Counting happens before the shuffle, so the ranking sees one row per distinct value, and no more
+    than ``limit + 1`` of them per column and task. A column with more than ``limit`` is an error.
     """
     pairs = F.explode(
         F.array(*(
@@ -38,30 +40,33 @@ def category_index(rows: DataFrame, categories: tuple[str, ...] = V.CATEGORIES)
         .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     )
     order = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("value"))
-    return counts.select(
-        "column", "value", (F.row_number().over(order) - 1).cast("double").alias("index")
+    ranked = counts.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= limit + 1)
+    too_many = F.raise_error(
+        F.concat(F.lit(f"more than {limit} distinct values to index in "), F.col("column"))
+    )
+    return ranked.select(
+        "column",
+        "value",
+        F.when(F.col("place") > limit, too_many.cast("double"))
+        .otherwise((F.col("place") - 1).cast("double")).alias("index"),
     )
 
 
-def check_categories(rows: DataFrame, categories: tuple[str, ...] = V.CATEGORIES,
-                     limit: int = MAX_CATEGORIES) -> None:
-    """Raises if a category column has about ``limit`` distinct values or more. One pass, one row."""
-    found = rows.agg(*(F.approx_count_distinct(c).alias(c) for c in categories)).first()
-    wide = {c: found[c] for c in categories if found[c] >= limit}
-    if wide:
-        raise ValueError(f"too many distinct values to index: {wide}")
-
+def fit_category_indexers(rows: DataFrame, categories: tuple[str, ...] = V.CATEGORIES,
+                          limit: int = MAX_CATEGORIES) -> list[StringIndexerModel]:
+    """One indexer per category column; unseen and null values share the index after the last.
 
-def fit_category_indexer(rows: DataFrame, categories: tuple[str, ...] = V.CATEGORIES,
-                         limit: int = MAX_CATEGORIES) -> StringIndexerModel:
-    """One indexer over all category columns; unseen and null values share the index after the last."""
-    check_categories(rows, categories, limit)
-    return StringIndexer(
-        inputCols=list(categories),
-        outputCols=[c + INDEX_SUFFIX for c in categories],
-        handleInvalid="keep",
-        stringOrderType="frequencyDesc",
-    ).fit(rows.select(*categories))
+    The labels are those a ``StringIndexer`` with ``frequencyDesc`` would learn, all from one bounded
+    pass. (A single model for several columns cannot be built from label lists of unequal length.)
+    """
+    table = category_index(rows, categories, limit).orderBy("index").collect()
+    return [
+        StringIndexerModel.from_labels(
+            [r["value"] for r in table if r["column"] == c],
+            inputCol=c, outputCol=c + INDEX_SUFFIX, handleInvalid="keep",
+        )
+        for c in categories
+    ]
 
 
 def assembler(categories: tuple[str, ...] = V.CATEGORIES) -> VectorAssembler:
@@ -71,8 +76,10 @@ def assembler(categories: tuple[str, ...] = V.CATEGORIES) -> VectorAssembler:
     )
 
 
-def with_features(rows: DataFrame, indexer: StringIndexerModel) -> DataFrame:
-    return assembler().transform(indexer.transform(rows))
+def with_features(rows: DataFrame, indexers: list[StringIndexerModel]) -> DataFrame:
+    for indexer in indexers:
+        rows = indexer.transform(rows)
+    return assembler().transform(rows)
 
 
 def feature_slots(rows: DataFrame) -> DataFrame:

@@ -9,11 +9,16 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from txrisk import values as V
-from txrisk.operators.features import NUMERIC_FEATURES, assembler, fit_category_indexer
+from txrisk.operators.features import (
+    INDEX_SUFFIX, NUMERIC_FEATURES, assembler, fit_category_indexers,
+)
 from txrisk.session import shared_dir
 
-# Columns the fitted pipeline adds. A row that already has one of them cannot be scored.
-SCORE_COLUMNS = ("features", "rawPrediction", "probability", "prediction")
+# Columns the fitted pipeline adds. Rows that already have one of them cannot be scored.
+SCORE_COLUMNS = (
+    *(c + INDEX_SUFFIX for c in V.CATEGORIES),
+    "features", "rawPrediction", "probability", "prediction",
+)
 
 TRAINING_COLUMNS = ("userId", "amount_log", *V.CATEGORIES, "label", "weight")
 
@@ -38,9 +43,9 @@ def trainable(rows: DataFrame) -> DataFrame:
     return rows.filter(whole)
 
 
-def fit(train: DataFrame, indexer: StringIndexerModel | None = None,
+def fit(train: DataFrame, indexers: list[StringIndexerModel] | None = None,
         max_iter: int = V.MAX_ITER, **params) -> PipelineModel:
-    """Fits indexer, assembler and classifier on labelled, weighted rows with ``amount_log``.
+    """Fits indexers, assembler and classifier on labelled, weighted rows with ``amount_log``.
 
     Boosting passes over the training rows once per tree level and keeps them as binned points, in
     the partitions they come in. The shared checkpoint folder cuts the lineage of the per-tree
@@ -48,9 +53,9 @@ def fit(train: DataFrame, indexer: StringIndexerModel | None = None,
     """
     shared_dir(train.sparkSession)
     rows = trainable(train).select(*TRAINING_COLUMNS)
-    if indexer is None:
-        indexer = fit_category_indexer(rows)
-    return Pipeline(stages=[indexer, assembler(), classifier(max_iter, **params)]).fit(rows)
+    if indexers is None:
+        indexers = fit_category_indexers(rows)
+    return Pipeline(stages=[*indexers, assembler(), classifier(max_iter, **params)]).fit(rows)
 
 
 def save(model: PipelineModel, path: str) -> None:

@@ -91,6 +91,9 @@ SELECT "transactionId", "userId", amount, location, device, merchant, "timestamp
 """,
     "json_roundtrip": """
 SELECT "transactionId", "userId", amount, location, device, merchant, "timestamp", label FROM tx
+""",
+    "json_inferred": """
+SELECT "transactionId", "userId", amount, location, device, merchant, "timestamp", label FROM tx
 """,
     "kafka_envelope": """
 SELECT "transactionId" AS message_key, "transactionId", "userId", amount, location, device,

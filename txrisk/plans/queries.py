@@ -64,6 +64,13 @@ def json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return read_json(spark, path)
 
 
+def json_inferred(spark: SparkSession, folder: str) -> DataFrame:
+    path = work_dir(spark, "json")
+    write_json(_transactions(spark, folder), path)
+    rows = read_json(spark, path, infer=True)
+    return rows.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+
+
 def kafka_envelope(spark: SparkSession, folder: str) -> DataFrame:
     parsed = envelope.parse_envelope(envelope.to_envelope(_transactions(spark, folder)))
     return parsed.select("message_key", *schema.TRANSACTION.names)
@@ -156,7 +163,7 @@ def category_index(spark: SparkSession, folder: str) -> DataFrame:
 def feature_vector(spark: SparkSession, folder: str) -> DataFrame:
     rows = with_log_amount(_transactions(spark, folder))
     slots = features.feature_slots(
-        features.with_features(rows, features.fit_category_indexer(rows))
+        features.with_features(rows, features.fit_category_indexers(rows))
     )
     return _rounded(slots, AMOUNT_PLACES, "f_amount_log")
 
@@ -263,6 +270,7 @@ def stream_gbt_score(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "transactions": transactions,
     "json_roundtrip": json_roundtrip,
+    "json_inferred": json_inferred,
     "kafka_envelope": kafka_envelope,
     "quarantine": quarantine,
     "quarantine_causes": quarantine_causes,

@@ -112,15 +112,17 @@ def location_share(rows: DataFrame) -> DataFrame:
     return with_share(counts, "fraud_count")
 
 
-def last_not_null(predictions: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+def last_not_null(predictions: DataFrame, rows: DataFrame | None = None,
+                  ranked: DataFrame | None = None) -> DataFrame:
     """The figures of the three panels that show the last value of each numeric field.
 
     Last means last by key: user, rank and transaction for the top three, the prediction for the
-    other two. ``rows`` may be the summary.
+    other two. ``rows`` may be the summary, ``ranked`` the top-three report if it is at hand.
     """
     rows = predictions if rows is None else rows
-    ranked = last_values(
-        user_top3(predictions),
+    ranked = user_top3(predictions) if ranked is None else ranked
+    leaders = last_values(
+        ranked,
         [("user_top3", "userId"), ("user_top3", "amount"), ("user_top3", "fraud_rank")],
         ["userId", "fraud_rank", "transactionId"],
     )
@@ -133,7 +135,7 @@ def last_not_null(predictions: DataFrame, rows: DataFrame | None = None) -> Data
          ("average_amount", "prediction"), ("average_amount", "avg_amount")],
         ["prediction"],
     )
-    return ranked.unionByName(grouped)
+    return leaders.unionByName(grouped)
 
 
 def merchant_legend(rows: DataFrame) -> DataFrame:
@@ -165,13 +167,16 @@ ROW_REPORTS = {
 def write_all(predictions: DataFrame, folder: str) -> None:
     """Writes every report below ``folder``.
 
-    The grouped reports read the written summary, so together they scan the predictions once.
+    The grouped reports read the written summary, so together they scan the predictions once, and the
+    last values read the written ranking.
     """
     spark = predictions.sparkSession
     summary(predictions).write.mode("overwrite").parquet(f"{folder}/summary")
     rows = spark.read.parquet(f"{folder}/summary")
     frames = {name: report(rows) for name, report in SUMMARY_REPORTS.items()}
     frames |= {name: report(predictions) for name, report in ROW_REPORTS.items()}
-    frames["last_not_null"] = last_not_null(predictions, rows)
     for name, frame in frames.items():
         frame.write.mode("overwrite").parquet(f"{folder}/{name}")
+    ranked = spark.read.parquet(f"{folder}/user_top3")
+    last = last_not_null(predictions, rows, ranked)
+    last.write.mode("overwrite").parquet(f"{folder}/last_not_null")

@@ -14,12 +14,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from txrisk import values as V
 from txrisk.operators import model as classifier
 from txrisk.operators.classes import class_counts, with_split
-from txrisk.operators.features import fit_category_indexer
+from txrisk.operators.features import fit_category_indexers
 from txrisk.operators.metrics import classification_metrics, score_auroc
 from txrisk.operators.predictions import with_log_amount
 from txrisk.session import get_spark, work_dir
 from txrisk.sources.files import read_json
 
+ROWS_PER_TASK = 10_000
+
 STAGED_COLUMNS = ("transactionId", "userId", "amount", "amount_log", *V.CATEGORIES, "label", "split")
 
 
@@ -30,30 +32,35 @@ class Trained:
     test: DataFrame
 
 
-def stage(labelled: DataFrame, draw: Column | None = None) -> DataFrame:
+def stage(labelled: DataFrame, draw: Column | None = None, folder: str | None = None) -> DataFrame:
     """Writes the prepared rows once, one folder per side of the split, and reads them back.
 
-    Everything after this is several passes over a few columns: they run on a columnar table in the
-    shared folder, not on re-parsed input, and a lost executor re-reads its part of it. Rows the
-    classifier cannot take are left out here.
+    Everything after this is several passes over a few columns: they run on a columnar table in
+    shared storage, not on re-parsed input, and a lost executor re-reads its part of it. Rows the
+    classifier cannot take are left out here. ``folder`` is overwritten; by default each call gets a
+    new one below the checkpoint folder.
     """
     spark = labelled.sparkSession
-    path = work_dir(spark, "training")
+    path = folder or work_dir(spark, "training")
     rows = classifier.trainable(with_split(with_log_amount(labelled), draw))
-    rows.select(*STAGED_COLUMNS).write.partitionBy("split").parquet(path)
+    rows.select(*STAGED_COLUMNS).write.mode("overwrite").partitionBy("split").parquet(path)
     return spark.read.parquet(path)
 
 
-def _spread(rows: DataFrame) -> DataFrame:
-    """At least one partition per core; ``rows`` is a plain scan, so counting its parts is free."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+def _spread(rows: DataFrame, total: int) -> DataFrame:
+    """Spreads small input over the cores: each boosting pass then uses all of them.
+
+    Large input already comes in more parts than there are cores. ``rows`` is a plain scan, so
+    counting its parts runs nothing.
+    """
+    wanted = min(rows.sparkSession.sparkContext.defaultParallelism, 1 + total // ROWS_PER_TASK)
+    return rows if rows.rdd.getNumPartitions() >= wanted else rows.repartition(wanted)
 
 
 def train(labelled: DataFrame, max_iter: int = V.MAX_ITER, draw: Column | None = None,
-          **params) -> Trained:
+          staging: str | None = None, **params) -> Trained:
     """Weights, split, category indices (from all rows) and the fitted classifier (from the train side)."""
-    staged = stage(labelled, draw)
+    staged = stage(labelled, draw, staging)
     counts = class_counts(staged).first()
     total = max(counts["total"], 1)
     weighted = staged.withColumn(
@@ -62,15 +69,15 @@ def train(labelled: DataFrame, max_iter: int = V.MAX_ITER, draw: Column | None =
     )
     train_rows = weighted.filter(F.col("split") == "train")
     test_rows = weighted.filter(F.col("split") == "test")
-    indexer = fit_category_indexer(staged)
-    model = classifier.fit(_spread(train_rows), indexer, max_iter, **params)
+    indexers = fit_category_indexers(staged)
+    model = classifier.fit(_spread(train_rows, total), indexers, max_iter, **params)
     return Trained(model, train_rows, test_rows)
 
 
 def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
     """One row: the metrics of the hard predictions, and ``auroc_score`` of the raw scores.
 
-    The test side is scored once, into a table both read.
+    The test side is scored once and written, as both read all of it.
     """
     spark = test.sparkSession
     path = work_dir(spark, "scored-test")
@@ -80,8 +87,8 @@ def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
 
 
 def run(spark: SparkSession, source: str, model_path: str, infer: bool = False,
-        max_iter: int = V.MAX_ITER) -> DataFrame:
-    trained = train(read_json(spark, source, infer), max_iter)
+        max_iter: int = V.MAX_ITER, staging: str | None = None) -> DataFrame:
+    trained = train(read_json(spark, source, infer), max_iter, staging=staging)
     classifier.save(trained.model, model_path)
     return evaluate(trained.model, trained.test)
 
@@ -92,11 +99,12 @@ def main() -> None:
     parser.add_argument("--model", required=True, help="folder to save the model to")
     parser.add_argument("--infer-schema", action="store_true")
     parser.add_argument("--max-iter", type=int, default=V.MAX_ITER)
+    parser.add_argument("--staging", help="folder for the prepared rows, overwritten by each run")
     options = parser.parse_args()
     spark = get_spark("txrisk-train")
-    run(spark, options.input, options.model, options.infer_schema, options.max_iter).show(
-        truncate=False
-    )
+    metrics = run(spark, options.input, options.model, options.infer_schema, options.max_iter,
+                  options.staging)
+    metrics.show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -51,6 +51,11 @@ class ServingTables:
     def predictions(self, spark: SparkSession) -> DataFrame:
         return read_batches(spark, self.predictions_path, schema.PREDICTION)
 
+    def register(self, spark: SparkSession) -> None:
+        """Makes the predictions a view for SQL, under the name of the serving table."""
+        rows = self.predictions(spark).select(*schema.PREDICTION.names)
+        rows.createOrReplaceTempView(V.PREDICTIONS_TABLE)
+
     def alerts(self, spark: SparkSession) -> DataFrame:
         return read_batches(spark, self.alerts_path, schema.ALERT)
 
@@ -103,8 +108,12 @@ def serve_batch(messages: DataFrame, batch_id: int, scorer: Scorer, tables: Serv
         jdbc.append_table(written, jdbc_target.url, jdbc_target.properties, jdbc_target.table)
 
     total, taken = counts.get("row_count", 0), counts.get("accepted", 0)
-    line = spark.createDataFrame([(batch_id, total, taken, total - taken)], schema.BATCH_COUNT)
-    write_batch(line.coalesce(1), tables.counts_path, batch_id)
+    line = spark.range(1, numPartitions=1).select(
+        F.lit(total).cast("bigint").alias("row_count"),
+        F.lit(taken).cast("bigint").alias("accepted"),
+        F.lit(total - taken).cast("bigint").alias("rejected"),
+    )
+    write_batch(line, tables.counts_path, batch_id)
 
 
 def start_scoring(messages: DataFrame, scorer: Scorer, tables: ServingTables, checkpoint: str,
