@@ -11,7 +11,7 @@ from txrisk.operators.predictions import serving_rows, with_log_amount
 from txrisk.plans import reports, train
 from txrisk.sources import jdbc, orders as source
 from txrisk.sources.envelope import to_envelope
-from txrisk.sources.files import write_json
+from txrisk.sources.files import stream_files, write_json
 from txrisk.streaming import scoring
 from txrisk.streaming.scoring import JdbcTarget, ServingTables, serve_batch, start_scoring
 
@@ -30,7 +30,7 @@ def predictions(spark):
 
 
 def message_stream(spark, path, **options):
-    return spark.readStream.schema(schema.ENVELOPE).options(**options).parquet(path)
+    return stream_files(spark, path, **options)
 
 
 def score(spark, stream, folder, checkpoint="checkpoint", **options):
@@ -72,12 +72,24 @@ def test_restart_goes_on_where_it_stopped(spark, transactions, folder):
 def test_many_batches(spark, transactions, folder):
     path = folder + "/messages"
     to_envelope(transactions).repartition(4).write.parquet(path)
-    tables = score(spark, message_stream(spark, path, maxFilesPerTrigger=1), folder)
+    tables = score(spark, message_stream(spark, path, batch_bytes=1), folder)
     counts = tables.batch_counts(spark).collect()
     assert sorted(r.batch_id for r in counts) == [0, 1, 2, 3]
     assert sum(r.row_count for r in counts) == tables.predictions(spark).count() == 1500
 
 
+def test_orders_as_a_stream_from_a_file_or_a_folder(spark, folder):
+    orders = source.read_orders(spark, DATA)
+    orders.repartition(3).write.parquet(folder + "/orders.parquet")
+    for place, batches in ((DATA, 1), (folder, 3)):
+        seen = []
+        query = source.stream_orders(spark, place, batch_bytes=1).writeStream.foreachBatch(
+            lambda rows, n: seen.append(rows.count())
+        ).option("checkpointLocation", f"{folder}/checkpoint-{batches}").trigger(**ONCE).start()
+        query.awaitTermination()
+        assert sum(seen) == 1500 and len(seen) == batches
+
+
 def test_bad_messages_are_set_aside_and_the_stream_goes_on(spark, transactions, folder):
     damaged = to_envelope(transactions).withColumn(
         "value", F.when(F.col("key") == "txn7", F.lit(b"garbage"))

@@ -8,9 +8,9 @@ from __future__ import annotations
 
 import argparse
 
-from txrisk import schema
 from txrisk.operators import model as classifier
 from txrisk.session import get_spark
+from txrisk.sources.files import BATCH_BYTES, stream_files
 from txrisk.sources.kafka import read_topic
 from txrisk.streaming.scoring import ServingTables, model_scorer, start_scoring
 
@@ -22,8 +22,8 @@ def main() -> None:
     source.add_argument("--files", help="folder of Parquet message files to read instead")
     parser.add_argument("--servers", help="Kafka bootstrap servers")
     parser.add_argument("--starting-offsets", default="latest")
-    parser.add_argument("--batch-limit", type=int,
-                        help="most records (topic) or files (folder) per batch")
+    parser.add_argument("--batch-records", type=int, help="most records of the topic per batch")
+    parser.add_argument("--batch-bytes", type=int, default=BATCH_BYTES, help="input files per batch, in bytes")
     parser.add_argument("--model", required=True)
     parser.add_argument("--tables", required=True, help="folder of the serving tables")
     parser.add_argument("--checkpoint", required=True)
@@ -33,11 +33,10 @@ def main() -> None:
     options = parser.parse_args()
     spark = get_spark("txrisk-score")
     if options.topic:
-        limit = {"maxOffsetsPerTrigger": options.batch_limit} if options.batch_limit else {}
+        limit = {"maxOffsetsPerTrigger": options.batch_records} if options.batch_records else {}
         messages = read_topic(spark, options.servers, options.topic, options.starting_offsets, **limit)
     else:
-        limit = {"maxFilesPerTrigger": options.batch_limit} if options.batch_limit else {}
-        messages = spark.readStream.schema(schema.ENVELOPE).options(**limit).parquet(options.files)
+        messages = stream_files(spark, options.files, batch_bytes=options.batch_bytes)
     trigger = None
     if options.once:
         trigger = {"availableNow": True}

@@ -59,6 +59,7 @@ def checked(messages: DataFrame) -> DataFrame:
         parse_envelope(messages)
         .withColumn("cause", reject_cause())
         .withColumn("raw", F.when(F.col("cause").isNotNull(), F.col("raw")))
+        .drop(schema.CORRUPT_COLUMN)
     )
 
 

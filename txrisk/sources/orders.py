@@ -12,6 +12,7 @@ from txrisk import schema, values as V
 from txrisk.functions.draws import congruential_draw
 from txrisk.functions.risk import drawn_label, risk_score
 from txrisk.functions.scalars import transaction_id, transaction_number
+from txrisk.sources.files import stream_files
 
 # Factor, step and modulus of the label, prediction and split draws.
 LABEL_DRAW = (1103515245, 12345, 2**31)
@@ -25,13 +26,12 @@ def read_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_orders(spark: SparkSession, folder: str, **options) -> DataFrame:
-    """The same table as a stream: every ``orders.parquet`` file in the folder."""
-    return (
-        spark.readStream.schema(read_orders(spark, folder).schema)
-        .option("pathGlobFilter", "orders.parquet")
-        .options(**options)
-        .parquet(folder)
-    )
+    """The same table as a stream, file by file.
+
+    Written as a pattern, the path may be one file as well as a folder of files.
+    """
+    row_schema = read_orders(spark, folder).schema
+    return stream_files(spark, f"{folder}/{{orders}}.parquet", row_schema, **options)
 
 
 def _pick(vocabulary: tuple[str, ...], number: Column) -> Column:
