@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from txrisk import schema
-from txrisk.session import shared_dir, work_dir
+from txrisk.session import shared_dir, size_shuffles, work_dir
 from txrisk.sources import jdbc, kafka
 from txrisk.sources.batch_table import read_batch, read_batches, write_batch
 from txrisk.sources.envelope import accepted, checked, parse_envelope, rejected, to_envelope
@@ -189,6 +189,24 @@ class Bare:
         self.folder = folder
 
 
+def test_shuffles_are_sized_on_clusters_only():
+    class Cluster(Bare):
+        defaultParallelism = 5000
+        settings = {"spark.sql.shuffle.partitions": "200"}
+
+        def get(self, name):
+            return self.settings[name]
+
+        def set(self, name, value):
+            self.settings[name] = value
+
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    size_shuffles(Cluster("local[8]"))
+    assert name not in Cluster.settings
+    size_shuffles(Cluster("yarn"))
+    assert Cluster.settings[name] == "15000"
+
+
 def test_only_local_sessions_may_lack_a_shared_folder():
     with pytest.raises(ValueError):
         shared_dir(Bare("yarn"))

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+PARTITIONS_PER_CORE = 3
 
 
 def get_spark(app: str, master: str | None = None, **settings: str) -> SparkSession:
@@ -23,7 +24,22 @@ def get_spark(app: str, master: str | None = None, **settings: str) -> SparkSess
         builder = builder.master(master)
     for name, value in settings.items():
         builder = builder.config(name.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    size_shuffles(spark)
+    return spark
+
+
+def size_shuffles(spark: SparkSession) -> None:
+    """On a cluster, lets shuffles start with a few partitions per core.
+
+    Adaptive execution merges small partitions but does not split all large ones, so the number it
+    starts with has to suit the largest shuffle and not the smallest.
+    """
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        wanted = max(least, PARTITIONS_PER_CORE * context.defaultParallelism)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
 
 
 def shared_dir(spark: SparkSession) -> str:

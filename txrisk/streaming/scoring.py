@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
@@ -75,6 +75,17 @@ class JdbcTarget:
     table: str = V.PREDICTIONS_TABLE
 
 
+def _counts(predictions: DataFrame, quarantine: DataFrame) -> DataFrame:
+    """One row, counted on what was written (file footers only), so no retry can count twice."""
+
+    def size(rows: DataFrame) -> Column:
+        return rows.agg(F.count(F.lit(1))).scalar()
+
+    return predictions.sparkSession.range(1, numPartitions=1).select(
+        size(predictions).alias("accepted"), size(quarantine).alias("rejected")
+    ).select((F.col("accepted") + F.col("rejected")).alias("row_count"), "accepted", "rejected")
+
+
 def serve_batch(messages: DataFrame, batch_id: int, scorer: Scorer, tables: ServingTables,
                 alert_digits: int | None = None, console: bool = False,
                 jdbc_target: JdbcTarget | None = None) -> None:
@@ -84,16 +95,10 @@ def serve_batch(messages: DataFrame, batch_id: int, scorer: Scorer, tables: Serv
     for the two tables they go to, and whatever else is needed is read from the written predictions.
     """
     spark = messages.sparkSession
-    seen = Observation()
-    rows = checked(messages).observe(
-        seen,
-        F.count(F.lit(1)).alias("row_count"),
-        F.count_if(F.col("cause").isNull()).alias("accepted"),
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = checked(messages).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         scored = scorer(with_log_amount(accepted(rows)))
         write_batch(serving_rows(scored), tables.predictions_path, batch_id)
-        counts = seen.get
         write_batch(rejected(rows), tables.quarantine_path, batch_id)
     finally:
         rows.unpersist()
@@ -107,13 +112,8 @@ def serve_batch(messages: DataFrame, batch_id: int, scorer: Scorer, tables: Serv
     if jdbc_target is not None:
         jdbc.append_table(written, jdbc_target.url, jdbc_target.properties, jdbc_target.table)
 
-    total, taken = counts.get("row_count", 0), counts.get("accepted", 0)
-    line = spark.range(1, numPartitions=1).select(
-        F.lit(total).cast("bigint").alias("row_count"),
-        F.lit(taken).cast("bigint").alias("accepted"),
-        F.lit(total - taken).cast("bigint").alias("rejected"),
-    )
-    write_batch(line, tables.counts_path, batch_id)
+    set_aside = read_batch(spark, tables.quarantine_path, schema.REJECT, batch_id)
+    write_batch(_counts(written, set_aside), tables.counts_path, batch_id)
 
 
 def start_scoring(messages: DataFrame, scorer: Scorer, tables: ServingTables, checkpoint: str,
