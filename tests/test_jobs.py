@@ -9,6 +9,7 @@ from txrisk import schema
 from txrisk.operators import model as classifier
 from txrisk.operators.predictions import serving_rows, with_log_amount
 from txrisk.plans import reports, train
+from txrisk.plans.score import read_properties
 from txrisk.sources import jdbc, orders as source
 from txrisk.sources.envelope import to_envelope
 from txrisk.sources.files import stream_files, write_json
@@ -136,6 +137,13 @@ def test_console_and_jdbc_copies(spark, transactions, folder, monkeypatch, capsy
     assert "only showing top 20 rows" in capsys.readouterr().out
 
 
+def test_jdbc_properties_come_from_a_file(folder):
+    assert read_properties(None) == {}
+    with open(folder + "/p.json", "w") as file:
+        file.write('{"user": "u", "fetchsize": 10}')
+    assert read_properties(folder + "/p.json") == {"user": "u", "fetchsize": "10"}
+
+
 def test_console_writer(spark, transactions, folder):
     to_envelope(transactions).write.parquet(folder + "/messages")
     stream = message_stream(spark, folder + "/messages").selectExpr("cast(key as string) k")

@@ -7,12 +7,20 @@
 from __future__ import annotations
 
 import argparse
+import json
 
 from txrisk.operators import model as classifier
 from txrisk.session import get_spark
 from txrisk.sources.files import BATCH_BYTES, stream_files
 from txrisk.sources.kafka import read_topic
-from txrisk.streaming.scoring import ServingTables, model_scorer, start_scoring
+from txrisk.streaming.scoring import JdbcTarget, ServingTables, model_scorer, start_scoring
+
+
+def read_properties(path: str | None) -> dict[str, str]:
+    if path is None:
+        return {}
+    with open(path, encoding="utf-8") as file:
+        return {str(k): str(v) for k, v in json.load(file).items()}
 
 
 def main() -> None:
@@ -29,6 +37,8 @@ def main() -> None:
     parser.add_argument("--checkpoint", required=True)
     parser.add_argument("--interval", help="such as '10 seconds'; default: batch after batch")
     parser.add_argument("--once", action="store_true", help="take what is there, then stop")
+    parser.add_argument("--jdbc-url", help="also append the predictions to a relational table")
+    parser.add_argument("--jdbc-properties", help="JSON file with its user, password and driver")
     parser.add_argument("--console", action="store_true", help="show the first rows of each batch")
     options = parser.parse_args()
     spark = get_spark("txrisk-score")
@@ -42,9 +52,12 @@ def main() -> None:
         trigger = {"availableNow": True}
     elif options.interval:
         trigger = {"processingTime": options.interval}
+    target = None
+    if options.jdbc_url:
+        target = JdbcTarget(options.jdbc_url, read_properties(options.jdbc_properties))
     start_scoring(
         messages, model_scorer(classifier.load(options.model)), ServingTables(options.tables),
-        options.checkpoint, trigger, console=options.console,
+        options.checkpoint, trigger, console=options.console, jdbc_target=target,
     )
     spark.streams.awaitAnyTermination()
 
