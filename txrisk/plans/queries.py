@@ -77,7 +77,7 @@ def kafka_envelope(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def quarantine(spark: SparkSession, folder: str) -> DataFrame:
-    """Every hundredth message is garbage, the others are whole: only the garbage is set aside."""
+    """All messages are checked; every hundredth is garbage on the wire, and just those are set aside."""
     number = source.transaction_number(F.col("key"))
     damaged = envelope.to_envelope(_transactions(spark, folder)).withColumn(
         "value", F.when(number % 100 == 0, F.lit("garbage").cast("binary")).otherwise(F.col("value"))
