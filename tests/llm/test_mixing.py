@@ -1,0 +1,76 @@
+from collections import defaultdict
+from fractions import Fraction
+
+from pyspark.sql import functions as F
+
+from llm_helpers import awkward, documents, prose, words
+from txrisk.llm.mixing import mix, mix_plan
+
+
+def plain_targets(sizes):
+    ranked = sorted((s for s in sizes if s is not None)) + [s for s in sizes if s is None]
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(ranked)}
+    full, total = set(), sum(sizes.values())
+    while True:
+        left = total - sum(3 * sizes[s] for s in full)
+        among = sum(w for s, w in weight.items() if s not in full)
+        target = {s: Fraction(3 * sizes[s]) if s in full else Fraction(left * weight[s], among) for s in sizes}
+        above = {s for s in sizes if target[s] > 3 * sizes[s]}
+        if not above:
+            return target
+        full |= above
+
+
+def check(rows, texts, sources):
+    sizes, taken = defaultdict(int), defaultdict(int)
+    for text, source in zip(texts, sources, strict=True):
+        sizes[source] += len(words(text))
+    target = plain_targets(sizes)
+    for r in rows:
+        source = sources[r.doc_id - 1]
+        assert r.size == len(words(texts[r.doc_id - 1]))
+        assert r.source_size == sizes[source]
+        assert abs(r.target - float(target[source])) < 1e-6
+        assert 0 <= r.taken <= 3 * r.size
+        taken[source] += r.taken
+    assert {s: n for s, n in taken.items()} == {s: int(target[s]) for s in sizes}
+
+
+def test_targets_are_met_exactly(spark):
+    texts = [prose(1 + i % 60, i) for i in range(300)]
+    sources = ["big" if i % 3 else ["a", "Z", None, "é", "tiny"][i // 3 % 5] for i in range(300)]
+    docs = documents(spark, texts, sources)
+    first, again = mix_plan(docs), mix_plan(docs.repartition(7))
+    check(first.collect(), texts, sources)
+    assert sorted(map(tuple, first.collect())) == sorted(map(tuple, again.collect()))
+
+
+def test_awkward_texts(spark):
+    texts = awkward()
+    sources = [None, "", "a", "a"] + ["b"] * (len(texts) - 4)
+    check(mix_plan(documents(spark, texts, sources)).collect(), texts, sources)
+    assert mix_plan(documents(spark, ["a"]).limit(0)).count() == 0
+    empty = mix_plan(documents(spark, [None, "", " "])).collect()
+    assert {(r.target, r.taken) for r in empty} == {(0.0, 0)}
+
+
+def test_mixed_documents(spark):
+    texts = ["  " * (i % 2) + prose(5 + i % 20, i) + " \n" for i in range(90)]
+    sources = ["x" if i < 70 else "y" if i < 85 else "z" for i in range(90)]
+    docs = documents(spark, texts, sources)
+    plan = {r.doc_id: r for r in mix_plan(docs).collect()}
+    found = mix(docs)
+    assert found.columns == docs.columns
+    taken = defaultdict(int)
+    for r in found.collect():
+        text = texts[r.doc_id - 1]
+        if r.text != text:
+            assert text.startswith(r.text) and r.n_chars == len(r.text)
+            assert words(text)[:len(words(r.text))] == words(r.text)
+        taken[r.doc_id] += len(words(r.text))
+    assert taken == {i: r.taken for i, r in plan.items() if r.taken}
+
+
+def test_repeated_rows(spark):
+    docs = documents(spark, [prose(9, 1)] * 6, ["a"] * 6).withColumn("doc_id", F.lit(5).cast("long"))
+    assert sum(r.taken for r in mix_plan(docs).collect()) == 54

@@ -3,12 +3,13 @@
 Each tree halves the space again and again, by the plane between two points of a bounded sample, at the
 sample's median. Every row is indexed in one leaf of every tree. A query walks all trees with one
 priority queue, whose next entry is the subtree with the smallest distance beyond the planes crossed so
-far; it goes on until the leaves it took hold ``share`` of all index entries, or until every subtree left
+far; it goes on until the leaves it took hold ``share`` times as many entries as there are rows (each row
+has one per tree, so these are fewer rows), or until every subtree left
 lies beyond the query's k-th nearest sample point, which is an exact bound. Candidates of the leaves are
 ranked by their exact distance.
 
 Isotropic vectors are the worst case: there, planes bound nothing and recall follows the share searched
-(README: 0.9 and more at the default). On clustered vectors the bound ends most searches early.
+(README: over 0.9 at the default). On clustered vectors the bound ends most searches early.
 
 - The sample has about ``SAMPLE`` rows, so trees, sample and leaf sizes (the only things sent to all tasks) are bounded.
 - A leaf with over ``BLOCK`` rows is dealt out in blocks that its queries visit all, so that no task holds more.
@@ -38,14 +39,14 @@ TREES = 16
 DEPTH = 7
 SAMPLE = 16_384
 LEAST_LEAF = 8
-SHARE = 0.5
+SHARE = 1.0
 BLOCK = 4_096
 
 Batches = Iterator[pa.RecordBatch]
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """vec_id and the vector as doubles, of the rows that take part."""
+    """vec_id and the vector as doubles, of the rows that can take part, whatever their length."""
     rows = vectors.select(
         F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v")
     ).filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull())
@@ -53,9 +54,12 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     def finite(x: Column) -> Column:
         return x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
 
-    rows = rows.filter(F.forall("v", finite) & F.exists("v", lambda x: x != 0))
-    usual = rows.groupBy(F.size("v").alias("length")).count().orderBy(F.desc("count"), "length").limit(1)
-    return rows.join(F.broadcast(usual.select("length")), F.size("v") == F.col("length"), "left_semi")
+    return rows.filter(F.forall("v", finite) & F.exists("v", lambda x: x != 0))
+
+
+def usual_length(rows: DataFrame) -> int:
+    found = rows.groupBy(F.size("v").alias("length")).count().orderBy(F.desc("count"), "length").first()
+    return found["length"] if found else 0
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -198,6 +202,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vect
     names = "query_id long, vec_id long, score double"
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vector_col)
+    length = usual_length(rows)
+    rows = rows.filter(F.size("v") == length)
     # The limit on copies stands below the shuffle.
     copies = Window.partitionBy("v").orderBy("vec_id")
     rows = staged(rows.withColumn("copy", F.row_number().over(copies)).filter(F.col("copy") <= k + 1).drop("copy"),
@@ -213,7 +219,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vect
     sizes = np.zeros((trees, 1 << depth), np.int64)
     for r in indexed.groupBy("tree", "leaf").count().collect():
         sizes[r["tree"], r["leaf"]] = r["count"]
-    asked = usable(queries, id_col, vector_col).mapInArrow(
+    asked = usable(queries, id_col, vector_col).filter(F.size("v") == length).mapInArrow(
         probe(forest, sizes, sample, k, share), "tree int, leaf int, query_id long, q array<double>"
     )
     blocks = int(sizes.max()) // block + 1

@@ -36,8 +36,7 @@ from txrisk.llm.common import partitions, staged
 
 CAPACITY = 2048
 END_ID = 0
-ROUNDS = 150
-STEP = 0.2
+ROUNDS = 120
 REMEMBERED = 600_000
 SEPARATOR = "\x01"
 PIECES = "doc_id long, row long, piece int, start long, length int, ids_crc32 long"
@@ -206,34 +205,42 @@ def filled(first: int, last: np.ndarray, capacity: int) -> tuple[int, ...]:
     return tuple(sorted(lengths, reverse=True))
 
 
-def solve(counts: np.ndarray, capacity: int, rounds: int = ROUNDS, step: float = STEP) -> dict[tuple[int, ...], float]:
-    """A fractional cover of the histogram: how often to use each configuration."""
+def solve(counts: np.ndarray, capacity: int, rounds: int = ROUNDS) -> dict[tuple[int, ...], float]:
+    """A fractional cover of the histogram: how often to use each configuration.
+
+    Prices start in proportion to length. In each round every length is covered by the best configuration that
+    holds it, if that is nearly worth the best of all; prices of lengths covered more than the others then fall by
+    a factor, and by less and less in later rounds. The cover is the mean of the rounds after the first third.
+    """
     lengths = np.nonzero(counts)[0]
     need = counts.astype(float)
-    weights = np.where(counts > 0, 1.0, 0.0)
-    covered = np.zeros(capacity + 1)
+    logs = np.where(counts > 0, np.log(np.maximum(1, np.arange(capacity + 1)) / capacity), -np.inf)
     used: dict[tuple[int, ...], float] = {}
-    for _ in range(rounds):
-        values = np.divide(weights, need, out=np.zeros(capacity + 1), where=need > 0)
-        # A piece is worth at least its share of the room, so that full sequences are preferred.
-        values += weights.sum() / max(1.0, (need * np.arange(capacity + 1)).sum()) * np.arange(capacity + 1) * (counts > 0)
-        best, last = price(values, capacity)
-        worth = values[lengths] + best[capacity - lengths]
+    covered = np.zeros(capacity + 1)
+    # Few lengths make rounds cheap, and need more of them to settle.
+    rounds = rounds * (4 if len(lengths) <= 64 else 1)
+    for number in range(rounds):
+        best, last = price(np.exp(logs), capacity)
+        worth = np.exp(logs[lengths]) + best[capacity - lengths]
+        settled = number / rounds
         progress = np.zeros(capacity + 1)
-        # All configurations near the best price of this round, each for the least covered length it holds.
-        for length in lengths[worth >= (1 - step) * worth.max()].tolist():
-            if progress[length] >= need[length] * step:
+        for length in lengths[worth >= (0.9 + 0.099 * settled) * worth.max()].tolist():
+            if progress[length] >= need[length]:
                 continue
             chosen = filled(length, last, capacity)
             kinds, times = np.unique(chosen, return_counts=True)
-            amount = step * float((need[kinds] / times).min())
-            used[chosen] = used.get(chosen, 0.0) + amount
+            amount = float((need[kinds] / times).min())
             progress[kinds] += amount * times
-        covered += progress
-        weights = np.where(counts > 0, np.exp(-np.divide(covered, need, out=np.zeros(capacity + 1), where=need > 0)), 0.0)
-    share = np.divide(covered, need, out=np.ones(capacity + 1), where=need > 0)
-    scale = max(1e-9, float(np.median(share[lengths])))
-    return {lengths_: amount / scale for lengths_, amount in used.items()}
+            if 3 * number >= rounds:
+                used[chosen] = used.get(chosen, 0.0) + amount
+        share = progress[lengths] / need[lengths]
+        logs[lengths] -= 0.3 * (1 - 0.95 * settled) * (share - share.mean()).clip(-1, 1)
+        logs[lengths] -= logs[lengths].max()
+        if 3 * number >= rounds:
+            covered += progress
+    share = covered[lengths] / need[lengths]
+    scale = max(1e-9, float(np.average(share, weights=need[lengths] * lengths)))
+    return {chosen: amount / scale for chosen, amount in used.items()}
 
 
 def plan_packing(counts: np.ndarray, capacity: int = CAPACITY) -> Plan:

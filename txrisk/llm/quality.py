@@ -5,14 +5,15 @@ score s(text) for all grades and ordered thresholds, P(grade <= k) = sigmoid(thr
 linear in hashed text features, their weights shared by all thresholds. Expected grade and tail
 probabilities follow; a document is kept if P(grade = 2) reaches ``least``.
 
-Features are the words of the whole text as a set (ASCII letters lowered, edge punctuation off) and a few
-shape words: in steps, the share of words that repeat the one before, that are distinct, that have symbols
-inside or at their end, and the number of words.
+Features are the words of the whole text as a set (ASCII letters lowered, edge punctuation off) and the first
+bytes of longer ones, scaled to unit length so that long texts don't outweigh short ones, and a few shape words: in
+steps, the share of words that repeat the one before, that are distinct, that end in a symbol, and the number of
+words.
 
 The fit takes about ``max_rated`` rated documents, those chosen by a hash of their ids, with features in at least
 ``least_documents`` of them: a bound on what reaches the driver, whatever the input. Sampled ids
-are broadcast (8 bytes each). Fitting is full-batch gradient descent with per-weight steps, so it is
-deterministic. Scoring streams over all documents without a shuffle; the weights are one array of
+are broadcast (8 bytes each). Fitting is full-batch gradient descent with per-weight steps and an absolute penalty
+that leaves few weights, so it is deterministic. Scoring streams over all documents without a shuffle; the weights are one array of
 ``2 ** bits`` floats.
 
 A null text counts as empty. Ratings that are null or rate no given document are left out; a document
@@ -34,11 +35,12 @@ from txrisk.llm.common import new_name, sampled
 
 BITS = 18
 MAX_RATED = 12_000
-LEAST_DOCUMENTS = 4
-STEPS = 200
-RATE = 0.1
-DECAY = 1e-4
-LEAST = 0.5
+LEAST_DOCUMENTS = 8
+STEPS = 300
+RATE = 1.0
+PENALTY = 1e-5
+STEM = 4
+LEAST = 0.7
 GRADES = 3
 EDGES = b".,;:!?\"'()[]|*$%&#"
 
@@ -77,43 +79,52 @@ def shape_words(words: list[bytes], distinct: set[bytes]) -> list[bytes]:
     ]
 
 
-def buckets(text: str, known: dict[bytes, int], bits: int) -> list[int]:
-    """The distinct features of a text; ``known`` remembers the bucket of words seen."""
+Features = tuple[list[int], list[int]]
+
+
+def buckets(text: str, known: dict[bytes, tuple[int, ...]], bits: int) -> Features:
+    """The distinct buckets of a text's words, and those of its shape; ``known`` remembers words seen."""
     words = text.encode().lower().split()
     distinct = set(words)
     found = set()
     for word in distinct:
-        bucket = known.get(word)
-        if bucket is None:
+        held = known.get(word)
+        if held is None:
             if len(known) > 500_000:
                 known.clear()
-            bucket = known[word] = word_bucket(word.strip(EDGES), bits)
-        found.add(bucket)
-    found.update(word_bucket(s, bits) for s in shape_words(words, distinct))
-    return list(found)
+            bare = word.strip(EDGES)
+            held = known[word] = (word_bucket(bare, bits), word_bucket(b"\1" + bare[:STEM], bits))[:1 + (len(bare) > STEM)]
+        found.update(held)
+    return sorted(found), [word_bucket(s, bits) for s in shape_words(words, distinct)]
+
+
+def values(features: Features) -> np.ndarray:
+    words, shape = features
+    return np.concatenate([np.full(len(words), 1 / np.sqrt(max(1, len(words)))), np.ones(len(shape))])
 
 
 def featurise(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
+        known: dict[bytes, tuple[int, ...]] = {}
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            found = [buckets(t or "", known, bits) for t in batch.column("text").to_pylist()]
+            lists = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([buckets(t or "", known, bits) for t in texts], pa.list_(pa.int32()))],
-                names=["doc_id", "features"],
+                [batch.column("doc_id"), pa.array([w for w, _ in found], lists), pa.array([s for _, s in found], lists)],
+                names=["doc_id", "words", "shape"],
             )
     return run
 
 
-def fit_ordinal(features: list[np.ndarray], grades: np.ndarray, bits: int = BITS, steps: int = STEPS,
+def fit_ordinal(features: list[Features], grades: np.ndarray, bits: int = BITS, steps: int = STEPS,
                 least_documents: int = LEAST_DOCUMENTS) -> OrdinalModel:
-    """Maximum likelihood of the cumulative-link model with a small quadratic penalty."""
+    """Maximum likelihood of the cumulative-link model with a small absolute penalty."""
     size = 1 << bits
-    lengths = np.array([len(f) for f in features])
-    flat = np.concatenate(features).astype(np.int64)
-    common = np.bincount(flat, minlength=size) >= least_documents
-    rows = np.repeat(np.arange(len(features)), lengths)
-    rows, flat = rows[common[flat]], flat[common[flat]]
+    flat = np.concatenate([np.concatenate(f) for f in features]).astype(np.int64)
+    value = np.concatenate([values(f) for f in features])
+    rows = np.repeat(np.arange(len(features)), [len(w) + len(s) for w, s in features])
+    common = (np.bincount(flat, minlength=size) >= least_documents)[flat]
+    rows, flat, value = rows[common], flat[common], value[common]
     n = len(features)
     weights, moments = np.zeros(size), np.full(size, 1e-8)
     # Start at the grades' own frequencies; absent grades leave thresholds apart, not infinite.
@@ -124,7 +135,7 @@ def fit_ordinal(features: list[np.ndarray], grades: np.ndarray, bits: int = BITS
     cut_moments = np.full(len(cut), 1e-8)
     for _ in range(steps):
         thresholds = np.cumsum(np.concatenate([cut[:1], np.exp(cut[1:])]))
-        scores = np.bincount(rows, weights[flat], minlength=n)
+        scores = np.bincount(rows, value * weights[flat], minlength=n)
         edges = np.concatenate([[-np.inf], thresholds, [np.inf]])
         with np.errstate(over="ignore"):
             upper = 1 / (1 + np.exp(-(edges[grades + 1] - scores)))
@@ -132,7 +143,7 @@ def fit_ordinal(features: list[np.ndarray], grades: np.ndarray, bits: int = BITS
         chance = np.maximum(upper - lower, 1e-12)
         d_upper, d_lower = upper * (1 - upper) / chance, lower * (1 - lower) / chance
         d_score = (d_upper - d_lower) / n
-        slope = np.bincount(flat, d_score[rows], minlength=size) + DECAY * weights
+        slope = np.bincount(flat, value * d_score[rows], minlength=size)
         d_edges = np.zeros(GRADES + 1)
         np.add.at(d_edges, grades + 1, -d_upper / n)
         np.add.at(d_edges, grades, d_lower / n)
@@ -141,7 +152,9 @@ def fit_ordinal(features: list[np.ndarray], grades: np.ndarray, bits: int = BITS
         d_cut = np.concatenate([onward[:1], onward[1:] * np.exp(cut[1:])])
         moments += slope ** 2
         cut_moments += d_cut ** 2
-        weights -= RATE * slope / np.sqrt(moments)
+        pace = RATE / np.sqrt(moments)
+        weights -= pace * slope
+        weights = np.sign(weights) * np.maximum(np.abs(weights) - PENALTY * pace, 0)
         cut -= RATE * d_cut / np.sqrt(cut_moments)
     thresholds = np.cumsum(np.concatenate([cut[:1], np.exp(cut[1:])]))
     return OrdinalModel(weights.astype(np.float32), thresholds)
@@ -167,25 +180,26 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         F.broadcast(ids), F.col("doc_id") == F.col("rated_id"), "left_semi"
     )
     # A repeated id gives one document, so the sample stays within its bound.
-    found = texts.mapInArrow(featurise(bits), "doc_id long, features array<int>")
-    found = found.groupBy("doc_id").agg(F.min(F.struct(F.size("features"), "features")).alias("of"))
-    by_id = {r["doc_id"]: np.array(r["features"], np.int32) for r in found.select("doc_id", "of.features").collect()}
+    found = texts.mapInArrow(featurise(bits), "doc_id long, words array<int>, shape array<int>")
+    found = found.groupBy("doc_id").agg(F.min(F.struct("words", "shape")).alias("of"))
+    by_id = {r["doc_id"]: (r["words"], r["shape"]) for r in found.select("doc_id", "of.words", "of.shape").collect()}
     rated = [(by_id[r["rated_id"]], r["grade"]) for r in rated if r["rated_id"] in by_id]
     if not rated:
         return None
     features, grades = zip(*rated, strict=True)
-    return fit_ordinal(list(features), np.array(grades), bits)
+    return fit_ordinal(features, np.array(grades), bits)
 
 
 def scorer(model: OrdinalModel, text_col: str, bits: int,
            schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Adds the tail probabilities to batches, leaving their own columns as they are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
+        known: dict[bytes, tuple[int, ...]] = {}
         weights = model.weights.astype(np.float64)
         for batch in batches:
             texts = batch.column(text_col).to_pylist()
-            scores = np.array([weights[sorted(buckets(t or "", known, bits))].sum() for t in texts], float)
+            found = [buckets(t or "", known, bits) for t in texts]
+            scores = np.array([values(f) @ weights[f[0] + f[1]] for f in found], float)
             tails = model.tails(scores)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *(pa.array(np.ascontiguousarray(tails[:, k])) for k in range(GRADES - 1))],
