@@ -54,23 +54,49 @@ def part_batch(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
+BASE = 0x9E3779B97F4A7C15
+BASE_INVERSE = pow(BASE, -1, 1 << 64)
+IS_SPACE = np.zeros(256, bool)
+IS_SPACE[[32, *range(9, 14)]] = True
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """base ** 0 to base ** (n - 1), modulo 2 ** 64."""
+    found = np.ones(1, np.uint64)
+    while len(found) < n:
+        found = np.concatenate([found, found * np.uint64(pow(base, len(found), 1 << 64))])
+    return found
+
+
 class Grams:
-    """Hashes of runs of words; hashes of words are remembered."""
+    """Hashes of the runs of words of a text: equal words, equal hashes, whatever stands between them.
+
+    Polynomial hashes, so that a word's is the difference of two prefix sums; no word is touched by itself.
+    """
 
     def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
-
-    def __call__(self, words: list[bytes], gram: int) -> np.ndarray:
-        known = self.known
-        if len(known) > 1_000_000:
-            known.clear()
-        for word in set(words).difference(known):
-            known[word] = xxhash.xxh3_64_intdigest(word)
-        of_words = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        n = len(words) - gram + 1
-        value = np.zeros(n, np.uint64)
+        self.up = self.down = powers(BASE, 1)
+
+    def __call__(self, text: bytes, gram: int) -> np.ndarray:
+        """One hash for each place where ``gram`` words start."""
+        data = np.frombuffer(text, np.uint8)
+        n = len(data)
+        if n >= len(self.up):
+            self.up, self.down = powers(BASE, 2 * n), powers(BASE_INVERSE, 2 * n)
+        in_word = np.zeros(n + 2, np.int8)
+        in_word[1:-1] = ~IS_SPACE[data]
+        turns = np.diff(in_word)
+        starts, ends = np.nonzero(turns == 1)[0], np.nonzero(turns == -1)[0]
+        count = len(starts) - gram + 1
+        if count < 1:
+            return np.zeros(0, np.uint64)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((data + np.uint64(1)) * self.up[:n], out=sums[1:])
+        of_words = (sums[ends] - sums[starts]) * self.down[starts]
+        of_words ^= of_words >> np.uint64(32)
+        value = np.zeros(count, np.uint64)
         for i in range(gram):
-            value = value * np.uint64(0x9E3779B97F4A7C15) + of_words[i:i + n]
+            value = value * np.uint64(BASE) + of_words[i:i + count]
             value ^= value >> np.uint64(29)
         return value * np.uint64(0xBF58476D1CE4E5B9)
 
@@ -98,10 +124,9 @@ def minimisers(window: int, gram: int) -> Callable[[Batches], Batches]:
         for batch in batches:
             keys, found, times = [], [], []
             for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                words = text.split()
-                if len(words) < window:
+                grams = hashed(text, gram)
+                if len(grams) <= window - gram:
                     continue
-                grams = hashed(words, gram)
                 least = np.unique(runs(grams, window - gram + 1)[0])
                 values, counts = np.unique(grams, return_counts=True)
                 found.append(least)
@@ -165,7 +190,7 @@ def pack(window: int, gram: int) -> Callable[[Batches], Batches]:
                     text = b" ".join(words)
                     rows.append((TEXT, key, row, 0, len(words), None, text))
                     size += len(text)
-                    found, first, after = runs(hashed(words, gram), window - gram + 1)
+                    found, first, after = runs(hashed(text, gram), window - gram + 1)
                     repeated = np.isin(found.view(np.int64), np.array(hs, np.int64))
                     for i in np.nonzero(repeated)[0].tolist():
                         start, end = int(first[i]), int(after[i]) + window - 1
