@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, functions as F
 from txrisk.llm.common import partitions, staged, whole
 
 WINDOW = 20
-GRAM = 4
+GRAM = 8
 CROWD = 256
 HELD_BYTES = 32 << 20
 
