@@ -47,10 +47,12 @@ def test_passages(spark):
     check(spark, texts)
 
 
-@pytest.mark.parametrize("held", [50, 32 << 20])
-def test_crowded_minimisers(spark, monkeypatch, held):
+@pytest.mark.parametrize("held,local", [(50, 1), (32 << 20, 1), (32 << 20, 10_000)])
+def test_common_grams_and_crowds(spark, monkeypatch, held, local):
     """A short common line within many contexts, and copies, beyond the crowd a bucket takes."""
     monkeypatch.setattr(substring, "HELD_BYTES", held)
+    monkeypatch.setattr(substring, "LOCAL", local)
+    monkeypatch.setattr(substring, "LEAST_COMMON", 6)
     texts = shared(40, prose(12, 14)) + shared(20, prose(40, 15), 100) + [prose(50, 16)] * 30 + ["k " * 80] * 5
     check(spark, texts, crowd=4)
 

@@ -12,8 +12,11 @@ What keeps that affordable and even:
   of a document, combined before the shuffle), and only strings whose minimiser occurs again are packed.
 - Equal strings of one task collapse before they travel: all but the first are removed whole, as the
   first has the same windows earlier. A text with any number of copies so reaches a bucket once per task.
-- A minimiser with over ``crowd`` strings, such as one within a very common line, has its strings dealt out by
-  whole windows instead, equal ones collapsed in the same way. Nothing is dropped.
+- Very common grams, such as those of a line that many texts hold, come last in the order of minimisers: a
+  window takes one only if all its grams are common. They are counted over all documents, each task passing
+  on what it meets ``LOCAL`` times or more; the ``COMMON`` largest are what all tasks are sent. They steer the load only.
+- A minimiser that still has over ``crowd`` strings has them dealt out by whole windows, equal ones
+  collapsed in the same way. Nothing is dropped.
 
 Words are separated by space and U+0009 to U+000D. A null text has no words; texts shorter than a window are
 kept as they are. Rows that repeat an id are documents of their own, the earlier row first. No rows give none.
@@ -34,8 +37,12 @@ from txrisk.llm.common import partitions, staged, whole
 
 WINDOW = 20
 GRAM = 8
-CROWD = 256
+CROWD = 2_048
 HELD_BYTES = 32 << 20
+COMMON = 65_536
+LEAST_COMMON = 64
+LOCAL = 8
+LAST = np.uint64(1 << 63)
 
 PART = pa.schema([
     ("kind", pa.string()), ("doc_id", pa.int64()), ("row", pa.int64()), ("start", pa.int64()), ("end", pa.int64()),
@@ -74,11 +81,12 @@ class Grams:
     Polynomial hashes, so that a word's is the difference of two prefix sums; no word is touched by itself.
     """
 
-    def __init__(self) -> None:
+    def __init__(self, common: np.ndarray) -> None:
+        self.common = common
         self.up = self.down = powers(BASE, 1)
 
     def __call__(self, text: bytes, gram: int) -> np.ndarray:
-        """One hash for each place where ``gram`` words start."""
+        """One hash for each place where ``gram`` words start; those of common grams are above all others."""
         data = np.frombuffer(text, np.uint8)
         n = len(data)
         if n >= len(self.up):
@@ -98,7 +106,45 @@ class Grams:
         for i in range(gram):
             value = value * np.uint64(BASE) + of_words[i:i + count]
             value ^= value >> np.uint64(29)
-        return value * np.uint64(0xBF58476D1CE4E5B9)
+        value = value * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(1)
+        if len(self.common):
+            at = np.minimum(np.searchsorted(self.common, value), len(self.common) - 1)
+            value[self.common[at] == value] |= LAST
+        return value
+
+
+def frequent(window: int, gram: int) -> Callable[[Batches], Batches]:
+    """Minimisers with the number of documents that have them, of those met often in one stretch of a task."""
+    def run(batches: Batches) -> Batches:
+        hashed, held, size = Grams(np.zeros(0, np.uint64)), [], 0
+
+        def often() -> pa.RecordBatch:
+            values, counts = np.unique(np.concatenate(held), return_counts=True)
+            chosen = counts >= LOCAL
+            return pa.RecordBatch.from_arrays(
+                [pa.array(values[chosen].view(np.int64)), pa.array(counts[chosen].astype(np.int64))], names=["h", "n"]
+            )
+
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                grams = hashed(text, gram)
+                if len(grams) > window - gram:
+                    held.append(np.unique(runs(grams, window - gram + 1)[0]))
+                    size += 8 * len(held[-1])
+                if size >= HELD_BYTES:
+                    yield often()
+                    held, size = [], 0
+        if held:
+            yield often()
+    return run
+
+
+def common_grams(docs: DataFrame, window: int, gram: int) -> np.ndarray:
+    """The hashes of the commonest grams, at most ``COMMON``, sorted."""
+    found = docs.select("text").mapInArrow(frequent(window, gram), "h long, n long")
+    top = found.groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_COMMON)
+    rows = top.orderBy(F.desc("n"), "h").limit(COMMON).select("h").collect()
+    return np.sort(np.array([r["h"] for r in rows], np.int64)).view(np.uint64)
 
 
 def runs(grams: np.ndarray, per_window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -117,10 +163,10 @@ def runs(grams: np.ndarray, per_window: int) -> tuple[np.ndarray, np.ndarray, np
     return least[first], first, np.append(changes, len(least))
 
 
-def minimisers(window: int, gram: int) -> Callable[[Batches], Batches]:
+def minimisers(window: int, gram: int, common: np.ndarray) -> Callable[[Batches], Batches]:
     """Per document the distinct minimisers of its windows, each with the number of places it stands at."""
     def run(batches: Batches) -> Batches:
-        hashed = Grams()
+        hashed = Grams(common)
         for batch in batches:
             keys, found, times = [], [], []
             for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
@@ -175,10 +221,10 @@ def signed(h: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def pack(window: int, gram: int) -> Callable[[Batches], Batches]:
+def pack(window: int, gram: int, common: np.ndarray) -> Callable[[Batches], Batches]:
     """Documents (doc_id, row, text, hs: their minimisers that repeat) as parts of the staged table."""
     def run(batches: Batches) -> Batches:
-        hashed, held, rows, size = Grams(), Held(), [], 0
+        hashed, held, rows, size = Grams(common), Held(), [], 0
         for batch in batches:
             names = ("doc_id", "row", "text", "hs")
             for key, row, text, hs in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
@@ -304,9 +350,9 @@ def strip(batches: Batches) -> Batches:
             )
 
 
-def repeated_minimisers(docs: DataFrame, window: int, gram: int) -> DataFrame:
+def repeated_minimisers(docs: DataFrame, window: int, gram: int, common: np.ndarray) -> DataFrame:
     """Per id the minimisers that occur again somewhere: key, hs."""
-    found = docs.select("doc_id", "text").mapInArrow(minimisers(window, gram), "doc_id long, h long, n long")
+    found = docs.select("doc_id", "text").mapInArrow(minimisers(window, gram, common), "doc_id long, h long, n long")
     again = found.groupBy("h").agg(F.sum("n").alias("times")).filter("times > 1").select("h")
     return found.select("doc_id", "h").join(again, "h", "left_semi").groupBy("doc_id").agg(
         F.collect_set("h").alias("hs")
@@ -336,11 +382,12 @@ def parts(docs: DataFrame, id_col: str, text_col: str, window: int, gram: int, c
     docs = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), whole(text_col).cast("binary").alias("text")
     )
-    again = repeated_minimisers(docs, window, gram)
+    common = common_grams(docs, window, gram)
+    again = repeated_minimisers(docs, window, gram, common)
     joined = docs.withColumn("row", F.monotonically_increasing_id()).join(
         again, F.col("doc_id").eqNullSafe(F.col("key")), "left"
     ).select("doc_id", "row", "text", "hs")
-    table = staged(joined.mapInArrow(pack(window, gram), PART_SQL), "substring-parts")
+    table = staged(joined.mapInArrow(pack(window, gram, common), PART_SQL), "substring-parts")
     packed = table.filter(F.col("kind") == PACKED)
     gone = removed_ranges(packed, window, crowd).unionByName(
         table.filter(F.col("kind") == GONE).select("row", "start", "end")
