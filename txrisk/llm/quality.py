@@ -23,7 +23,7 @@ null expected grade. Repeated rows are scored alike, an empty table gives no row
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from txrisk.llm.common import new_name, sampled
 
 BITS = 18
-MAX_RATED = 12_000
+MAX_RATED = 10_000
 LEAST_DOCUMENTS = 8
 STEPS = 300
 RATE = 1.0
@@ -79,7 +79,7 @@ def shape_words(words: list[bytes], distinct: set[bytes]) -> list[bytes]:
     ]
 
 
-Features = tuple[list[int], list[int]]
+Features = tuple[Sequence[int], Sequence[int]]
 
 
 def buckets(text: str, known: dict[bytes, tuple[int, ...]], bits: int) -> Features:
@@ -120,9 +120,9 @@ def fit_ordinal(features: list[Features], grades: np.ndarray, bits: int = BITS,
                 least_documents: int = LEAST_DOCUMENTS) -> OrdinalModel:
     """Maximum likelihood of the cumulative-link model with a small absolute penalty."""
     size = 1 << bits
-    flat = np.concatenate([np.concatenate(f) for f in features]).astype(np.int64)
+    flat = np.concatenate([np.asarray(part, np.int32) for f in features for part in f])
     value = np.concatenate([values(f) for f in features])
-    rows = np.repeat(np.arange(len(features)), [len(w) + len(s) for w, s in features])
+    rows = np.repeat(np.arange(len(features), dtype=np.int32), [len(w) + len(s) for w, s in features])
     common = (np.bincount(flat, minlength=size) >= least_documents)[flat]
     rows, flat, value = rows[common], flat[common], value[common]
     n = len(features)
@@ -182,7 +182,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # A repeated id gives one document, so the sample stays within its bound.
     found = texts.mapInArrow(featurise(bits), "doc_id long, words array<int>, shape array<int>")
     found = found.groupBy("doc_id").agg(F.min(F.struct("words", "shape")).alias("of"))
-    by_id = {r["doc_id"]: (r["words"], r["shape"]) for r in found.select("doc_id", "of.words", "of.shape").collect()}
+    found = found.select("doc_id", "of.words", "of.shape").toArrow()
+    by_id = {
+        key: (words.values.to_numpy(), shape.values.to_numpy())
+        for key, words, shape in zip(found["doc_id"].to_pylist(), found["words"], found["shape"], strict=True)
+    }
     rated = [(by_id[r["rated_id"]], r["grade"]) for r in rated if r["rated_id"] in by_id]
     if not rated:
         return None
