@@ -5,7 +5,7 @@ configuration is a multiset of piece lengths that fits one sequence; the linear
 be so that every length of the histogram is covered.
 
 1. Tokens: each piece's length and checksum are written once, without its text. Words are encoded once per
-   worker and remembered; a text's ids are joined from them. That gives the tokenizer's own ids because it
+   worker and remembered, up to a bound; a text's ids are joined from them. That gives the tokenizer's own ids because it
    drops white space and never merges across it.
 2. The histogram has at most ``capacity`` lengths, however large the input; it is all that the driver sees.
    Multiplicative weights price the lengths, knapsack dynamic programming finds the best configurations
@@ -22,7 +22,8 @@ itself. No rows give none. Only id and text are read, whatever other columns are
 
 from __future__ import annotations
 
-import os
+import re
+import struct
 import unicodedata
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -37,8 +38,13 @@ from txrisk.llm.common import partitions, staged
 CAPACITY = 2048
 END_ID = 0
 ROUNDS = 120
-REMEMBERED = 600_000
-SEPARATOR = "\x01"
+REMEMBERED = 1_200_000
+# Latin letters whose lower case is one letter of the same range, then marks; not the apostrophe, which may
+# begin a part of its own with the letters after it.
+SIMPLE = re.compile(
+    r"([A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0239\u023b-\u023d\u023f-\u024f]+)"
+    r"([.,;:!?*$%&#|\"()]*)"
+).fullmatch
 PIECES = "doc_id long, row long, piece int, start long, length int, ids_crc32 long"
 PLACED = (
     "doc_id long, row long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -51,49 +57,68 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class WordEncoder:
-    """Token ids of whole texts as little-endian 32-bit numbers, word by word."""
+class WordIds(dict):
+    """Each word's token ids as little-endian 32-bit numbers, found when first asked for.
+
+    Most words are Latin letters with some marks at their end. For these the tokenizer's pattern gives two parts
+    whose ids are independent, and the first goes straight to the tokenizer's merges. The pattern is what costs most.
+    All other words go through the whole tokenizer.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        # A separator that is one token of its own, in no word's ids unless the word has it.
-        ids = self._ids([SEPARATOR])[0]
-        self.separator = ids[0] if len(ids) == 1 else None
-
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn(self, words: list[bytes]) -> None:
-        texts = [w.decode() for w in words]
-        plain = [self.separator is not None and SEPARATOR not in t for t in texts]
-        odd = [i for i, p in enumerate(plain) if not p]
-        for i, ids in zip(odd, self._ids([texts[i] for i in odd]), strict=True):
-            self.known[words[i]] = np.array(ids, "<u4").tobytes()
-        even = [i for i, p in enumerate(plain) if p]
-        for at in range(0, len(even), 2000):
-            part = even[at:at + 2000]
-            ids = np.array(self._ids([f" {SEPARATOR} ".join(texts[i] for i in part)])[0], "<u4")
-            ends = np.append(np.nonzero(ids == self.separator)[0], len(ids))
-            if len(ends) != len(part):
-                raise ValueError("the tokenizer does not keep words apart")
-            data, start = ids.tobytes(), 0
-            for i, end in zip(part, ends.tolist(), strict=True):
-                self.known[words[i]] = data[4 * start:4 * end]
-                start = end + 1
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        split = [lowered(t).split() for t in texts]
-        unknown = set()
-        for words in split:
-            unknown.update(words)
-        if len(self.known) + len(unknown) > REMEMBERED:
-            self.known = {}
-        self.learn([w for w in unknown if w not in self.known])
-        for words in split:
-            yield b"".join(map(self.known.__getitem__, words))
+        self.merges = self.tokenizer.model
+        self.parts: dict[str, bytes] = {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode()
+        found = SIMPLE(text)
+        if found is None:
+            ids = self.whole_ids(text)
+        else:
+            core, marks = found.groups()
+            ids = self.core_ids(core.lower())
+            if marks:
+                tail = self.parts.get(marks)
+                if tail is None:
+                    tail = self.parts[marks] = self.whole_ids(marks)
+                ids += tail
+        self[word] = ids
+        return ids
+
+    def whole_ids(self, text: str) -> bytes:
+        return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def core_ids(self, core: str) -> bytes:
+        ids = self.parts.get(core)
+        if ids is None:
+            # The merges work on bytes written as characters.
+            shown = core if core.isascii() else "".join(map(BYTE_CHARACTERS.__getitem__, core.encode()))
+            ids = self.parts[core] = packed([token.id for token in self.merges.tokenize(shown)])
+        return ids
+
+    def of_text(self, text: str) -> bytes:
+        if len(self) > REMEMBERED:
+            self.clear()
+            self.parts.clear()
+        return b"".join(map(self.__getitem__, lowered(text).split()))
+
+
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def byte_characters() -> list[str]:
+    """How byte-level vocabularies write each byte: printable Latin-1 as it is, the others from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+
+
+BYTE_CHARACTERS = byte_characters()
 
 
 def lowered(text: str) -> bytes:
@@ -112,34 +137,31 @@ def lowered(text: str) -> bytes:
     return data
 
 
-ENCODERS: dict[str, WordEncoder] = {}
+ENCODERS: dict[str, WordIds] = {}
 
 
-def encoder_of(path: str | None) -> WordEncoder:
+def encoder_of(path: str | None) -> WordIds:
     """One encoder per worker process, kept between tasks; without a path, that of the installed vocabulary."""
     path = path or tokenizer_file()
     if path not in ENCODERS:
-        ENCODERS[path] = WordEncoder(path)
+        ENCODERS[path] = WordIds(path)
     return ENCODERS[path]
 
 
 def cut(path: str | None, capacity: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A document's pieces: doc_id, row, piece, start, length, checksum."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         encoder = encoder_of(path)
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             keys, rows = batch.column("doc_id").to_pylist(), batch.column("row").to_pylist()
             found = []
-            for at in range(0, len(texts), 256):
-                part = slice(at, at + 256)
-                for key, row, data in zip(keys[part], rows[part], encoder.encode(texts[part]), strict=True):
-                    data += end
-                    for piece, start in enumerate(range(0, len(data), 4 * capacity)):
-                        ids = data[start:start + 4 * capacity]
-                        found.append((key, row, piece, start // 4, len(ids) // 4, crc32(ids)))
+            for key, row, text in zip(keys, rows, texts, strict=True):
+                data = encoder.of_text(text) + end
+                for piece, start in enumerate(range(0, len(data), 4 * capacity)):
+                    ids = data[start:start + 4 * capacity]
+                    found.append((key, row, piece, start // 4, len(ids) // 4, crc32(ids)))
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)],
