@@ -39,5 +39,9 @@ def test_awkward_texts(spark):
 
 def test_repeated_rows(spark):
     text = "\n".join(lines(30, 6))
-    found = line_dedup(spark.createDataFrame([(3, text), (3, text), (None, text)], "doc_id long, text string")).collect()
-    assert sorted(r.n_removed > 0 for r in found) == [False, True, True]
+    rows = [(3, text), (3, text), (None, text), (3, text + "\nx"), (4, text)]
+    found = line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == len(rows)
+    # Rows that repeat id and text are one document; of the two texts of id 3, one holds the first occurrences.
+    assert all(r.n_removed > 0 for r in found if r.doc_id != 3)
+    assert {r.n_removed > 0 for r in found if r.doc_id == 3} == {False, True}
