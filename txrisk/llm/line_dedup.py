@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from txrisk.llm.common import whole
+from txrisk.llm.common import staged, whole
 
 SPAN = 3
 DIVISOR = 4
@@ -79,7 +79,8 @@ def removals(chunks: DataFrame) -> DataFrame:
         "h", F.xxhash64("chunk_text")
     )
     repeated = several.groupBy("h").agg(F.count("*").alias("times")).filter("times > 1").select("h")
-    several = several.join(repeated, "h", "left_semi")
+    # Written, as both sides of the next join need them, and their shuffle carries all chunks.
+    several = staged(several.join(repeated, "h", "left_semi"), "line-repeated")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "chunk")
     firsts = several.groupBy("h", "chunk_text").agg(F.min(place).alias("first"))
     return several.withColumn("place", place).join(firsts, ["h", "chunk_text"]).filter(
