@@ -42,6 +42,7 @@ PENALTY = 1e-5
 STEM = 4
 LEAST = 0.7
 GRADES = 3
+REMEMBERED = 150_000
 EDGES = b".,;:!?\"'()[]|*$%&#"
 
 
@@ -90,7 +91,7 @@ def buckets(text: str, known: dict[bytes, tuple[int, ...]], bits: int) -> Featur
     for word in distinct:
         held = known.get(word)
         if held is None:
-            if len(known) > 500_000:
+            if len(known) > REMEMBERED:
                 known.clear()
             bare = word.strip(EDGES)
             held = known[word] = (word_bucket(bare, bits), word_bucket(b"\1" + bare[:STEM], bits))[:1 + (len(bare) > STEM)]
