@@ -7,7 +7,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
-from txrisk.operators import classes, features
+from txrisk.operators import classes, features, model
 from txrisk.operators.metrics import classification_metrics, confusion
 from txrisk.operators.ranking import leading_values, top_ranked
 from txrisk.operators.reductions import last_values, legend_figures, with_share
@@ -118,18 +118,30 @@ def test_unseen_and_missing_categories_share_the_last_index(spark):
     assert found["c"].f_device_idx == 2.0 and found["d"].f_merchant_idx == 1.0
 
 
-def test_categories_up_to_the_limit_are_indexed(spark):
-    rows = spark.range(500).select(F.col("id").cast("string").alias("location"))
-    assert features.category_index(rows, ("location",)).count() == 500
+def test_all_categories_are_indexed(spark):
+    rows = spark.range(5000).select(F.concat(F.lit("v"), F.col("id") % 3000).alias("location"))
+    index = features.category_index(rows, ("location",))
+    # Counting needs no index column, and loses no row without it.
+    assert index.count() == index.select("column", "value").count() == 3000
+    expected = sorted((f"v{i}" for i in range(3000)), key=lambda v: (int(v[1:]) >= 2000, v))
+    assert [r.value for r in index.orderBy("index").collect()] == expected
+    assert [r["index"] for r in index.orderBy("index").collect()] == list(range(3000))
 
 
 def test_wide_columns_are_refused_before_they_reach_the_driver(spark):
-    rows = spark.range(5000).select(F.col("id").cast("string").alias("location"),
-                                    F.lit("x").alias("device"), F.lit("y").alias("merchant"))
-    with pytest.raises(Exception, match="more than 500 distinct values to index in location"):
-        features.fit_category_indexers(rows)
-    plan = features.category_index(rows)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") == 2
+    rows = spark.range(50).select(F.col("id").cast("string").alias("location"),
+                                  F.lit("x").alias("device"), F.lit("y").alias("merchant"))
+    with pytest.raises(ValueError, match="50 distinct values to index in location"):
+        features.fit_category_indexers(rows, most=49)
+
+
+def test_forty_categories_train(spark):
+    rows = spark.range(400).select(
+        F.col("id").alias("userId"), F.rand(1).alias("amount_log"), (F.col("id") % 40).cast("string").alias("location"),
+        F.lit("x").alias("device"), F.lit("y").alias("merchant"), (F.col("id") % 2).cast("int").alias("label"),
+        F.lit(1.0).alias("weight"),
+    )
+    assert model.fit(rows, max_iter=1).stages[-1].getMaxBins() == 41
 
 
 def brute_rank(rows, top):

@@ -75,6 +75,7 @@ def test_message_timestamps(spark):
     ('{"transactionId":"t","amount":5.0}', "no user"),
     ('{"transactionId":"t","userId":1}', "no amount"),
     ('{"transactionId":"t","userId":1,"amount":NaN}', "amount is not a number"),
+    ('{"transactionId":"t","userId":1,"amount":1e400}', "amount is infinite"),
     ('{"transactionId":"t","userId":1,"amount":-1.0}', "amount has no log"),
     ('{"transactionId":"t","userId":1,"amount":-0.5}', None),
     ('{"userId":1,"amount":5.0}', None),

@@ -7,59 +7,67 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
 from txrisk import values as V
+from txrisk.session import work_dir
 
 INDEX_SUFFIX = "_idx"
 NUMERIC_FEATURES = ("userId", "amount_log")
 
-# An indexer keeps every distinct value of a column on the driver and in each task. A tree model splits
-# on a few dozen categories at most, so a column with more than this many is taken for a mistake. Spark
-# prunes a ranking before its shuffle for limits up to 1000 only.
-MAX_CATEGORIES = 500
+# An indexer keeps every distinct value of a column on the driver and in each task, and a tree needs a bin
+# for each. A fit on a column with more than this many is refused; the index itself has no limit.
+MOST_FITTED = 10_000
 
 
 def feature_columns(categories: tuple[str, ...] = V.CATEGORIES) -> list[str]:
     return [*NUMERIC_FEATURES, *(c + INDEX_SUFFIX for c in categories)]
 
 
-def category_index(rows: DataFrame, categories: tuple[str, ...] = V.CATEGORIES,
-                   limit: int = MAX_CATEGORIES) -> DataFrame:
-    """(column, value, index): values by falling frequency, ties alphabetical, counted from 0.
-
-    Counting happens before the shuffle, so the ranking sees one row per distinct value, and no more
-    than ``limit + 1`` of them per column and task. A column with more than ``limit`` is an error.
-    """
+def category_counts(rows: DataFrame, categories: tuple[str, ...] = V.CATEGORIES) -> DataFrame:
+    """(column, value, n) of the values that are not null, counted before the shuffle."""
     pairs = F.explode(
         F.array(*(
             F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
             for c in categories
         ))
     )
-    counts = (
+    return (
         rows.select(pairs.alias("pair")).select("pair.*")
         .filter(F.col("value").isNotNull())
         .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     )
-    order = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("value"))
-    ranked = counts.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= limit + 1)
-    too_many = F.raise_error(
-        F.concat(F.lit(f"more than {limit} distinct values to index in "), F.col("column"))
-    )
-    return ranked.select(
-        "column",
-        "value",
-        F.when(F.col("place") > limit, too_many.cast("double"))
-        .otherwise((F.col("place") - 1).cast("double")).alias("index"),
+
+
+def category_index(rows: DataFrame, categories: tuple[str, ...] = V.CATEGORIES) -> DataFrame:
+    """(column, value, index): all values by falling frequency, ties alphabetical, counted from 0.
+
+    The distinct values are sorted into ranges and written; each range numbers its own rows and adds the
+    rows of the ranges before it, so no column is ranked in one task.
+    """
+    ranged = category_counts(rows, categories).repartitionByRange("column", F.desc("n"), "value")
+    path = work_dir(rows.sparkSession, "category-ranges")
+    ranged.withColumn("part", F.spark_partition_id()).write.parquet(path)
+    written = rows.sparkSession.read.parquet(path)
+    parts = written.groupBy("column", "part").agg(F.count(F.lit(1)).alias("held"))
+    earlier = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select("column", "part", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("before"))
+    order = Window.partitionBy("column", "part").orderBy(F.desc("n"), F.asc("value"))
+    return written.withColumn("place", F.row_number().over(order)).join(offsets, ["column", "part"]).select(
+        "column", "value", (F.col("before") + F.col("place") - 1).cast("double").alias("index")
     )
 
 
 def fit_category_indexers(rows: DataFrame, categories: tuple[str, ...] = V.CATEGORIES,
-                          limit: int = MAX_CATEGORIES) -> list[StringIndexerModel]:
+                          most: int = MOST_FITTED) -> list[StringIndexerModel]:
     """One indexer per category column; unseen and null values share the index after the last.
 
-    The labels are those a ``StringIndexer`` with ``frequencyDesc`` would learn, all from one bounded
-    pass. (A single model for several columns cannot be built from label lists of unequal length.)
+    The labels are those a ``StringIndexer`` with ``frequencyDesc`` would learn. A column with more than
+    ``most`` is an error, raised before any label is collected. (A single model for several columns
+    cannot be built from label lists of unequal length.)
     """
-    table = category_index(rows, categories, limit).orderBy("index").collect()
+    index = category_index(rows, categories)
+    for column, n in index.groupBy("column").count().collect():
+        if n > most:
+            raise ValueError(f"{n} distinct values to index in {column}, more than {most}")
+    table = index.orderBy("index").collect()
     return [
         StringIndexerModel.from_labels(
             [r["value"] for r in table if r["column"] == c],

@@ -20,6 +20,9 @@ SCORE_COLUMNS = (
     "features", "rawPrediction", "probability", "prediction",
 )
 
+# The tree learner's own default.
+LEAST_BINS = 32
+
 TRAINING_COLUMNS = ("userId", "amount_log", *V.CATEGORIES, "label", "weight")
 
 
@@ -55,6 +58,9 @@ def fit(train: DataFrame, indexers: list[StringIndexerModel] | None = None,
     rows = trainable(train).select(*TRAINING_COLUMNS)
     if indexers is None:
         indexers = fit_category_indexers(rows)
+    # A bin for each value of the largest column and one for unseen values.
+    bins = max((len(i.labels) + 1 for i in indexers), default=0)
+    params.setdefault("maxBins", max(LEAST_BINS, bins))
     return Pipeline(stages=[*indexers, assembler(), classifier(max_iter, **params)]).fit(rows)
 
 

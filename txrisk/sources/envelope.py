@@ -38,8 +38,8 @@ def parse_envelope(messages: DataFrame) -> DataFrame:
 def reject_cause() -> Column:
     """Why a parsed message cannot be scored, null if it can.
 
-    The classifier takes numbers only: a null or NaN user or amount would end the whole job, and an
-    amount of -1 or less has no log. Unknown or missing categories are fine, they have an index.
+    The classifier takes numbers only: a null or NaN user or amount would end the whole job, an
+    infinite amount would spoil every total it enters, and one of -1 or less has no log. Unknown or missing categories are fine, they have an index.
     """
     amount = F.col("amount")
     return (
@@ -49,6 +49,7 @@ def reject_cause() -> Column:
         .when(F.col("userId").isNull(), "no user")
         .when(amount.isNull(), "no amount")
         .when(F.isnan(amount), "amount is not a number")
+        .when(amount == float("inf"), "amount is infinite")
         .when(amount <= -1, "amount has no log")
     )
 
