@@ -181,12 +181,29 @@ def test_model_beats_chance_on_the_held_out_rows(spark):
     assert row.auroc_hard > 0.55 and row.auroc_score > 0.6
 
 
-def test_training_leaves_unusable_rows_out(spark, transactions):
+def test_training_sets_unusable_rows_aside(spark, transactions):
     bad = spark.createDataFrame([
         ("x1", None, 5.0, "NY", "Web", "Fuel", None, 1), ("x2", 1, None, "NY", "Web", "Fuel", None, 0),
         ("x3", 1, -2.0, "NY", "Web", "Fuel", None, 0), ("x4", 1, 5.0, "NY", "Web", "Fuel", None, None),
+        ("x5", 1, float("inf"), "NY", "Web", "Fuel", None, 1), ("x6", 1, 5.0, "NY", "Web", "Fuel", None, 2),
+        (None, None, None, None, None, None, None, None),
     ], schema.LABELLED)
-    assert train.stage(transactions.unionByName(bad)).count() == 1500
+    kept, held_out, rejects = train.sides(train.stage(transactions.unionByName(bad)))
+    assert kept.count() + held_out.count() == 1500
+    assert {r.transactionId: r.cause for r in rejects.collect()} == {
+        "x1": "no user", "x2": "no amount", "x3": "amount has no log", "x4": "no label",
+        "x5": "amount is infinite", "x6": "label outside 0 and 1", None: "unreadable line"}
+    # x1 and x5 are positives, and all 1507 rows count.
+    assert kept.filter("label = 1").first().weight == pytest.approx((1507 - 434) / 1507)
+
+
+def test_fit_rows_do_not_depend_on_layout(spark, transactions):
+    staged = train.stage(transactions, source.split_draw())
+    rows = train.sides(staged)[0]
+    one, other = (train.placed(r).rdd.glom().map(lambda p: [r.transactionId for r in p]).collect()
+                  for r in (rows, rows.repartition(6)))
+    assert one == other and len(one) == train.LEAST_PARTS
+    assert 400 < train.placed(rows, 600).count() < 800
 
 
 def test_training_job_from_json(spark, transactions, folder):

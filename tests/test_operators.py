@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from txrisk.operators import classes, features, model
 from txrisk.operators.metrics import classification_metrics, confusion
-from txrisk.operators.ranking import leading_values, top_ranked
+from txrisk.operators.ranking import leading_values, share_leaders, top_ranked
 from txrisk.operators.reductions import last_values, legend_figures, with_share
 
 
@@ -54,6 +54,17 @@ def test_hard_auroc_with_one_class(spark, pairs):
     assert classification_metrics(rows).first().auroc_hard == pytest.approx(want)
 
 
+def test_metrics_count_other_labels(spark):
+    pairs = [(0, 0), (1, 1), (2, 1), (2, 0), (1, 0), (0, 0)]
+    rows = scored(spark, pairs)
+    found = classification_metrics(rows).first()
+    for name, metric in (("accuracy", "accuracy"), ("f1", "f1"), ("precision_1", "precisionByLabel")):
+        want = MulticlassClassificationEvaluator(metricName=metric, metricLabel=1.0).evaluate(rows)
+        assert found[name] == pytest.approx(want)
+    want = BinaryClassificationEvaluator(rawPredictionCol="prediction").evaluate(rows)
+    assert found.auroc_hard == pytest.approx(want)
+
+
 def test_metrics_leave_unlabelled_rows_out(spark):
     rows = spark.createDataFrame([(0, 0.0), (None, 1.0), (1, 1.0), (1, None)],
                                  "label int, prediction double")
@@ -208,6 +219,16 @@ def test_ranking_is_pruned_before_the_shuffle(spark, folder):
     assert text.count("Exchange") == 1
 
 
+def test_the_large_shuffle_gets_pruned_rows(spark, folder):
+    spark.createDataFrame(ranking_rows(), "user int, amount double, n int").write.parquet(folder + "/r")
+    plan = share_leaders(spark.read.parquet(folder + "/r"), "user", "amount", 3)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    above, below = text.split("Exchange")
+    assert "WindowGroupLimit" in above and "WindowGroupLimit" in below
+    tied = spark.range(0, 3000, numPartitions=6).select(F.lit(1).alias("user"), F.lit(2.0).alias("amount"))
+    assert share_leaders(tied, "user", "amount", 3).count() == 3000
+
+
 def test_share(spark):
     rows = spark.createDataFrame([("a", 1.0), ("b", 3.0), ("c", None)], "k string, v double")
     assert {r.k: r.share for r in with_share(rows, "v").collect()} == {"a": 0.25, "b": 0.75, "c": None}

@@ -11,7 +11,7 @@ DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 KINDS = {
     "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
-    "timestamp": "TIMESTAMP",
+    "timestamp": "TIMESTAMP", "boolean": "BOOLEAN",
 }
 
 

@@ -78,7 +78,8 @@ def test_message_timestamps(spark):
     ('{"transactionId":"t","userId":1,"amount":1e400}', "amount is infinite"),
     ('{"transactionId":"t","userId":1,"amount":-1.0}', "amount has no log"),
     ('{"transactionId":"t","userId":1,"amount":-0.5}', None),
-    ('{"userId":1,"amount":5.0}', None),
+    ('{"userId":1,"amount":5.0}', "no transaction"),
+    ('{"transactionId":"t","userId":1,"amount":5.0,"timestamp":"yesterday"}', "unreadable field"),
     ('{"transactionId":"t","userId":1,"amount":5.0,"location":null}', None),
     ('{"transactionId":"t","userId":1,"amount":5,"label":1,"extra":[1]}', None),
 ])
@@ -95,7 +96,7 @@ def test_bad_field_keeps_the_others(spark):
 
 
 def test_every_message_is_accepted_or_rejected(spark):
-    rows = checked(messages(spark, None, "x", '{"userId":1,"amount":5.0}', '{"userId":2}'))
+    rows = checked(messages(spark, None, "x", '{"transactionId":"t","userId":1,"amount":5.0}', '{"userId":2}'))
     assert accepted(rows).count() == 1 and rejected(rows).count() == 3
     assert accepted(rows).columns == schema.TRANSACTION.names
     assert rejected(rows).columns == schema.REJECT.names

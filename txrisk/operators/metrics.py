@@ -19,57 +19,65 @@ def _share(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(0.0)
 
 
-def _f1(precision: Column, recall: Column) -> Column:
-    return _share(2 * precision * recall, precision + recall)
-
-
 def classification_metrics(scored: DataFrame) -> DataFrame:
     """One row: accuracy, precision and recall of both classes, weighted F1, hard-label AUROC.
 
-    ``auroc_hard`` is the area under the curve of the 0/1 predictions, which is the mean of the two
-    recalls. All of it follows from four counts, taken in one pass; rows without a label or a
-    prediction are left out.
+    Every label and prediction counts, whatever classes there are; rows without one are left out. The rows
+    are counted by (label, prediction) once, all else is computed on those few counts. ``auroc_hard`` is
+    the area under the curve of the 0/1 predictions, labels above 0.5 being the positives.
     """
-    label, guess = F.col("label"), F.col("prediction")
+    label, guess, n = F.col("label").cast("double"), F.col("prediction").cast("double"), F.col("n")
+    cells = (
+        scored.select(label.alias("label"), guess.alias("guess")).filter("label IS NOT NULL AND guess IS NOT NULL")
+        .groupBy("label", "guess").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    )
+    none = F.lit(0.0)
+
+    def counted(test: Column) -> Column:
+        return F.when(test, n).otherwise(none)
+
+    positive, hit = F.col("label") > 0.5, F.col("guess") > 0.5
+    sides = F.explode(F.array(
+        F.struct(F.col("label").alias("kind"), n.alias("actual"), none.alias("guessed"),
+                 counted(F.col("label") == F.col("guess")).alias("right"), counted(positive).alias("positives"),
+                 counted(positive & hit).alias("hits"), counted(~positive & hit).alias("false_hits")),
+        F.struct(F.col("guess").alias("kind"), none.alias("actual"), n.alias("guessed"), none.alias("right"),
+                 none.alias("positives"), none.alias("hits"), none.alias("false_hits")),
+    ))
+    sums = ("actual", "guessed", "right", "positives", "hits", "false_hits")
+    kinds = cells.select(sides.alias("side")).groupBy("side.kind").agg(
+        *(F.sum(f"side.{c}").alias(c) for c in sums)
+    )
+    precision, recall = (_share(F.col("right"), F.col(c)) for c in ("guessed", "actual"))
+    f1 = _share(2 * precision * recall, precision + recall)
 
-    def cell(actual: int, predicted: int, name: str) -> Column:
-        return F.count_if((label == actual) & (guess == predicted)).alias(name)
+    def of_kind(kind: int, value: Column) -> Column:
+        return F.coalesce(F.max(F.when(F.col("kind") == kind, value)), none)
 
-    counts = scored.agg(cell(0, 0, "tn"), cell(0, 1, "fp"), cell(1, 0, "fn"), cell(1, 1, "tp"))
-    tn, fp, fn, tp = (F.col(c).cast("double") for c in ("tn", "fp", "fn", "tp"))
-    negatives, positives = tn + fp, fn + tp
-    total = negatives + positives
-    rates = counts.select(
-        negatives.alias("negatives"),
-        positives.alias("positives"),
-        _share(tn + tp, total).alias("accuracy"),
-        _share(tn, tn + fn).alias("precision_0"),
-        _share(tn, negatives).alias("recall_0"),
-        _share(tp, tp + fp).alias("precision_1"),
-        _share(tp, positives).alias("recall_1"),
+    totals = kinds.agg(
+        *(F.coalesce(F.sum(c), none).alias(c) for c in sums),
+        F.coalesce(F.sum(f1 * F.col("actual")), none).alias("weighted"),
+        *(of_kind(k, v).alias(f"{name}_{k}")
+          for k in (0, 1) for name, v in (("precision", precision), ("recall", recall))),
     )
-    f1_0 = _f1(F.col("precision_0"), F.col("recall_0"))
-    f1_1 = _f1(F.col("precision_1"), F.col("recall_1"))
-    weighted = f1_0 * F.col("negatives") + f1_1 * F.col("positives")
+    negatives = F.col("actual") - F.col("positives")
     # With one class missing the curve degenerates to an edge of the unit square.
     area = (
         F.when(F.col("positives") == 0, 0.0)
-        .when(F.col("negatives") == 0, 1.0)
-        .otherwise((F.col("recall_1") + F.col("recall_0")) / 2)
+        .when(negatives == 0, 1.0)
+        .otherwise((1 + F.col("hits") / F.col("positives") - F.col("false_hits") / negatives) / 2)
     )
-    return rates.select(
-        "accuracy",
-        "precision_0",
-        "recall_0",
-        "precision_1",
-        "recall_1",
-        _share(weighted, F.col("negatives") + F.col("positives")).alias("f1"),
+    return totals.select(
+        _share(F.col("right"), F.col("actual")).alias("accuracy"),
+        "precision_0", "recall_0", "precision_1", "recall_1",
+        _share(F.col("weighted"), F.col("actual")).alias("f1"),
         area.alias("auroc_hard"),
     )
 
 
 def score_auroc(scored: DataFrame) -> float:
-    """Area under the curve of the model's raw scores, on Spark's evaluator."""
+    """Area under the curve of the model's raw scores, on Spark's evaluator; no point of the curve is left out."""
     return BinaryClassificationEvaluator(
-        labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC"
+        labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC",
+        numBins=0,
     ).evaluate(scored)

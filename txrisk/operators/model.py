@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from txrisk import values as V
 from txrisk.operators.features import (
-    INDEX_SUFFIX, NUMERIC_FEATURES, assembler, fit_category_indexers,
+    INDEX_SUFFIX, assembler, fit_category_indexers,
 )
 from txrisk.session import shared_dir
 
@@ -38,24 +40,33 @@ def classifier(max_iter: int = V.MAX_ITER, **params) -> GBTClassifier:
     return GBTClassifier(labelCol="label", featuresCol="features", weightCol="weight", **settings)
 
 
-def trainable(rows: DataFrame) -> DataFrame:
-    """Rows the classifier accepts: a 0/1 label and numbers in every numeric feature."""
-    whole = F.col("label").isin(0, 1)
-    for name in NUMERIC_FEATURES:
-        whole = whole & F.col(name).isNotNull() & ~F.isnan(F.col(name).cast("double"))
-    return rows.filter(whole)
+def reject_cause() -> Column:
+    """Why the classifier cannot learn from a labelled row with ``amount_log``, null if it can."""
+    amount, label = F.col("amount"), F.col("label")
+    fields = [F.col(c).isNull() for c in ("transactionId", "userId", "amount", "label", *V.CATEGORIES)]
+    return (
+        F.when(reduce(Column.__and__, fields), "unreadable line")
+        .when(label.isNull(), "no label")
+        .when(~label.isin(0, 1), "label outside 0 and 1")
+        .when(F.col("userId").isNull(), "no user")
+        .when(amount.isNull(), "no amount")
+        .when(F.isnan(amount.cast("double")), "amount is not a number")
+        .when(amount == float("inf"), "amount is infinite")
+        .when(F.col("amount_log").isNull(), "amount has no log")
+    )
 
 
 def fit(train: DataFrame, indexers: list[StringIndexerModel] | None = None,
         max_iter: int = V.MAX_ITER, **params) -> PipelineModel:
     """Fits indexers, assembler and classifier on labelled, weighted rows with ``amount_log``.
 
+    Rows with a ``reject_cause`` are an error here, the training job sets them aside before.
     Boosting passes over the training rows once per tree level and keeps them as binned points, in
     the partitions they come in. The shared checkpoint folder cuts the lineage of the per-tree
     errors, so a lost executor costs one interval of trees and not all of them.
     """
     shared_dir(train.sparkSession)
-    rows = trainable(train).select(*TRAINING_COLUMNS)
+    rows = train.select(*TRAINING_COLUMNS)
     if indexers is None:
         indexers = fit_category_indexers(rows)
     # A bin for each value of the largest column and one for unseen values.

@@ -1,4 +1,4 @@
-"""The queries in DuckDB's SQL, over its ``orders`` view. Queries with a fitted model have none."""
+"""The queries in DuckDB's SQL, over its ``orders`` view. Scores of a fitted model have none, only what must hold for them."""
 
 from __future__ import annotations
 
@@ -85,6 +85,22 @@ SELECT "transactionId", "userId", round(amount, 6) AS amount, fraud_reason,
 FROM pred WHERE prediction = 1
 """
 
+# Labelled rows with a fault per merchant.
+_DAMAGED = """
+, damaged AS (
+  SELECT "transactionId",
+         CASE WHEN merchant IN ('Electronics', 'Travel') OR lost THEN 0 ELSE label END AS positive,
+         label,
+         CASE merchant WHEN 'Electronics' THEN 'label outside 0 and 1'
+                       WHEN 'Travel' THEN 'no label'
+                       WHEN 'Clothing' THEN 'no user'
+                       WHEN 'Restaurants' THEN 'no amount'
+                       WHEN 'Fuel' THEN 'amount is infinite'
+                       ELSE CASE WHEN lost THEN 'unreadable line' END END AS cause
+  FROM (SELECT *, merchant = 'Grocery' AND location = 'NY' AS lost FROM tx)
+)
+"""
+
 _SELECTS = {
     "transactions": """
 SELECT "transactionId", "userId", amount, location, device, merchant, "timestamp", label FROM tx
@@ -111,7 +127,10 @@ SELECT CASE merchant
          WHEN 'Clothing' THEN 'no user'
          WHEN 'Restaurants' THEN 'no amount'
          WHEN 'Fuel' THEN 'amount has no log'
-         ELSE 'accepted' END AS cause,
+         ELSE CASE location WHEN 'NY' THEN 'no transaction'
+                            WHEN 'IL' THEN 'unreadable field'
+                            WHEN 'FL' THEN 'amount is infinite'
+                            ELSE 'accepted' END END AS cause,
        count(*) AS "count"
 FROM tx GROUP BY 1
 """,
@@ -253,6 +272,40 @@ SELECT round(min(total), 4) AS "min", round(arg_max(total, merchant), 4) AS "las
        round(avg(total), 4) AS "mean"
 FROM exposure
 """,
+    "category_index_wide": """
+SELECT 'userId' AS "column", CAST("userId" AS VARCHAR) AS value,
+       CAST(row_number() OVER (ORDER BY count(*) DESC, CAST("userId" AS VARCHAR)) - 1 AS DOUBLE) AS "index"
+FROM tx GROUP BY "userId"
+""",
+    "training_rejects": _DAMAGED + """
+SELECT cause, count(*) AS "count" FROM damaged WHERE cause IS NOT NULL GROUP BY cause
+""",
+    "training_weights": _DAMAGED + """
+SELECT "transactionId", label,
+       CASE WHEN label = 1 THEN (n - ones) / n::DOUBLE ELSE ones / n::DOUBLE END AS weight
+FROM damaged, (SELECT count(*) AS n, sum(positive) AS ones FROM damaged)
+WHERE cause IS NULL
+""",
+    "batch_totals": """
+SELECT count(*) AS row_count, count(*) FILTER (WHERE o_orderkey % 100 <> 0) AS accepted,
+       count(*) FILTER (WHERE o_orderkey % 100 = 0) AS rejected
+FROM tx
+""",
+    "gbt_score_checks": """
+SELECT "transactionId", label, true AS in_range, true AS by_half FROM tx WHERE u3 >= 0.8
+""",
+    "gbt_reload_checks": """SELECT "transactionId", true AS same FROM tx WHERE u3 >= 0.8""",
+    "stream_gbt_checks": """
+SELECT "transactionId", round(amount_log, 6) AS amount, true AS same FROM tx
+""",
+    "gbt_metrics_checks": """
+SELECT count(*) AS test_rows, count(*) FILTER (WHERE label = 1) AS positives, true AS beats_chance
+FROM tx WHERE u3 >= 0.8
+""",
+    "gbt_layout": """
+SELECT count(*) AS test_rows, CAST(0 AS BIGINT) AS changed FROM tx WHERE u3 >= 0.8
+""",
+    "stream_replay": _PREDICTIONS,
     "stream_score_table": _PREDICTIONS,
     "stream_alerts": _ALERTS,
     "batch_counts": """
@@ -262,4 +315,9 @@ FROM tx
 """,
 }
 
+_SELECTS["stream_quarantine"] = _SELECTS["quarantine"]
+for _panel in ("merchant_exposure", "fraud_transactions", "user_top3", "device_counts", "merchant_contribution",
+               "prediction_counts", "reason_breakdown", "avg_amount", "location_counts"):
+    _SELECTS[f"report_stored_{_panel}"] = _SELECTS[f"report_{_panel}"]
+
 ORACLES = {name: _VIEWS + select for name, select in _SELECTS.items()}

@@ -21,6 +21,8 @@ def main() -> None:
     target.add_argument("--files", help="folder to append Parquet message files to")
     parser.add_argument("--servers", help="Kafka bootstrap servers")
     options = parser.parse_args()
+    if options.topic and not options.servers:
+        parser.error("--topic needs --servers")
     spark = get_spark("txrisk-publish")
     envelopes = to_envelope(read_json(spark, options.input))
     if options.topic:

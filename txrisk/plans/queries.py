@@ -7,6 +7,7 @@ another engine's logarithm may differ in the last bit and its sums in their orde
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -28,8 +29,10 @@ TOTAL_PLACES = 4
 SHARE_PLACES = 6
 METRIC_PLACES = 9
 
-# Boosting rounds of the queries. The library's default is V.MAX_ITER.
-QUERY_ROUNDS = 10
+# What several queries of a session share, by application and folder: the fit and the filled tables.
+_FITS: dict[tuple[str, str], training.Trained] = {}
+_SERVED: dict[tuple[str, str], ServingTables] = {}
+
 AGE_ANCHOR = "2024-01-01 00:00:00"
 MINUTES_BACK = 30 * 24 * 60
 
@@ -76,17 +79,22 @@ def kafka_envelope(spark: SparkSession, folder: str) -> DataFrame:
     return parsed.select("message_key", *schema.TRANSACTION.names)
 
 
-def quarantine(spark: SparkSession, folder: str) -> DataFrame:
-    """All messages are checked; every hundredth is garbage on the wire, and just those are set aside."""
+def _garbled(messages: DataFrame) -> DataFrame:
+    """Every hundredth message becomes garbage on the wire."""
     number = source.transaction_number(F.col("key"))
-    damaged = envelope.to_envelope(_transactions(spark, folder)).withColumn(
+    return messages.withColumn(
         "value", F.when(number % 100 == 0, F.lit("garbage").cast("binary")).otherwise(F.col("value"))
     )
+
+
+def quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """All messages are checked; every hundredth is garbage on the wire, and just those are set aside."""
+    damaged = _garbled(envelope.to_envelope(_transactions(spark, folder)))
     return envelope.rejected(envelope.checked(damaged))
 
 
 def quarantine_causes(spark: SparkSession, folder: str) -> DataFrame:
-    """A different fault for every merchant but one, counted by the cause it is rejected for."""
+    """A different fault for every merchant but one, and for some of its places, counted by cause."""
     text = F.col("value").cast("string")
 
     def sold_by(merchant: str) -> Column:
@@ -99,6 +107,9 @@ def quarantine_causes(spark: SparkSession, folder: str) -> DataFrame:
         .when(sold_by("Clothing"), F.regexp_replace(text, r'"userId":\d+', '"userId":"abc"'))
         .when(sold_by("Restaurants"), F.regexp_replace(text, r'"amount":[^,]+,', ""))
         .when(sold_by("Fuel"), F.regexp_replace(text, r'"amount":[^,]+', '"amount":-1.0'))
+        .when(text.contains('"location":"NY"'), F.regexp_replace(text, r'"transactionId":"[^"]*",', ""))
+        .when(text.contains('"location":"IL"'), F.regexp_replace(text, r'"timestamp":"[^"]*"', '"timestamp":"noon"'))
+        .when(text.contains('"location":"FL"'), F.regexp_replace(text, r'"amount":[^,]+', '"amount":1e400'))
         .otherwise(text).cast("binary"),
     )
     return (
@@ -209,36 +220,91 @@ def report_summary(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(reports.summary(_predictions(spark, folder)), TOTAL_PLACES, "amount_sum")
 
 
-def _stream(spark: SparkSession, folder: str, scorer: Scorer) -> ServingTables:
+def _stream(spark: SparkSession, folder: str, scorer: Scorer,
+            damage: Callable[[DataFrame], DataFrame] = lambda messages: messages, times: int = 1) -> ServingTables:
     """Runs the orders through message envelopes and the scoring stream, into new tables."""
     tables = ServingTables(work_dir(spark, "serving"))
-    messages = envelope.to_envelope(source.transactions(source.stream_orders(spark, folder)))
-    start_scoring(
-        messages, scorer, tables, work_dir(spark, "stream"),
-        {"availableNow": True}, alert_digits=AMOUNT_PLACES,
-    ).awaitTermination()
+    for _ in range(times):
+        messages = envelope.to_envelope(source.transactions(source.stream_orders(spark, folder)))
+        start_scoring(
+            damage(messages), scorer, tables, work_dir(spark, "stream"),
+            {"availableNow": True}, alert_digits=AMOUNT_PLACES,
+        ).awaitTermination()
     return tables
 
 
+def _served(spark: SparkSession, folder: str) -> ServingTables:
+    """The tables as the stream with the stand-in model fills them, once per session."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _SERVED:
+        _SERVED[key] = _stream(spark, folder, source.with_stand_in_prediction)
+    return _SERVED[key]
+
+
+def _stored_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    return _served(spark, folder).predictions(spark).select(*schema.PREDICTION.names)
+
+
 def stream_score_table(spark: SparkSession, folder: str) -> DataFrame:
-    tables = _stream(spark, folder, source.with_stand_in_prediction)
+    return _rounded(_stored_predictions(spark, folder), AMOUNT_PLACES, "amount")
+
+
+def stream_replay(spark: SparkSession, folder: str) -> DataFrame:
+    """The same input twice, under two checkpoints, into the same tables: as if once."""
+    tables = _stream(spark, folder, source.with_stand_in_prediction, times=2)
     return _rounded(
         tables.predictions(spark).select(*schema.PREDICTION.names), AMOUNT_PLACES, "amount"
     )
 
 
+def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    tables = _stream(spark, folder, source.with_stand_in_prediction, _garbled)
+    return tables.quarantine(spark).select(*schema.REJECT.names)
+
+
+def batch_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts over all batches of a stream with garbage in it, however the input was cut into batches."""
+    counts = _stream(spark, folder, source.with_stand_in_prediction, _garbled).batch_counts(spark)
+    return counts.agg(*(F.sum(c).alias(c) for c in ("row_count", "accepted", "rejected")))
+
+
 def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    tables = _stream(spark, folder, source.with_stand_in_prediction)
-    return tables.alerts(spark).select(*schema.ALERT.names)
+    return _served(spark, folder).alerts(spark).select(*schema.ALERT.names)
 
 
 def batch_counts(spark: SparkSession, folder: str) -> DataFrame:
-    tables = _stream(spark, folder, source.with_stand_in_prediction)
-    return tables.batch_counts(spark).select(*schema.BATCH_COUNT.names)
+    return _served(spark, folder).batch_counts(spark).select(*schema.BATCH_COUNT.names)
+
+
+def _damaged(spark: SparkSession, folder: str) -> DataFrame:
+    """Labelled rows with another fault for every merchant but one, and unreadable lines among the rest."""
+    rows = _transactions(spark, folder)
+    merchant = F.col("merchant")
+    lost = (merchant == "Grocery") & (F.col("location") == "NY")
+    changed = rows.withColumns({
+        "label": F.when(merchant == "Electronics", 2).when(merchant == "Travel", None).otherwise(F.col("label")),
+        "userId": F.when(merchant != "Clothing", F.col("userId")),
+        "amount": F.when(merchant == "Fuel", float("inf")).when(merchant != "Restaurants", F.col("amount")),
+    })
+    return changed.select(*(F.when(~lost, F.col(c)).alias(c) for c in rows.columns))
+
+
+def training_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    rejects = training.sides(training.stage(_damaged(spark, folder)))[2]
+    return training.reject_counts(rejects)
+
+
+def training_weights(spark: SparkSession, folder: str) -> DataFrame:
+    kept, held_out, _ = training.sides(training.stage(_damaged(spark, folder)))
+    return kept.unionByName(held_out).select("transactionId", "label", "weight")
 
 
 def _trained(spark: SparkSession, folder: str) -> training.Trained:
-    return training.train(_transactions(spark, folder), QUERY_ROUNDS, source.split_draw())
+    """The full fit, once per session."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _FITS:
+        _FITS[key] = training.train(_transactions(spark, folder), draw=source.split_draw())
+    return _FITS[key]
 
 
 def gbt_score(spark: SparkSession, folder: str) -> DataFrame:
@@ -267,6 +333,79 @@ def stream_gbt_score(spark: SparkSession, folder: str) -> DataFrame:
     return tables.predictions(spark).select(*schema.PREDICTION.names)
 
 
+def _same(one: str, other: str, *columns: str) -> Column:
+    """Whether two aliased frames hold the same values."""
+    tests = [F.col(f"{one}.{c}").eqNullSafe(F.col(f"{other}.{c}")) for c in columns]
+    return reduce(Column.__and__, tests)
+
+
+def gbt_score_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """What holds for every scored row of any model."""
+    probability = F.col("fraud_probability")
+    return gbt_score(spark, folder).select(
+        "transactionId", "label", probability.between(0, 1).alias("in_range"),
+        (F.col("prediction") == (probability > 0.5).cast("double")).alias("by_half"),
+    )
+
+
+def gbt_reload_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether a row scores the same after the model was saved and loaded."""
+    one, other = gbt_score(spark, folder).alias("a"), model_save_load_score(spark, folder).alias("b")
+    return one.join(other, "transactionId", "full").select(
+        "transactionId", _same("a", "b", "prediction", "fraud_probability").alias("same")
+    )
+
+
+def stream_gbt_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the stream serves a row as a batch with the same model does."""
+    rows = classifier.score(_trained(spark, folder).model, with_log_amount(_transactions(spark, folder)))
+    batch, served = serving_rows(rows).alias("a"), stream_gbt_score(spark, folder).alias("b")
+    return batch.join(served, "transactionId", "full").select(
+        "transactionId", F.round("b.amount", AMOUNT_PLACES).alias("amount"),
+        _same("a", "b", "userId", "amount", "prediction", "fraud_reason").alias("same"),
+    )
+
+
+def gbt_metrics_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """Size of the held-out side, and whether the model beats a guess on it."""
+    sizes = _trained(spark, folder).test.agg(
+        F.count(F.lit(1)).alias("test_rows"), F.sum("label").alias("positives")
+    )
+    beats = gbt_metrics(spark, folder).select((F.col("auroc_score") > 0.5).alias("beats")).scalar()
+    return sizes.select("test_rows", "positives", beats.alias("beats_chance"))
+
+
+def gbt_layout(spark: SparkSession, folder: str) -> DataFrame:
+    """Held-out rows whose prediction changes if the training rows come in other parts."""
+    one = _trained(spark, folder)
+    other = training.train(_transactions(spark, folder).repartition(6), draw=source.split_draw())
+    a, b = (classifier.score(t.model, one.test).alias(n) for n, t in (("a", one), ("b", other)))
+    return a.join(b, "transactionId").agg(
+        F.count(F.lit(1)).alias("test_rows"), F.count_if(~_same("a", "b", "prediction")).alias("changed")
+    )
+
+
+# The panels, on the table that the scoring stream has written.
+STORED_REPORTS = {
+    "merchant_exposure": _report(reports.merchant_exposure, TOTAL_PLACES, "sum", rows=_stored_predictions),
+    "fraud_transactions": _report(
+        reports.fraud_transactions, AMOUNT_PLACES, "amount", rows=_stored_predictions),
+    "user_top3": _report(reports.user_top3, AMOUNT_PLACES, "amount", rows=_stored_predictions),
+    "device_counts": _report(reports.device_counts, 0, rows=_stored_predictions),
+    "merchant_contribution": _report(
+        reports.merchant_contribution, TOTAL_PLACES, "fraud_amount", rows=_stored_predictions),
+    "prediction_counts": _report(reports.prediction_counts, 0, rows=_stored_predictions),
+    "reason_breakdown": _report(reports.reason_breakdown, 0, rows=_stored_predictions),
+    "avg_amount": _report(reports.average_amount, TOTAL_PLACES, "avg_amount", rows=_stored_predictions),
+    "location_counts": _report(reports.location_counts, 0, rows=_stored_predictions),
+}
+
+
+def category_index_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """The index of a column with many values: the users."""
+    return features.category_index(_transactions(spark, folder), ("userId",))
+
+
 QUERIES: dict[str, Query] = {
     "transactions": transactions,
     "json_roundtrip": json_roundtrip,
@@ -321,4 +460,16 @@ QUERIES: dict[str, Query] = {
     "gbt_metrics": gbt_metrics,
     "model_save_load_score": model_save_load_score,
     "stream_gbt_score": stream_gbt_score,
+    "category_index_wide": category_index_wide,
+    "training_rejects": training_rejects,
+    "training_weights": training_weights,
+    "stream_replay": stream_replay,
+    "stream_quarantine": stream_quarantine,
+    "batch_totals": batch_totals,
+    "gbt_score_checks": gbt_score_checks,
+    "gbt_reload_checks": gbt_reload_checks,
+    "stream_gbt_checks": stream_gbt_checks,
+    "gbt_metrics_checks": gbt_metrics_checks,
+    "gbt_layout": gbt_layout,
+    **{f"report_stored_{name}": query for name, query in STORED_REPORTS.items()},
 }

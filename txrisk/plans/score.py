@@ -16,6 +16,10 @@ from txrisk.sources.kafka import read_topic
 from txrisk.streaming.scoring import JdbcTarget, ServingTables, model_scorer, start_scoring
 
 
+# A rate, not a cut: what is left waits for the next batch.
+BATCH_RECORDS = 50_000_000
+
+
 def read_properties(path: str | None) -> dict[str, str]:
     if path is None:
         return {}
@@ -30,7 +34,8 @@ def main() -> None:
     source.add_argument("--files", help="folder of Parquet message files to read instead")
     parser.add_argument("--servers", help="Kafka bootstrap servers")
     parser.add_argument("--starting-offsets", default="latest")
-    parser.add_argument("--batch-records", type=int, help="most records of the topic per batch")
+    parser.add_argument("--batch-records", type=int, default=BATCH_RECORDS,
+                        help="most records of the topic per batch")
     parser.add_argument("--batch-bytes", type=int, default=BATCH_BYTES, help="input files per batch, in bytes")
     parser.add_argument("--model", required=True)
     parser.add_argument("--tables", required=True, help="folder of the serving tables")
@@ -41,10 +46,12 @@ def main() -> None:
     parser.add_argument("--jdbc-properties", help="JSON file with its user, password and driver")
     parser.add_argument("--console", action="store_true", help="show the first rows of each batch")
     options = parser.parse_args()
+    if options.topic and not options.servers:
+        parser.error("--topic needs --servers")
     spark = get_spark("txrisk-score")
     if options.topic:
-        limit = {"maxOffsetsPerTrigger": options.batch_records} if options.batch_records else {}
-        messages = read_topic(spark, options.servers, options.topic, options.starting_offsets, **limit)
+        messages = read_topic(spark, options.servers, options.topic, options.starting_offsets,
+                              maxOffsetsPerTrigger=options.batch_records)
     else:
         messages = stream_files(spark, options.files, batch_bytes=options.batch_bytes)
     trigger = None

@@ -12,17 +12,24 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from txrisk import values as V
+from txrisk.functions.draws import key_draw
 from txrisk.operators import model as classifier
-from txrisk.operators.classes import class_counts, with_split
+from txrisk.operators.classes import with_class_weights, with_split
 from txrisk.operators.features import fit_category_indexers
 from txrisk.operators.metrics import classification_metrics, score_auroc
 from txrisk.operators.predictions import with_log_amount
 from txrisk.session import get_spark, work_dir
 from txrisk.sources.files import read_json
 
-ROWS_PER_TASK = 10_000
+# Boosting passes over its rows once per tree level. It learns from at most so many, drawn by their hash.
+MAX_FIT_ROWS = 10_000_000
+# Parts the rows are dealt into for the fit: their number depends on that of the rows alone.
+ROWS_PER_PART = 100_000
+LEAST_PARTS = 8
 
-STAGED_COLUMNS = ("transactionId", "userId", "amount", "amount_log", *V.CATEGORIES, "label", "split")
+STAGED_COLUMNS = ("transactionId", "userId", "amount", "amount_log", *V.CATEGORIES, "label", "split", "cause")
+PLACED_BY = ("transactionId", "userId", "amount_log", *V.CATEGORIES, "label")
+REJECTED = "rejected"
 
 
 @dataclass(frozen=True)
@@ -30,6 +37,7 @@ class Trained:
     model: PipelineModel
     train: DataFrame
     test: DataFrame
+    rejects: DataFrame
 
 
 def stage(labelled: DataFrame, draw: Column | None = None, folder: str | None = None) -> DataFrame:
@@ -37,41 +45,55 @@ def stage(labelled: DataFrame, draw: Column | None = None, folder: str | None =
 
     Everything after this is several passes over a few columns: they run on a columnar table in
     shared storage, not on re-parsed input, and a lost executor re-reads its part of it. Rows the
-    classifier cannot take are left out here. ``folder`` is overwritten; by default each call gets a
-    new one below the checkpoint folder.
+    classifier cannot take make a third side, with their ``cause``. ``folder`` is overwritten; by default
+    each call gets a new one below the checkpoint folder.
     """
     spark = labelled.sparkSession
     path = folder or work_dir(spark, "training")
-    rows = classifier.trainable(with_split(with_log_amount(labelled), draw))
+    rows = with_split(with_log_amount(labelled), draw).withColumn("cause", classifier.reject_cause())
+    rows = rows.withColumn("split", F.when(F.col("cause").isNotNull(), REJECTED).otherwise(F.col("split")))
     rows.select(*STAGED_COLUMNS).write.mode("overwrite").partitionBy("split").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(rows.select(*STAGED_COLUMNS).schema).parquet(path)
 
 
-def _spread(rows: DataFrame, total: int) -> DataFrame:
-    """Spreads small input over the cores: each boosting pass then uses all of them.
+def sides(staged: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Train and test side with their weights, and the rejected rows.
 
-    Large input already comes in more parts than there are cores. ``rows`` is a plain scan, so
-    counting its parts runs nothing.
+    The classes are counted over all rows, rejected ones among them.
     """
-    wanted = min(rows.sparkSession.sparkContext.defaultParallelism, 1 + total // ROWS_PER_TASK)
-    return rows if rows.rdd.getNumPartitions() >= wanted else rows.repartition(wanted)
+    weighted = with_class_weights(staged)
+    train_rows, test_rows = (
+        weighted.filter(F.col("split") == side).drop("cause") for side in ("train", "test")
+    )
+    return train_rows, test_rows, staged.filter(F.col("split") == REJECTED)
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    """(cause, count)."""
+    return rejects.groupBy("cause").agg(F.count(F.lit(1)).alias("count"))
+
+
+def placed(rows: DataFrame, most: int = MAX_FIT_ROWS) -> DataFrame:
+    """The rows to fit on, in parts and an order that follow from the rows alone.
+
+    Subsampling and the choice of bins go by part and place, so the same rows give the same model
+    from any files and on any number of cores. Beyond ``most`` rows, a share is drawn by the hash of the row.
+    """
+    total = rows.count()
+    if total > most:
+        rows = rows.filter(key_draw(F.struct(*PLACED_BY), V.SPLIT_SEED + 1) < most / total)
+    parts = max(LEAST_PARTS, -(-min(total, most) // ROWS_PER_PART))
+    return rows.repartition(parts, *PLACED_BY).sortWithinPartitions(*PLACED_BY)
 
 
 def train(labelled: DataFrame, max_iter: int = V.MAX_ITER, draw: Column | None = None,
-          staging: str | None = None, **params) -> Trained:
+          staging: str | None = None, max_fit_rows: int = MAX_FIT_ROWS, **params) -> Trained:
     """Weights, split, category indices (from all rows) and the fitted classifier (from the train side)."""
     staged = stage(labelled, draw, staging)
-    counts = class_counts(staged).first()
-    total = max(counts["total"], 1)
-    weighted = staged.withColumn(
-        "weight",
-        F.when(F.col("label") == 1, counts["rest"] / total).otherwise(counts["positives"] / total),
-    )
-    train_rows = weighted.filter(F.col("split") == "train")
-    test_rows = weighted.filter(F.col("split") == "test")
+    train_rows, test_rows, rejects = sides(staged)
     indexers = fit_category_indexers(staged)
-    model = classifier.fit(_spread(train_rows, total), indexers, max_iter, **params)
-    return Trained(model, train_rows, test_rows)
+    model = classifier.fit(placed(train_rows, max_fit_rows), indexers, max_iter, **params)
+    return Trained(model, train_rows, test_rows, rejects)
 
 
 def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
@@ -87,9 +109,11 @@ def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
 
 
 def run(spark: SparkSession, source: str, model_path: str, infer: bool = False,
-        max_iter: int = V.MAX_ITER, staging: str | None = None) -> DataFrame:
-    trained = train(read_json(spark, source, infer), max_iter, staging=staging)
+        max_iter: int = V.MAX_ITER, staging: str | None = None, **params) -> DataFrame:
+    """Trains, saves the model and returns its metrics; rejects are counted in ``<model>-rejects``."""
+    trained = train(read_json(spark, source, infer), max_iter, staging=staging, **params)
     classifier.save(trained.model, model_path)
+    reject_counts(trained.rejects).write.mode("overwrite").json(f"{model_path.rstrip('/')}-rejects")
     return evaluate(trained.model, trained.test)
 
 
@@ -99,11 +123,18 @@ def main() -> None:
     parser.add_argument("--model", required=True, help="folder to save the model to")
     parser.add_argument("--infer-schema", action="store_true")
     parser.add_argument("--max-iter", type=int, default=V.MAX_ITER)
+    parser.add_argument("--max-depth", type=int, default=V.MAX_DEPTH)
+    parser.add_argument("--step-size", type=float, default=V.STEP_SIZE)
+    parser.add_argument("--subsampling-rate", type=float, default=V.SUBSAMPLING_RATE)
+    parser.add_argument("--max-fit-rows", type=int, default=MAX_FIT_ROWS, help="most rows to learn from")
     parser.add_argument("--staging", help="folder for the prepared rows, overwritten by each run")
     options = parser.parse_args()
     spark = get_spark("txrisk-train")
-    metrics = run(spark, options.input, options.model, options.infer_schema, options.max_iter,
-                  options.staging)
+    metrics = run(
+        spark, options.input, options.model, options.infer_schema, options.max_iter, options.staging,
+        max_fit_rows=options.max_fit_rows, maxDepth=options.max_depth, stepSize=options.step_size,
+        subsamplingRate=options.subsampling_rate,
+    )
     metrics.show(truncate=False)
 
 

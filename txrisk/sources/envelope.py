@@ -39,18 +39,22 @@ def reject_cause() -> Column:
     """Why a parsed message cannot be scored, null if it can.
 
     The classifier takes numbers only: a null or NaN user or amount would end the whole job, an
-    infinite amount would spoil every total it enters, and one of -1 or less has no log. Unknown or missing categories are fine, they have an index.
+    infinite amount would spoil every total it enters, and one of -1 or less has no log. Without an id
+    nobody could tell whom an alert is about. A field that is there but cannot be read, such as a broken
+    timestamp, is no missing one. Unknown or missing categories are fine, they have an index.
     """
     amount = F.col("amount")
     return (
         F.when(F.col("raw").isNull(), "empty message")
         .when(F.col("userId").isNull() & amount.isNull() & F.col("transactionId").isNull(),
               "unreadable message")
+        .when(F.col("transactionId").isNull(), "no transaction")
         .when(F.col("userId").isNull(), "no user")
         .when(amount.isNull(), "no amount")
         .when(F.isnan(amount), "amount is not a number")
         .when(amount == float("inf"), "amount is infinite")
         .when(amount <= -1, "amount has no log")
+        .when(F.col(schema.CORRUPT_COLUMN).isNotNull(), "unreadable field")
     )
 
 
