@@ -98,9 +98,35 @@ FROM firsts f WHERE NOT EXISTS (
 )
 """
 
+SUBSTRING_DEDUP = r"""
+WITH docs AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, array_to_string(w[i + 1:i + 20], ' ') AS t
+    FROM (SELECT doc_id, w, unnest(range(len(w) - 19)) AS i FROM docs)
+), repeats AS (
+    SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id, i) AS nth FROM windows)
+    WHERE nth > 1
+), words AS (
+    SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM docs
+), judged AS (
+    SELECT doc_id, word, i, max(started) OVER (PARTITION BY doc_id ORDER BY i
+        ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) IS NOT NULL AS removed
+    FROM words LEFT JOIN (SELECT doc_id, i, i AS started FROM repeats) r USING (doc_id, i)
+), per_doc AS (
+    SELECT doc_id, count(*) FILTER (WHERE removed) AS n_removed,
+        string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT removed) AS kept
+    FROM judged GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+    sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN per_doc USING (doc_id)
+"""
+
 ORACLES = {
     "op1_exact_dedup": EXACT_DEDUP,
     "op2_line_dedup": LINE_DEDUP,
     "op3_source_mix": SOURCE_MIX,
     "op9_chat_format": CHAT_FORMAT,
+    "op10_substring_dedup": SUBSTRING_DEDUP,
 }
