@@ -9,8 +9,8 @@ from txrisk import schema
 from txrisk.operators import model as classifier
 from txrisk.operators.predictions import serving_rows, with_log_amount
 from txrisk.plans import reports, train
-from txrisk.plans.score import read_properties
 from txrisk.sources import jdbc, orders as source
+from txrisk.sources.jdbc import read_properties
 from txrisk.sources.envelope import to_envelope
 from txrisk.sources.files import stream_files, write_json
 from txrisk.streaming import scoring
@@ -134,6 +134,9 @@ def test_console_and_jdbc_copies(spark, transactions, folder, monkeypatch, capsy
     serve_batch(to_envelope(transactions), 0, source.with_stand_in_prediction, ServingTables(folder),
                 console=True, jdbc_target=JdbcTarget("jdbc:x", {}))
     assert sent == [(1500, schema.PREDICTION.names, "jdbc:x", "transaction_predictions")]
+    serve_batch(to_envelope(transactions), 1, source.with_stand_in_prediction, ServingTables(folder),
+                jdbc_target=JdbcTarget("jdbc:x", {}, with_batch_id=True))
+    assert sent[1][1] == [*schema.PREDICTION.names, "batch_id"]
     assert "only showing top 20 rows" in capsys.readouterr().out
 
 

@@ -166,6 +166,8 @@ def test_jdbc_calls():
     session = Session()
     jdbc.read_table(session, "jdbc:x", {}, partition_column="userId", lower=0, upper=9, partitions=3)
     assert session.read.calls[0][2]["numPartitions"] == 3
+    with pytest.raises(TypeError):
+        jdbc.read_table(session, "jdbc:x", {})
 
 
 def test_working_folders_lie_below_the_shared_one(spark):

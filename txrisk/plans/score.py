@@ -7,26 +7,18 @@
 from __future__ import annotations
 
 import argparse
-import json
 
 from txrisk.operators import model as classifier
 from txrisk.session import get_spark
 from txrisk.sources.files import BATCH_BYTES, stream_files
+from txrisk.sources.jdbc import read_properties
 from txrisk.sources.kafka import read_topic
 from txrisk.streaming.scoring import JdbcTarget, ServingTables, model_scorer, start_scoring
 
-
 # A rate, not a cut: what is left waits for the next batch.
 BATCH_RECORDS = 50_000_000
 
 
-def read_properties(path: str | None) -> dict[str, str]:
-    if path is None:
-        return {}
-    with open(path, encoding="utf-8") as file:
-        return {str(k): str(v) for k, v in json.load(file).items()}
-
-
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     source = parser.add_mutually_exclusive_group(required=True)
@@ -44,6 +36,7 @@ def main() -> None:
     parser.add_argument("--once", action="store_true", help="take what is there, then stop")
     parser.add_argument("--jdbc-url", help="also append the predictions to a relational table")
     parser.add_argument("--jdbc-properties", help="JSON file with its user, password and driver")
+    parser.add_argument("--jdbc-batch-id", action="store_true", help="with the number of the batch in each row")
     parser.add_argument("--console", action="store_true", help="show the first rows of each batch")
     options = parser.parse_args()
     if options.topic and not options.servers:
@@ -61,7 +54,8 @@ def main() -> None:
         trigger = {"processingTime": options.interval}
     target = None
     if options.jdbc_url:
-        target = JdbcTarget(options.jdbc_url, read_properties(options.jdbc_properties))
+        target = JdbcTarget(options.jdbc_url, read_properties(options.jdbc_properties),
+                            with_batch_id=options.jdbc_batch_id)
     start_scoring(
         messages, model_scorer(classifier.load(options.model)), ServingTables(options.tables),
         options.checkpoint, trigger, console=options.console, jdbc_target=target,

@@ -68,11 +68,16 @@ class ServingTables:
 
 @dataclass(frozen=True)
 class JdbcTarget:
-    """A relational copy of the predictions. Appends, so a retried batch may appear twice there."""
+    """A relational copy of the predictions. Appends, so a retried batch may appear twice there.
+
+    With ``with_batch_id`` the rows carry the number of their batch, by which a caller can tell, and
+    delete, the first copy of a retried one.
+    """
 
     url: str
     properties: dict[str, str]
     table: str = V.PREDICTIONS_TABLE
+    with_batch_id: bool = False
 
 
 def _counts(predictions: DataFrame, quarantine: DataFrame) -> DataFrame:
@@ -110,7 +115,8 @@ def serve_batch(messages: DataFrame, batch_id: int, scorer: Scorer, tables: Serv
     if console:
         written.show(V.CONSOLE_ROWS, truncate=False)
     if jdbc_target is not None:
-        jdbc.append_table(written, jdbc_target.url, jdbc_target.properties, jdbc_target.table)
+        copied = written.withColumn("batch_id", F.lit(batch_id)) if jdbc_target.with_batch_id else written
+        jdbc.append_table(copied, jdbc_target.url, jdbc_target.properties, jdbc_target.table)
 
     set_aside = read_batch(spark, tables.quarantine_path, schema.REJECT, batch_id)
     write_batch(_counts(written, set_aside), tables.counts_path, batch_id)
