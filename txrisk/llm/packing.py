@@ -38,7 +38,7 @@ from txrisk.llm.common import partitions, staged
 CAPACITY = 2048
 END_ID = 0
 ROUNDS = 120
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 # Latin letters whose lower case is one letter of the same range, then marks; not the apostrophe, which may
 # begin a part of its own with the letters after it.
 SIMPLE = re.compile(
