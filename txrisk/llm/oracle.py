@@ -123,10 +123,82 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_re
 FROM docs LEFT JOIN per_doc USING (doc_id)
 """
 
+# The kinds of the secret scan in their order, with patterns.
+SECRET_KINDS = {
+    "assign": r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+    "access": r"AKIA[A-Z0-9]+",
+    "hex": r"[0-9a-f]+",
+    "id": (
+        r"""(?i)(client_?id|access_?id|key_?id|account|username|user|login)["']?\x20*[:=]\x20*["']?"""
+        r"""([A-Za-z0-9@+/_.-]{3,})"""
+    ),
+    "key": r"[A-Za-z0-9+/_-]{20,}={0,2}",
+    "endpoint": r"""https?://[^\x20\x09-\x0D"'<>]+""",
+}
+
+
+def literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def matches_of(kind: str) -> str:
+    pattern = literal(SECRET_KINDS[kind])
+    return f"""SELECT doc_id, '{kind}' AS kind, regexp_extract_all(t, {pattern}) AS m, string_split_regex(t, {pattern}) AS g
+    FROM docs WHERE regexp_matches(t, {pattern})"""
+
+
+SECRET_SCAN = rf"""
+WITH docs AS (
+    SELECT doc_id, coalesce(text, '') AS t FROM documents
+), matches AS (
+    {" UNION ALL ".join(map(matches_of, SECRET_KINDS))}
+), pieces AS (
+    SELECT doc_id, kind, unnest(m) AS match, unnest(g[1:len(m)]) AS gap, unnest(range(len(m))) AS i FROM matches
+), placed AS (
+    SELECT doc_id, kind, match, length(match) AS n,
+        sum(length(gap) + length(match)) OVER (PARTITION BY doc_id, kind ORDER BY i) AS e
+    FROM pieces
+), spans AS (
+    SELECT doc_id, kind, list_position({list(SECRET_KINDS)}, kind) AS r, (e - n)::BIGINT AS s, e::BIGINT AS e
+    FROM placed WHERE CASE kind
+        WHEN 'assign' THEN length(regexp_extract(match, {literal(SECRET_KINDS["assign"])}, 2)) >= 6
+        WHEN 'access' THEN n >= 20
+        WHEN 'hex' THEN n >= 24
+        WHEN 'key' THEN regexp_matches(match, '[0-9]') AND regexp_matches(match, '[A-Za-z]')
+        ELSE true END
+), base AS (
+    SELECT * FROM spans WHERE r <= 3
+), weak AS (
+    SELECT * FROM spans w WHERE r > 3
+        AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = w.doc_id AND b.s < w.e AND b.e > w.s)
+), parts AS (
+    SELECT * FROM base UNION ALL SELECT * FROM weak
+), near AS (
+    SELECT w.doc_id, w.kind, w.s, bool_or(p.kind IN ('id', 'access')) AS by_id,
+        bool_or(p.kind IN ('key', 'assign', 'hex')) AS by_secret
+    FROM weak w JOIN parts p ON p.doc_id = w.doc_id AND p.s - w.e <= 200 AND w.s - p.e <= 200
+    GROUP BY ALL
+), linked AS (
+    SELECT * FROM base UNION ALL
+    SELECT w.* FROM weak w JOIN near USING (doc_id, kind, s)
+    WHERE CASE kind WHEN 'id' THEN by_secret WHEN 'key' THEN by_id ELSE by_id AND by_secret END
+), per_doc AS (
+    SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign,
+        count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+        string_agg(concat_ws(':', kind, s, e), ',' ORDER BY s, r) FILTER (WHERE r <= 3) AS base,
+        string_agg(concat_ws(':', kind, s, e), ',' ORDER BY s, r) AS spans
+    FROM linked GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN per_doc USING (doc_id)
+"""
+
 ORACLES = {
     "op1_exact_dedup": EXACT_DEDUP,
     "op2_line_dedup": LINE_DEDUP,
     "op3_source_mix": SOURCE_MIX,
+    "op5_secret_scan": SECRET_SCAN,
     "op9_chat_format": CHAT_FORMAT,
     "op10_substring_dedup": SUBSTRING_DEDUP,
 }
