@@ -1,6 +1,7 @@
 """JSON files, envelopes, quarantine causes, batch tables, connector options, working folders."""
 
 import datetime
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from txrisk import schema
 from txrisk.session import shared_dir, size_shuffles, work_dir
 from txrisk.sources import jdbc, kafka
-from txrisk.sources.batch_table import read_batch, read_batches, write_batch
+from txrisk.sources.batch_table import compact, read_batch, read_batches, write_batch
 from txrisk.sources.envelope import accepted, checked, parse_envelope, rejected, to_envelope
 from txrisk.sources.files import read_json, write_json
 
@@ -216,3 +217,44 @@ def test_only_local_sessions_may_lack_a_shared_folder():
         shared_dir(Bare("yarn"))
     local = Bare("local[2]")
     assert shared_dir(local) == local.folder == shared_dir(local)
+
+
+def test_compaction_keeps_every_batch_once(spark, folder):
+    path, kind = f"{folder}/table", schema.BATCH_COUNT
+    rows = spark.createDataFrame([(n, n, 0) for n in range(5)], "row_count long, accepted long, rejected long")
+
+    def table():
+        return sorted((r.batch_id, r.row_count) for r in read_batches(spark, path, kind).collect())
+
+    assert table() == [] and compact(spark, path, kind, 9, block=3) == []
+    for number in range(8):
+        write_batch(rows.limit(number), path, number, block=3)
+    expected = table()
+    assert len(expected) == 0 + 1 + 2 + 3 + 4 + 5 + 5 + 5
+    before = read_batches(spark, path, kind)
+    # Batch 7 may still be retried, so its block stays.
+    assert compact(spark, path, kind, 7, block=3) == [0, 1]
+    assert table() == expected == sorted((r.batch_id, r.row_count) for r in before.collect())
+    assert sum(1 for _ in os.scandir(f"{path}/recent")) == 3
+    assert compact(spark, path, kind, 7, block=3) == []
+    assert table() == expected
+    assert [f.name for f in os.scandir(f"{path}/recent")] == ["block=2"]
+    files = [f for b in os.scandir(f"{path}/merged") for f in os.listdir(b) if f.endswith(".parquet")]
+    assert len(files) == 2
+    write_batch(rows.limit(1), path, 7, block=3)
+    assert len(table()) == len(expected) - 4
+    with pytest.raises(ValueError, match="merged already"):
+        write_batch(rows, path, 2, block=3)
+
+
+def test_an_unfinished_merge_is_not_read(spark, folder):
+    path, kind = f"{folder}/table", schema.BATCH_COUNT
+    rows = spark.createDataFrame([(1, 1, 0)], "row_count long, accepted long, rejected long")
+    for number in range(3):
+        write_batch(rows, path, number, block=2)
+    rows.withColumn("batch_id", rows.row_count).write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{path}/merged/block=0")
+    assert not os.path.exists(f"{path}/merged/block=0/_SUCCESS")
+    assert sorted(r.batch_id for r in read_batches(spark, path, kind).collect()) == [0, 1, 2]
+    assert compact(spark, path, kind, 2, block=2) == [0]
+    assert sorted(r.batch_id for r in read_batches(spark, path, kind).collect()) == [0, 1, 2]

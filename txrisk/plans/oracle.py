@@ -306,6 +306,7 @@ FROM tx WHERE u3 >= 0.8
 SELECT count(*) AS test_rows, CAST(0 AS BIGINT) AS changed FROM tx WHERE u3 >= 0.8
 """,
     "stream_replay": _PREDICTIONS,
+    "stream_compacted": _PREDICTIONS,
     "stream_score_table": _PREDICTIONS,
     "stream_alerts": _ALERTS,
     "batch_counts": """

@@ -20,7 +20,7 @@ from txrisk.plans import reports, train as training
 from txrisk.session import work_dir
 from txrisk.sources import envelope, orders as source
 from txrisk.sources.files import read_json, write_json
-from txrisk.streaming.scoring import Scorer, ServingTables, model_scorer, start_scoring
+from txrisk.streaming.scoring import Scorer, ServingTables, model_scorer, serve_batch, start_scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -257,6 +257,18 @@ def stream_replay(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stream_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """The predictions of seven batches, six of them in merged blocks of two."""
+    tables = ServingTables(work_dir(spark, "serving"), block=2)
+    messages = envelope.to_envelope(_transactions(spark, folder))
+    batch = F.pmod(F.xxhash64("key"), F.lit(7))
+    for number in range(7):
+        serve_batch(messages.filter(batch == number), number, source.with_stand_in_prediction, tables,
+                    alert_digits=AMOUNT_PLACES)
+    tables.compact(spark)
+    return _rounded(tables.predictions(spark).select(*schema.PREDICTION.names), AMOUNT_PLACES, "amount")
+
+
 def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     tables = _stream(spark, folder, source.with_stand_in_prediction, _garbled)
     return tables.quarantine(spark).select(*schema.REJECT.names)
@@ -464,6 +476,7 @@ QUERIES: dict[str, Query] = {
     "training_rejects": training_rejects,
     "training_weights": training_weights,
     "stream_replay": stream_replay,
+    "stream_compacted": stream_compacted,
     "stream_quarantine": stream_quarantine,
     "batch_totals": batch_totals,
     "gbt_score_checks": gbt_score_checks,

@@ -1,14 +1,24 @@
 """Parquet tables filled batch by batch.
 
-Each micro-batch owns the partition ``batch_id=N``, and writing it again replaces it. A batch that is
+Each micro-batch owns the folder ``recent/block=B/batch_id=N``, and writing it again replaces it. A batch that is
 retried after a failure therefore leaves the table as if it had run once.
+
+A stream that runs for long leaves many small folders. ``compact`` rewrites each block whose batches are all
+committed as a few large files in ``merged/block=B``. A finished merge (with its success marker) stands for its
+block from then on; its small folders are no longer read, and go in the next run, when queries planned
+before the merge are done with them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from txrisk.sources import folders
+
 BATCH_COLUMN = "batch_id"
+# Batches per block, and about how large the files of a merged block get.
+BLOCK = 1000
+FILE_BYTES = 256 << 20
 
 
 def _with_batch(row_schema: T.StructType) -> T.StructType:
@@ -16,19 +26,72 @@ def _with_batch(row_schema: T.StructType) -> T.StructType:
     return T.StructType([*rest, T.StructField(BATCH_COLUMN, T.LongType())])
 
 
-def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    rows.drop(BATCH_COLUMN).write.mode("overwrite").parquet(f"{path}/{BATCH_COLUMN}={batch_id}")
+def _recent(path: str, batch_id: int, block: int) -> str:
+    return f"{path}/recent/block={batch_id // block}"
+
+
+def _merged_blocks(spark: SparkSession, path: str) -> list[str]:
+    names = folders.children(spark, f"{path}/merged")
+    return [n for n in names if folders.exists(spark, f"{path}/merged/{n}/_SUCCESS")]
+
+
+def write_batch(rows: DataFrame, path: str, batch_id: int, block: int = BLOCK) -> None:
+    """Writes a batch or replaces it. One that has been merged cannot be replaced: an error."""
+    if folders.exists(rows.sparkSession, f"{path}/merged/block={batch_id // block}/_SUCCESS"):
+        raise ValueError(f"batch {batch_id} of {path} is merged already; a new stream needs new tables")
+    rows.drop(BATCH_COLUMN).write.mode("overwrite").parquet(
+        f"{_recent(path, batch_id, block)}/{BATCH_COLUMN}={batch_id}"
+    )
+
+
+def _read_recent(spark: SparkSession, path: str, row_schema: T.StructType, *blocks: str) -> DataFrame:
+    kind = _with_batch(row_schema)
+    return spark.read.schema(kind).option("basePath", f"{path}/recent").parquet(
+        *(f"{path}/recent/{b}" for b in blocks)
+    ).select(*kind.names)
 
 
 def read_batches(spark: SparkSession, path: str, row_schema: T.StructType) -> DataFrame:
-    """All batches, with ``batch_id`` as a partition column to prune on."""
-    return spark.read.schema(_with_batch(row_schema)).parquet(path)
+    """All batches, each from its merged block or else its own folder, with ``batch_id`` to filter on."""
+    kind = _with_batch(row_schema)
+    merged = _merged_blocks(spark, path)
+    recent = [b for b in folders.children(spark, f"{path}/recent") if b not in set(merged)]
+    frames = []
+    if recent:
+        frames.append(_read_recent(spark, path, row_schema, *recent))
+    if merged:
+        frames.append(spark.read.schema(kind).parquet(*(f"{path}/merged/{b}" for b in merged)))
+    if not frames:
+        return spark.createDataFrame([], kind)
+    return frames[0].unionByName(frames[1]) if len(frames) == 2 else frames[0]
 
 
-def read_batch(spark: SparkSession, path: str, row_schema: T.StructType, batch_id: int) -> DataFrame:
-    """One batch, without listing the others."""
+def read_batch(spark: SparkSession, path: str, row_schema: T.StructType, batch_id: int,
+               block: int = BLOCK) -> DataFrame:
+    """One batch that is not merged yet, without listing the others."""
     return (
         spark.read.schema(_with_batch(row_schema)).option("basePath", path)
-        .parquet(f"{path}/{BATCH_COLUMN}={batch_id}")
+        .parquet(f"{_recent(path, batch_id, block)}/{BATCH_COLUMN}={batch_id}")
         .filter(F.col(BATCH_COLUMN) == batch_id)
     )
+
+
+def compact(spark: SparkSession, path: str, row_schema: T.StructType, latest: int, block: int = BLOCK) -> list[int]:
+    """Merges the blocks whose batches all come before ``latest``, and returns their numbers.
+
+    A stream begins a batch when those before it are committed, so none of these can be retried.
+    """
+    done = set(_merged_blocks(spark, path))
+    for name in done.intersection(folders.children(spark, f"{path}/recent")):
+        folders.delete(spark, f"{path}/recent/{name}")
+    numbers = []
+    for name in folders.children(spark, f"{path}/recent"):
+        number = int(name.removeprefix("block="))
+        if name in done or (number + 1) * block > latest:
+            continue
+        files = folders.size(spark, f"{path}/recent/{name}") // FILE_BYTES + 1
+        _read_recent(spark, path, row_schema, name).repartition(files).write.mode("overwrite").parquet(
+            f"{path}/merged/{name}"
+        )
+        numbers.append(number)
+    return sorted(numbers)

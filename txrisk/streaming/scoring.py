@@ -15,7 +15,7 @@ from txrisk import schema, values as V
 from txrisk.operators import model as classifier
 from txrisk.operators.predictions import alerts, serving_rows, with_log_amount
 from txrisk.sources import jdbc
-from txrisk.sources.batch_table import read_batch, read_batches, write_batch
+from txrisk.sources.batch_table import BLOCK, compact, read_batch, read_batches, write_batch
 from txrisk.sources.envelope import accepted, checked, rejected
 
 # Takes transactions with ``amount`` and ``amount_log``, adds ``prediction``.
@@ -28,9 +28,10 @@ def model_scorer(model: PipelineModel) -> Scorer:
 
 @dataclass(frozen=True)
 class ServingTables:
-    """The tables a scoring query fills, all below one folder."""
+    """The tables a scoring query fills, all below one folder. ``block`` batches are merged at a time."""
 
     root: str
+    block: int = BLOCK
 
     @property
     def predictions_path(self) -> str:
@@ -65,6 +66,20 @@ class ServingTables:
     def batch_counts(self, spark: SparkSession) -> DataFrame:
         return read_batches(spark, self.counts_path, schema.BATCH_COUNT)
 
+    def compact(self, spark: SparkSession) -> dict[str, list[int]]:
+        """Merges the finished blocks of all four tables; their numbers by path.
+
+        A batch's counts are written last, so batches before the latest counted one are committed.
+        """
+        latest = self.batch_counts(spark).agg(F.max("batch_id")).first()[0]
+        if latest is None:
+            return {}
+        tables = {
+            self.predictions_path: schema.PREDICTION, self.alerts_path: schema.ALERT,
+            self.quarantine_path: schema.REJECT, self.counts_path: schema.BATCH_COUNT,
+        }
+        return {path: compact(spark, path, kind, latest, self.block) for path, kind in tables.items()}
+
 
 @dataclass(frozen=True)
 class JdbcTarget:
@@ -103,23 +118,23 @@ def serve_batch(messages: DataFrame, batch_id: int, scorer: Scorer, tables: Serv
     rows = checked(messages).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         scored = scorer(with_log_amount(accepted(rows)))
-        write_batch(serving_rows(scored), tables.predictions_path, batch_id)
-        write_batch(rejected(rows), tables.quarantine_path, batch_id)
+        write_batch(serving_rows(scored), tables.predictions_path, batch_id, tables.block)
+        write_batch(rejected(rows), tables.quarantine_path, batch_id, tables.block)
     finally:
         rows.unpersist()
 
-    written = read_batch(spark, tables.predictions_path, schema.PREDICTION, batch_id).select(
+    written = read_batch(spark, tables.predictions_path, schema.PREDICTION, batch_id, tables.block).select(
         *schema.PREDICTION.names
     )
-    write_batch(alerts(written, alert_digits), tables.alerts_path, batch_id)
+    write_batch(alerts(written, alert_digits), tables.alerts_path, batch_id, tables.block)
     if console:
         written.show(V.CONSOLE_ROWS, truncate=False)
     if jdbc_target is not None:
         copied = written.withColumn("batch_id", F.lit(batch_id)) if jdbc_target.with_batch_id else written
         jdbc.append_table(copied, jdbc_target.url, jdbc_target.properties, jdbc_target.table)
 
-    set_aside = read_batch(spark, tables.quarantine_path, schema.REJECT, batch_id)
-    write_batch(_counts(written, set_aside), tables.counts_path, batch_id)
+    set_aside = read_batch(spark, tables.quarantine_path, schema.REJECT, batch_id, tables.block)
+    write_batch(_counts(written, set_aside), tables.counts_path, batch_id, tables.block)
 
 
 def start_scoring(messages: DataFrame, scorer: Scorer, tables: ServingTables, checkpoint: str,
