@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from txrisk import schema
 from txrisk.session import shared_dir, size_shuffles, work_dir
-from txrisk.sources import jdbc, kafka
+from txrisk.sources import folders, jdbc, kafka
 from txrisk.sources.batch_table import compact, read_batch, read_batches, write_batch
 from txrisk.sources.envelope import accepted, checked, parse_envelope, rejected, to_envelope
 from txrisk.sources.files import read_json, write_json
@@ -210,6 +210,10 @@ def test_shuffles_are_sized_on_clusters_only():
     assert name not in Cluster.settings
     size_shuffles(Cluster("yarn"))
     assert Cluster.settings[name] == "15000"
+    size_shuffles(Cluster("yarn"), 5 << 40)
+    assert Cluster.settings[name] == "20480"
+    size_shuffles(Cluster("yarn"), 100 << 40)
+    assert Cluster.settings[name] == "100000"
 
 
 def test_only_local_sessions_may_lack_a_shared_folder():
@@ -258,3 +262,13 @@ def test_an_unfinished_merge_is_not_read(spark, folder):
     assert sorted(r.batch_id for r in read_batches(spark, path, kind).collect()) == [0, 1, 2]
     assert compact(spark, path, kind, 2, block=2) == [0]
     assert sorted(r.batch_id for r in read_batches(spark, path, kind).collect()) == [0, 1, 2]
+
+
+def test_size_of_a_folder(spark, folder):
+    spark.range(10).write.parquet(f"{folder}/a/b")
+    files = [e.path for e in os.scandir(f"{folder}/a/b")]
+    assert folders.size(spark, f"{folder}/a") == sum(map(os.path.getsize, (
+        f for f in files if f.endswith((".parquet", "_SUCCESS"))))) > 0
+    assert folders.size(spark, f"{folder}/*") == folders.size(spark, f"{folder}/a")
+    assert folders.size(spark, f"{folder}/none") == 0
+    assert folders.children(spark, f"{folder}/a") == ["b"] and folders.children(spark, f"{folder}/none") == []

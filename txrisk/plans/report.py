@@ -11,7 +11,8 @@ import argparse
 
 from txrisk import schema
 from txrisk.plans import reports
-from txrisk.session import get_spark
+from txrisk.session import get_spark, size_shuffles
+from txrisk.sources import folders
 from txrisk.sources.jdbc import read_properties, read_table
 from txrisk.streaming.scoring import ServingTables
 
@@ -34,7 +35,9 @@ def main() -> None:
         predictions = read_table(spark, options.jdbc_url, read_properties(options.jdbc_properties),
                                  "userId", *options.users, options.parts)
     else:
-        predictions = ServingTables(options.tables).predictions(spark)
+        tables = ServingTables(options.tables)
+        size_shuffles(spark, folders.size(spark, tables.predictions_path))
+        predictions = tables.predictions(spark)
     reports.write_all(predictions.select(*schema.PREDICTION.names), options.output)
 
 

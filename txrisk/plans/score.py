@@ -9,7 +9,7 @@ from __future__ import annotations
 import argparse
 
 from txrisk.operators import model as classifier
-from txrisk.session import get_spark
+from txrisk.session import get_spark, size_shuffles
 from txrisk.sources.files import BATCH_BYTES, stream_files
 from txrisk.sources.jdbc import read_properties
 from txrisk.sources.kafka import read_topic
@@ -46,6 +46,7 @@ def main() -> None:
         messages = read_topic(spark, options.servers, options.topic, options.starting_offsets,
                               maxOffsetsPerTrigger=options.batch_records)
     else:
+        size_shuffles(spark, options.batch_bytes)
         messages = stream_files(spark, options.files, batch_bytes=options.batch_bytes)
     trigger = None
     if options.once:

@@ -18,7 +18,8 @@ from txrisk.operators.classes import with_class_weights, with_split
 from txrisk.operators.features import fit_category_indexers
 from txrisk.operators.metrics import classification_metrics, score_auroc
 from txrisk.operators.predictions import with_log_amount
-from txrisk.session import get_spark, work_dir
+from txrisk.session import get_spark, size_shuffles, work_dir
+from txrisk.sources import folders
 from txrisk.sources.files import read_json
 
 # Boosting passes over its rows once per tree level. It learns from at most so many, drawn by their hash.
@@ -111,6 +112,7 @@ def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
 def run(spark: SparkSession, source: str, model_path: str, infer: bool = False,
         max_iter: int = V.MAX_ITER, staging: str | None = None, **params) -> DataFrame:
     """Trains, saves the model and returns its metrics; rejects are counted in ``<model>-rejects``."""
+    size_shuffles(spark, folders.size(spark, source))
     trained = train(read_json(spark, source, infer), max_iter, staging=staging, **params)
     classifier.save(trained.model, model_path)
     reject_counts(trained.rejects).write.mode("overwrite").json(f"{model_path.rstrip('/')}-rejects")

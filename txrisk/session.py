@@ -9,6 +9,9 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 PARTITIONS_PER_CORE = 3
+PARTITION_BYTES = 256 << 20
+# Beyond this, bookkeeping per pair of tasks costs more than larger partitions do.
+MOST_PARTITIONS = 100_000
 
 
 def get_spark(app: str, master: str | None = None, **settings: str) -> SparkSession:
@@ -29,17 +32,20 @@ def get_spark(app: str, master: str | None = None, **settings: str) -> SparkSess
     return spark
 
 
-def size_shuffles(spark: SparkSession) -> None:
-    """On a cluster, lets shuffles start with a few partitions per core.
+def size_shuffles(spark: SparkSession, input_bytes: int = 0) -> None:
+    """On a cluster, lets shuffles start with enough partitions for the cores and for the input.
 
     Adaptive execution merges small partitions but does not split all large ones, so the number it
-    starts with has to suit the largest shuffle and not the smallest.
+    starts with has to suit the largest shuffle and not the smallest: one of all input, at ``PARTITION_BYTES``.
+    Cores are those at start-up, few under dynamic allocation; jobs call this again with what they will read.
     """
     context = spark.sparkContext
     if not context.master.startswith("local"):
         least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        wanted = max(least, PARTITIONS_PER_CORE * context.defaultParallelism)
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+        wanted = max(least, PARTITIONS_PER_CORE * context.defaultParallelism, -(-input_bytes // PARTITION_BYTES))
+        spark.conf.set(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(min(wanted, MOST_PARTITIONS))
+        )
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -24,9 +24,9 @@ def children(spark: SparkSession, path: str) -> list[str]:
 
 
 def size(spark: SparkSession, path: str) -> int:
-    """Bytes of all files below a folder."""
+    """Bytes of all files below the folders that a path or pattern names; 0 if there are none."""
     place, files = _open(spark, path)
-    return files.getContentSummary(place).getLength()
+    return sum(files.getContentSummary(s.getPath()).getLength() for s in files.globStatus(place) or [])
 
 
 def delete(spark: SparkSession, path: str) -> None:
