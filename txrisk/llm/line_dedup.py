@@ -5,6 +5,8 @@ a chunk wherever it is divisible by ``divisor``, or where the text ends. As boun
 last few lines only, inserted lines shift none of the later ones: a shared passage is chunked alike
 in every text, but for its edges. A chunk of two lines or more that holds any word and occurs again is
 removed wherever it isn't its first occurrence (smallest id, null ids last; then text hash and chunk number). A text's lines before its first full window are chunked with a shorter one.
+In a run of one line the rolling hash is constant, so the run is cut at each line or nowhere: it stays, unless
+a chunk that holds the whole run, or its end, occurs again.
 
 Occurrences are counted by chunk hash first; only chunks whose hash repeats are shuffled with their
 text, and these are grouped by the text itself, so equal hashes of different texts remove nothing. Both
