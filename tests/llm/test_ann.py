@@ -89,3 +89,22 @@ def test_empty_and_alone(spark):
     assert nearest(rows.limit(0), rows.limit(0)).count() == 0
     rows = frame(spark, [[1.0, 2.0], [1.0, 2.0], [2.0, 2.0]], [100, 100, 3])
     assert {(r.query_id, r.rank, r.vec_id) for r in nearest(rows, hundredth(rows)).collect()} == {(100, 1, 3)}
+
+
+def test_repeated_ids(spark):
+    draw = np.random.default_rng(6)
+    same = np.ones(8)
+    # One id on eleven rows of one vector, on others of its own near it, and on two vectors equally far from it.
+    vectors = [same] * 11 + [same + 0.001 * draw.standard_normal(8) for _ in range(40)] + [same] * 12
+    ids = [100] * 51 + list(range(101, 113))
+    side = np.eye(8)[0]
+    vectors += [5 * same + side, 5 * same - side, 5 * same, 5 * same]
+    ids += [21, 21, 200, 200]
+    vectors += [draw.standard_normal(8) * 50 for _ in range(300)]
+    ids += list(range(1001, 1600, 2))[:300]
+    rows = frame(spark, vectors, ids).repartition(5)
+    queries = rows.filter("vec_id = 200 or (vec_id = 100 and embedding[0] = 1 and embedding[1] = 1)")
+    # With this share only the bound ends the search.
+    found = result(nearest(rows, queries, share=1.1).collect())
+    assert found[100] == [(i, 0.0) for i in range(101, 111)]
+    assert found[200][:2] == [(21, 1.0), (21, 1.0)] and len(found[200]) == 10

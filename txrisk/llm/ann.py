@@ -13,13 +13,15 @@ Isotropic vectors are the worst case: there, planes bound nothing and recall fol
 
 - The sample has about ``SAMPLE`` rows, so trees, sample and leaf sizes (the only things sent to all tasks) are bounded.
 - A leaf with over ``BLOCK`` rows is dealt out in blocks that its queries visit all, so that no task holds more.
-- Of equal vectors only the ``k`` + 1 smallest ids can be among the nearest; they are taken before the index
-  is built, so any number of copies stays cheap and no result is lost.
+- Rows that repeat both id and vector are made one first. Of equal vectors only the ``k`` + 1 smallest ids, all
+  different then, can be among the nearest; they are taken before the index is built, so any number of
+  copies stays cheap and no result is lost.
 - A task returns ``k`` rows per query and block, not all pairs.
 
 Vectors that are null, zero, or hold null or non-finite components take no part, and neither do those of
-another length than most (ties to the shorter). Repeated ids are rows of their own, and a query leaves out all
-rows with its id. Fewer candidates than ``k``: all of them. No queries: no rows. Other columns are ignored.
+another length than most (ties to the shorter). Rows that repeat id and vector are one row; those that repeat an id
+only are rows of their own, so an id can be found once per vector of it. A query leaves out all rows with its id.
+Queries with one id are one query, whose distance to a row is that of its nearest vector. Fewer candidates than ``k``: all of them. No queries: no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -135,22 +137,23 @@ def index(trees: list[Tree]) -> Callable[[Batches], Batches]:
             for number, tree in enumerate(trees):
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(len(vectors), number, np.int32)), pa.array(tree.leaves(vectors).astype(np.int32)),
-                    batch.column("vec_id"), batch.column("v"),
-                ], names=["tree", "leaf", "vec_id", "v"])
+                    batch.column("vec_id"), batch.column("row"), batch.column("v"),
+                ], names=["tree", "leaf", "vec_id", "row", "v"])
     return run
 
 
-def probe(trees: list[Tree], sizes: np.ndarray, sample: np.ndarray, k: int, share: float) -> Callable[[Batches], Batches]:
+def probe(trees: list[Tree], sizes: np.ndarray, sample: np.ndarray, sample_ids: np.ndarray, k: int,
+          share: float) -> Callable[[Batches], Batches]:
     most = share * sizes.sum() / len(trees)
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             queries = matrix(batch.column("v"))
             rows, leaves = [], []
-            for number, query in enumerate(queries):
-                near = np.sqrt(((sample - query) ** 2).sum(1)) if len(sample) > k + 1 else np.zeros(0)
-                # One more than k, as the query itself may be in the sample; a little more for rounding.
-                bound = float(np.partition(near, k)[k]) * (1 + 1e-9) + 1e-12 if len(near) else np.inf
+            for number, (query, asked) in enumerate(zip(queries, batch.column("vec_id").to_pylist(), strict=True)):
+                # Points with the query's id are left out, as it can't find them; a little more for rounding.
+                near = np.sqrt(((sample - query) ** 2).sum(1))[sample_ids != asked]
+                bound = float(np.partition(near, k - 1)[k - 1]) * (1 + 1e-9) + 1e-12 if len(near) >= k else np.inf
                 visits = probed(query, trees, sizes, bound, most)
                 rows += [number] * len(visits)
                 leaves += visits
@@ -166,10 +169,11 @@ def probe(trees: list[Tree], sizes: np.ndarray, sample: np.ndarray, k: int, shar
 def rank_block(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """Each query's nearest rows of one block, by exact distance."""
     def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
-        names = ["query_id", "vec_id", "score"]
-        found: list[list[np.ndarray]] = [[], [], []]
+        names = ["query_id", "vec_id", "row", "score"]
+        found: list[list[np.ndarray]] = [[], [], [], []]
         if len(queries) and len(rows):
             points, ids = matrix(rows.column("v").combine_chunks()), rows.column("vec_id").to_numpy()
+            numbers = rows.column("row").to_numpy()
             for at in range(0, len(queries), 256):
                 part = queries.slice(at, 256)
                 asked = part.column("query_id").to_numpy()
@@ -187,8 +191,9 @@ def rank_block(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
                     best = np.lexsort((ids[chosen], exact))[:k]
                     found[0].append(np.full(len(best), query))
                     found[1].append(ids[chosen[best]])
-                    found[2].append(exact[best])
-        kinds = (np.int64, np.int64, np.float64)
+                    found[2].append(numbers[chosen[best]])
+                    found[3].append(exact[best])
+        kinds = (np.int64, np.int64, np.int64, np.float64)
         return pa.table([
             pa.array(np.concatenate(c).astype(t) if c else np.zeros(0, t)) for c, t in zip(found, kinds, strict=True)
         ], names=names)
@@ -199,37 +204,41 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vect
             k: int = NEAREST, trees: int = TREES, depth: int = DEPTH, share: float = SHARE,
             sample_rows: int = SAMPLE, block: int = BLOCK) -> DataFrame:
     """query_id, rank (from 1), vec_id and score of each query's ``k`` nearest rows found."""
-    names = "query_id long, vec_id long, score double"
+    names = "query_id long, vec_id long, row long, score double"
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vector_col)
     length = usual_length(rows)
     rows = rows.filter(F.size("v") == length)
     # The limit on copies stands below the shuffle.
     copies = Window.partitionBy("v").orderBy("vec_id")
-    rows = staged(rows.withColumn("copy", F.row_number().over(copies)).filter(F.col("copy") <= k + 1).drop("copy"),
-                  "ann-vectors")
+    rows = rows.distinct().withColumn("copy", F.row_number().over(copies)).filter(F.col("copy") <= k + 1).drop("copy")
+    rows = staged(rows.withColumn("row", F.monotonically_increasing_id()), "ann-vectors")
     total = rows.count()
-    chosen = sampled(rows, "vec_id", sample_rows, total).orderBy("vec_id").collect()
+    # By id and vector, as one id may stand on any share of the rows.
+    chosen = sampled(rows, F.struct("vec_id", "v"), sample_rows, total).orderBy("vec_id", "v").collect()
     if not chosen:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     sample = np.array([r["v"] for r in chosen], float)
+    sample_ids = np.array([r["vec_id"] for r in chosen], np.int64)
     depth = max(0, min(depth, int(np.log2(max(1, len(sample) // LEAST_LEAF)))))
     forest = [Tree(sample, depth, seed) for seed in range(trees)]
-    indexed = rows.mapInArrow(index(forest), "tree int, leaf int, vec_id long, v array<double>")
+    indexed = rows.mapInArrow(index(forest), "tree int, leaf int, vec_id long, row long, v array<double>")
     sizes = np.zeros((trees, 1 << depth), np.int64)
     for r in indexed.groupBy("tree", "leaf").count().collect():
         sizes[r["tree"], r["leaf"]] = r["count"]
-    asked = usable(queries, id_col, vector_col).filter(F.size("v") == length).mapInArrow(
-        probe(forest, sizes, sample, k, share), "tree int, leaf int, query_id long, q array<double>"
+    asked = usable(queries, id_col, vector_col).filter(F.size("v") == length).distinct().mapInArrow(
+        probe(forest, sizes, sample, sample_ids, k, share), "tree int, leaf int, query_id long, q array<double>"
     )
     blocks = int(sizes.max()) // block + 1
     if blocks > 1:
-        indexed = indexed.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
+        indexed = indexed.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"))
         asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     else:
         indexed, asked = indexed.withColumn("block", F.lit(0)), asked.withColumn("block", F.lit(0))
     keys = ("tree", "leaf", "block")
-    found = asked.groupBy(*keys).cogroup(indexed.groupBy(*keys)).applyInArrow(rank_block(k), names).distinct()
+    found = asked.groupBy(*keys).cogroup(indexed.groupBy(*keys)).applyInArrow(rank_block(k), names)
+    # A row is found in several trees, and by each vector of its query.
+    found = found.groupBy("query_id", "vec_id", "row").agg(F.min("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int"), "vec_id", "score"

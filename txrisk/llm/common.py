@@ -48,7 +48,7 @@ def whole(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
-def sampled(rows: DataFrame, key: str, most: int, total: int | None = None) -> DataFrame:
+def sampled(rows: DataFrame, key: str | Column, most: int, total: int | None = None) -> DataFrame:
     """About ``most`` rows at most, chosen by a hash of ``key``; all of them, if there are no more.
 
     The share taken falls as the table grows, so the sample's size is bounded whatever the input.
