@@ -1,7 +1,9 @@
 import hashlib
 import os
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm_helpers import awkward, documents, prose, words
 from txrisk.llm import substring
@@ -68,3 +70,18 @@ def test_repeated_null_and_no_ids(spark):
     found = sorted((r.doc_id or 0, r.n_words, r.n_removed) for r in substring_dedup(docs).collect())
     assert found == [(0, 0, 0), (0, 30, 30), (2, 30, 0), (2, 30, 30)]
     assert substring_dedup(docs.limit(0)).count() == 0
+
+
+def test_minimisers_of_rows_that_share_an_id_are_not_gathered(spark):
+    common = np.zeros(0, np.uint64)
+    texts = [prose(30, i % 40) for i in range(80)]
+    alone = documents(spark, texts).selectExpr("doc_id", "cast(text as binary) as text")
+    shared = alone.withColumn("doc_id", F.when(F.col("doc_id") % 2 == 0, 7).cast("long"))
+
+    def most(docs):
+        sizes = substring.repeated_minimisers(docs, 20, 8, common).select(F.max(F.size("hs"))).first()
+        return sizes[0]
+
+    assert most(shared) == most(alone) > 0
+    got = sorted(r.n_removed for r in substring_dedup(shared).collect())
+    assert got == sorted(r.n_removed for r in substring_dedup(alone).collect())

@@ -19,7 +19,8 @@ What keeps that affordable and even:
   collapsed in the same way. Nothing is dropped.
 
 Words are separated by space and U+0009 to U+000D. A null text has no words; texts shorter than a window are
-kept as they are. Rows that repeat an id are documents of their own, the earlier row first. No rows give none.
+kept as they are. Rows that repeat an id are documents of their own, the earlier row first; minimisers are
+gathered by id and text, so any number of rows may share an id or have none. No rows give none.
 Only id and text are read, whatever other columns are called.
 """
 
@@ -31,7 +32,7 @@ from hashlib import sha256
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from txrisk.llm.common import partitions, staged, whole
 
@@ -350,9 +351,18 @@ def strip(batches: Batches) -> Batches:
             )
 
 
+def key_of() -> Column:
+    """What gathers a document's minimisers: equal for rows of equal id and text, whose minimisers are equal.
+
+    Where it is equal for other rows by chance, each is given the other's too, which removes nothing more.
+    """
+    return F.xxhash64("doc_id", "text")
+
+
 def repeated_minimisers(docs: DataFrame, window: int, gram: int, common: np.ndarray) -> DataFrame:
-    """Per id the minimisers that occur again somewhere: key, hs."""
-    found = docs.select("doc_id", "text").mapInArrow(minimisers(window, gram, common), "doc_id long, h long, n long")
+    """Per key of a document (``key_of``) the minimisers that occur again somewhere: key, hs."""
+    keyed = docs.select(key_of().alias("doc_id"), "text")
+    found = keyed.mapInArrow(minimisers(window, gram, common), "doc_id long, h long, n long")
     again = found.groupBy("h").agg(F.sum("n").alias("times")).filter("times > 1").select("h")
     return found.select("doc_id", "h").join(again, "h", "left_semi").groupBy("doc_id").agg(
         F.collect_set("h").alias("hs")
@@ -385,7 +395,7 @@ def parts(docs: DataFrame, id_col: str, text_col: str, window: int, gram: int, c
     common = common_grams(docs, window, gram)
     again = repeated_minimisers(docs, window, gram, common)
     joined = docs.withColumn("row", F.monotonically_increasing_id()).join(
-        again, F.col("doc_id").eqNullSafe(F.col("key")), "left"
+        again, key_of() == F.col("key"), "left"
     ).select("doc_id", "row", "text", "hs")
     table = staged(joined.mapInArrow(pack(window, gram, common), PART_SQL), "substring-parts")
     packed = table.filter(F.col("kind") == PACKED)
