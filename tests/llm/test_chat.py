@@ -1,3 +1,5 @@
+import time
+
 from txrisk.llm.chat import chat_format
 
 KINDS = "conv_id long, turn long, role string, text string, h string, chain int"
@@ -47,3 +49,16 @@ def test_long_and_common_conversations(spark):
 
 def test_empty(spark):
     assert chat_format(logs(spark, [(1, talk("a"))]).limit(0)).count() == 0
+
+
+def test_very_long_conversations_are_hashed_in_linear_time(spark):
+    def long(conv, n):
+        return spark.range(n).selectExpr(
+            f"{conv} as conv_id", "id as turn", "'user' as role", "cast(id as string) as text"
+        )
+
+    turns = long(1, 300_000).unionByName(long(2, 299_999)).unionByName(long("cast(null as int)", 300_000))
+    start = time.perf_counter()
+    found = chat_format(turns).select("conv_id", "n_turns", "n_copies").collect()
+    assert {tuple(r) for r in found} == {(1, 300_000, 2)}
+    assert time.perf_counter() - start < 60

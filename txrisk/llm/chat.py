@@ -5,19 +5,20 @@ whole sequence of (role, text) begins another, longer one is dropped; of equal c
 the smallest id stays. What is left is rendered with one template.
 
 Turns are ordered by turn number (null last), then role and the text's MD5; a null role or text counts as empty.
-A repeated turn row is a turn of its own. Rolling hashes run along each conversation's turns,
-the hash of a prefix being the MD5 of the hash before it and the turn's own, so that two conversations
-share a prefix where they share its hash and length. Proper prefixes are made distinct before they
+A repeated turn row is a turn of its own. A window numbers each conversation's turns; each turn and its
+number have an MD5, whose four words are summed along the conversation. The hash of a prefix is the MD5 of its four sums,
+so that two conversations share a prefix where they share its hash and length. Work is linear in turns, but for
+their sort, which spills; no conversation's hashes are held. Proper prefixes are made distinct before they
 meet the conversations in an anti-join, and equal conversations are collapsed first, so that neither a common
-first turn nor a common conversation gathers its rows in one task. The only group that is held whole is one
-conversation: its hashes, 32 characters a turn, and, if it stays, the string it is rendered to.
+first turn nor a common conversation gathers its rows in one task. One task still sorts the turns of one
+conversation, and holds it if it stays, as its string is one value.
 
-Rows without a conversation id are one conversation with a null id. No rows: no conversations.
+Rows without a conversation id are one conversation with a null id, as in the SQL twin. No rows: no conversations.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from txrisk.llm.common import staged
 
@@ -29,33 +30,32 @@ def framed(role: Column, text: Column) -> Column:
     return F.concat_ws(":", F.length(role).cast("string"), role, text)
 
 
-def prefix_hashes(turns: Column) -> Column:
-    """The rolling hash after each turn of a sorted array of turn hashes."""
-    def longer(all_: Column, turn: Column) -> Column:
-        before = F.coalesce(F.get(all_, F.size(all_) - 1), F.lit(""))
-        return F.concat(all_, F.array(F.md5(F.concat(before, turn).cast("binary"))))
-
-    return F.aggregate(turns, F.array().cast("array<string>"), longer)
+def prefix_hashes(turns: DataFrame) -> DataFrame:
+    """conv_id, n_turns and h of each prefix of the conversations, whole ones included (``whole``)."""
+    ordered = Window.partitionBy("conv_id").orderBy("late", "turn", "role", "text_hash")
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = turns.select(
+        "conv_id", "late", "turn", "role", "text_hash", "h", F.row_number().over(ordered).alias("n_turns"),
+        F.lead(F.lit(False), 1, True).over(ordered).alias("whole"),
+    ).withColumn("placed", F.md5(F.concat_ws(":", F.col("n_turns").cast("string"), "h").cast("binary")))
+    sums = [
+        F.sum(F.conv(F.substring("placed", 8 * i + 1, 8), 16, 10).cast("long")).over(so_far).cast("string")
+        for i in range(4)
+    ]
+    return numbered.select("conv_id", "n_turns", "whole", F.concat_ws(":", *sums).alias("sums")).select(
+        "conv_id", "n_turns", "whole", F.md5(F.col("sums").cast("binary")).alias("h")
+    )
 
 
 def maximal(conversations: DataFrame) -> DataFrame:
     """conv_id, n_turns and n_copies of the conversations that stay (clean columns)."""
-    hashed = conversations.groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("late", "turn", "role", "text_hash", "h"))).alias("turns")
-    )
-    chains = staged(
-        hashed.select("conv_id", prefix_hashes(F.transform("turns", lambda t: t["h"])).alias("chain")), "chat-chains"
-    )
-    whole_hash = chains.select(
-        "conv_id", F.size("chain").alias("n_turns"), F.element_at("chain", -1).alias("h")
-    )
+    chains = staged(prefix_hashes(conversations), "chat-chains")
+    whole_hash = chains.filter("whole")
     distinct = whole_hash.groupBy("h", "n_turns").agg(
         F.min(F.struct(F.col("conv_id").isNull().alias("last"), "conv_id")).alias("first"),
         F.count("*").alias("n_copies"),
     )
-    prefixes = chains.select(F.posexplode(F.slice("chain", F.lit(1), F.size("chain") - 1)).alias("at", "h")).select(
-        "h", (F.col("at") + 1).alias("n_turns")
-    ).distinct()
+    prefixes = chains.filter("not whole").select("h", "n_turns").distinct()
     return distinct.join(prefixes, ["h", "n_turns"], "left_anti").select(
         F.col("first.conv_id").alias("conv_id"), F.col("n_turns").cast("long"), "n_copies"
     )
