@@ -4,6 +4,7 @@ from fractions import Fraction
 from pyspark.sql import functions as F
 
 from llm_helpers import awkward, documents, prose, words
+from txrisk.llm import mixing
 from txrisk.llm.mixing import mix, mix_plan
 
 
@@ -74,3 +75,23 @@ def test_mixed_documents(spark):
 def test_repeated_rows(spark):
     docs = documents(spark, [prose(9, 1)] * 6, ["a"] * 6).withColumn("doc_id", F.lit(5).cast("long"))
     assert sum(r.taken for r in mix_plan(docs).collect()) == 54
+
+
+def test_rows_that_share_an_id_are_dealt_out(spark, monkeypatch):
+    texts = [prose(1 + i % 7, i % 50) for i in range(3000)]
+    sources = ["a" if i < 2600 else "b" for i in range(3000)]
+    docs = documents(spark, texts, sources).withColumn("doc_id", F.when(F.col("doc_id") > 2000, F.col("doc_id")))
+    monkeypatch.setattr(mixing, "CROWD", 10**9, raising=False)
+    # One range at a time, as written before.
+    expected, mixture = sorted(tuple(r)[1:] for r in mix_plan(docs).collect()), mix(docs).count()
+    monkeypatch.setattr(mixing, "CROWD", 20, raising=False)
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        found = mix_plan(docs)
+        assert sorted(tuple(r)[1:] for r in found.collect()) == expected
+        assert mix(docs).count() == mixture
+        most = found.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    finally:
+        spark.conf.unset(coalesce)
+    assert most < 1000

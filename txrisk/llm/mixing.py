@@ -8,7 +8,8 @@ part. Sizes are words; a null text has none.
 The order is distributed: a source's keys are dealt into ranges of equal width (keys are uniform, so
 ranges are even), range totals are summed first, and each range then only adds the total of
 those before it. A source with any share of the rows is spread over all ranges, and neither targets
-nor the words taken depend on the number of ranges.
+nor the words taken depend on the number of ranges. A range that holds far more rows than its share, as one id or none
+stands on many, is cut by key, id and size, and rows equal in these are dealt out, as any order of them will do.
 
 Sources rank by code point, null last; weights repeat along that order. Targets share the size of all
 documents by weight, but stop at ``most`` times their source's size; the excess is shared anew by
@@ -29,6 +30,7 @@ from txrisk.llm.common import SPACE, new_name, numbered, partitions, staged, who
 WEIGHTS = (5, 2, 1)
 MOST = 3
 KEY_DIGITS = 15
+CROWD = 65_536
 
 
 def words(text: Column) -> Column:
@@ -67,24 +69,56 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST
     return rows.select("unnamed", "source", "source_size", target.alias("target"))
 
 
+def dealt(rows: DataFrame, shares: int) -> DataFrame:
+    """Adds ``prefix``, the words before a row in its range, where rows equal in key, id and size are many."""
+    same = ["unnamed", "source", "range", "key", "doc_id", "size", "share"]
+    rows = rows.withColumn("share", F.pmod(F.xxhash64("row"), F.lit(shares)).cast("int"))
+    earlier = Window.partitionBy("unnamed", "source", "range").orderBy("key", "doc_id", "size", "share").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    groups = rows.groupBy(*same).agg(F.sum("size").alias("group_size")).select(
+        *(F.col(c).alias(f"{c}_") for c in same),
+        F.coalesce(F.sum("group_size").over(earlier), F.lit(0)).alias("ahead"),
+    )
+    nth = F.row_number().over(Window.partitionBy(*same).orderBy("row"))
+    rows = rows.withColumn("nth", nth)
+    equal = F.lit(True)
+    for c in same:
+        equal &= F.col(c).eqNullSafe(F.col(f"{c}_"))
+    return rows.join(groups, equal).withColumn("prefix", F.col("ahead") + (F.col("nth") - 1) * F.col("size")).drop(
+        "share", "nth", "ahead", *(f"{c}_" for c in same)
+    )
+
+
 def mixed(rows: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST) -> DataFrame:
     """Adds source_size, target and taken to staged rows (row, doc_id, unnamed, source, size, key)."""
     ranges = 8 * partitions(rows.sparkSession)
     width = (1 << 4 * KEY_DIGITS) // ranges + 1
     rows = rows.withColumn("range", F.floor(F.col("key") / F.lit(width)).cast("int"))
-    cells = rows.groupBy("unnamed", "source", "range").agg(F.sum("size").alias("cell_size"))
+    cells = rows.groupBy("unnamed", "source", "range").agg(F.sum("size").alias("cell_size"), F.count("*").alias("n"))
     cells = staged(cells, "mix-cells")
     sizes = cells.groupBy("unnamed", "source").agg(F.sum("cell_size").alias("source_size"))
     earlier = Window.partitionBy("unnamed", "source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = cells.withColumn("offset", F.coalesce(F.sum("cell_size").over(earlier), F.lit(0))).join(
         targets(sizes, weights, most), ["unnamed", "source"]
-    ).drop("cell_size")
+    ).drop("cell_size", "n")
     within = Window.partitionBy("unnamed", "source", "range").orderBy("key", "doc_id", "size", "row").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    rows = rows.withColumn("prefix", F.coalesce(F.sum("size").over(within), F.lit(0))).join(
-        offsets, ["unnamed", "source", "range"]
-    )
+    place = ["unnamed", "source", "range"]
+    held = cells.agg(F.sum("n").alias("total"), F.max("n").alias("largest")).first()
+    limit = max(CROWD, 4 * (held["total"] or 0) // ranges)
+    crowded = None
+    if (held["largest"] or 0) > limit:
+        # At most a quarter as many as there are ranges.
+        found = F.broadcast(staged(cells.filter(F.col("n") > limit).select(*place), "mix-crowded"))
+        crowded = dealt(rows.join(found, place, "left_semi"), ranges).join(
+            F.broadcast(offsets.join(found, place, "left_semi")), place
+        )
+        rows = rows.join(found, place, "left_anti")
+    rows = rows.withColumn("prefix", F.coalesce(F.sum("size").over(within), F.lit(0))).join(offsets, place)
+    if crowded is not None:
+        rows = rows.unionByName(crowded)
     budget = F.floor("target").cast("long")
     passes = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
     last = F.greatest(F.lit(0), F.least(
