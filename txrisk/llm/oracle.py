@@ -194,6 +194,51 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM docs LEFT JOIN per_doc USING (doc_id)
 """
 
+PHRASES = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS piece, p FROM (
+        SELECT lang, unnest(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]'
+        )) AS p FROM documents
+    )
+), words AS (
+    SELECT lang, piece, unnest(w) AS w, unnest(range(len(w))) AS i
+    FROM (SELECT lang, piece, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces)
+), next AS (
+    SELECT lang, w, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3, lead(w, 3) OVER o AS w4, lead(w, 4) OVER o AS w5
+    FROM words WINDOW o AS (PARTITION BY piece ORDER BY i)
+), phrases AS (
+    SELECT lang, [w] AS p FROM next
+    UNION ALL SELECT lang, [w, w2] FROM next WHERE w2 IS NOT NULL
+    UNION ALL SELECT lang, [w, w2, w3] FROM next WHERE w3 IS NOT NULL
+    UNION ALL SELECT lang, [w, w2, w3, w4] FROM next WHERE w4 IS NOT NULL
+    UNION ALL SELECT lang, [w, w2, w3, w4, w5] FROM next WHERE w5 IS NOT NULL
+), counted AS (
+    SELECT lang, p, count(*)::HUGEINT AS f FROM phrases GROUP BY ALL HAVING count(*) >= 100
+), totals AS (
+    SELECT lang, count(*)::HUGEINT AS n FROM words GROUP BY lang
+), cuts AS (
+    SELECT lang, p, f, unnest(range(1, len(p))) AS k FROM counted WHERE len(p) > 1
+), scored AS (
+    SELECT c.lang, c.p, c.f AS a, c.k, l.f AS l, r.f AS r, t.n, 1000 * c.f * t.n // (l.f * r.f) AS score
+    FROM cuts c JOIN totals t USING (lang)
+    JOIN counted l ON l.lang = c.lang AND l.p = c.p[1:c.k]
+    JOIN counted r ON r.lang = c.lang AND r.p = c.p[c.k + 1:]
+), weakest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+), inside AS (
+    SELECT lang, p[i:j] AS p, max(f) AS longer
+    FROM counted, range(1, 5) s(i), range(2, 6) e(j)
+    WHERE j > i AND j <= len(p) AND j - i + 1 < len(p) GROUP BY ALL
+), kept AS (
+    SELECT w.*, array_to_string(p, ' ') AS phrase FROM weakest w LEFT JOIN inside USING (lang, p)
+    WHERE longer IS NULL OR 100 * longer < 100 * a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l,
+    r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM kept QUALIFY rank <= 2000
+"""
+
 ORACLES = {
     "op1_exact_dedup": EXACT_DEDUP,
     "op2_line_dedup": LINE_DEDUP,
@@ -201,4 +246,5 @@ ORACLES = {
     "op5_secret_scan": SECRET_SCAN,
     "op9_chat_format": CHAT_FORMAT,
     "op10_substring_dedup": SUBSTRING_DEDUP,
+    "op13_phrase_collocations": PHRASES,
 }
