@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from txrisk.session import work_dir
+from txrisk.sources import folders
 
 # White space of all operators, as a Java and RE2 pattern: space and U+0009 to U+000D.
 SPACE = r"[\x20\x09-\x0D]"
@@ -20,9 +21,19 @@ def staged(rows: DataFrame, purpose: str) -> DataFrame:
     Cuts lineage, gives each row one value of what is not repeatable (row numbers), and outlives
     any executor.
     """
+    return staged_at(rows, purpose)[0]
+
+
+def staged_at(rows: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """The staged rows and their folder, to be given to ``discard`` when no later step reads them."""
     path = work_dir(rows.sparkSession, purpose)
     rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Deletes a staged table that nothing lazy refers to any more."""
+    folders.delete(spark, folder)
 
 
 def partitions(spark: SparkSession) -> int:

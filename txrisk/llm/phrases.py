@@ -5,17 +5,18 @@ occurs ``a`` times, whose first words occur ``l`` times and the rest ``r`` times
 
 1. Each task reads its documents into blocks of words and persists them: the occurrences of a block, sorted by piece and position,
    as one packed list of word numbers with a zero between pieces, and the block's different words with their counts.
-2. Group-count: counts are added up per word, and those of ``least`` or more get a group id. All counts are combined per block before
-   they are shuffled, so the commonest word is a row per block, not per occurrence.
-3. Semi-join: each block gets back the group ids of its own frequent words, and drops all other occurrences.
+2. Group-count: counts are added up per word over all blocks, and words with ``least`` or more stay. All counts are combined per block
+   before they are shuffled, so the commonest word is a row per block, not per occurrence. A group's id is the place of its
+   first member, a block and a number there; it needs no join to get back to the members.
+3. Semi-join: each block gets the ids of its own frequent groups, drops all other occurrences, and persists what is left.
 4. Merge-join: as a block's occurrences are sorted and lie together, those of equal piece and adjacent position are neighbours in its
-   list; every two neighbours are an occurrence of a phrase one word longer, made of two group ids that overlap in all but one word.
-   The block persists the new relation and its different pairs with their counts, and 2 to 4 are repeated up to the longest length.
+   list; every two neighbours are an occurrence of a phrase one word longer, made of two ids that overlap in all but one word.
+   The block persists its different pairs with their counts, packed by a hash of the pair, and 2 to 4 are repeated.
 
 A longer phrase is so only ever counted where both its parts are frequent, which is exact, as no phrase occurs more often than
-its parts. Group ids are numbers given out per frequent group, so equal means equal, not equal hashes. A block holds about
-``BLOCK`` words whatever the input's size, and never more than that and one document; nothing else is held whole, and the driver holds nothing. The
-counts of first and last parts are carried along as phrases grow, and scores are exact (38 digits).
+its parts. Ids name groups, they are no hashes, so equal means equal. A block holds about ``BLOCK`` words whatever the input's size, and
+never more than that and one document; counting sorts rows and can spill; nothing else is held whole, and the driver holds
+nothing but the number of words. Counts of first and last parts are carried along as phrases grow, and scores are exact (38 digits).
 
 Phrases that lie in a longer one with ``share`` percent of their count or more are dropped; one word longer is enough to look at, as
 counts never grow with length. Each language's best are ranked in salted shares first, so a language that a third of all phrases
@@ -40,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from txrisk.llm.common import staged
+from txrisk.llm.common import discard, partitions, staged, staged_at
 
 LEAST = 100
 LONGEST = 5
@@ -48,8 +49,8 @@ SHARE = 100
 TOP = 2000
 UNKNOWN = "und"
 # Words of a block, and different ones after which it ends early.
-BLOCK = 1 << 22
-DIFFERENT = 1 << 19
+BLOCK = 1 << 21
+DIFFERENT = 1 << 18
 # Bytes of a text that are split at a time, rows handed on at a time.
 TEXT_BYTES = 1 << 22
 ROWS = 1 << 16
@@ -58,8 +59,18 @@ SEPARATORS = b".,;:!?\n\v\f\r"
 # All separators as one, which cannot be part of a word.
 ONE_SEPARATOR = bytes.maketrans(SEPARATORS, b"." * len(SEPARATORS))
 BLANK = re.compile(rb"[ \t]")
+# A block is its task and a number there; a place is a block and a number of one of its groups.
+BLOCK_BITS = 11
+PLACE_BITS = 29
+# Words per packed bucket of pairs, and the most buckets.
+BUCKET = 1 << 22
+MOST_BUCKETS = 1 << 16
 WORDS = "block long, code int, lang string, word string, n long, data binary"
-GROUPS = "block long, code int, left long, right long, n long, data binary"
+PAIRS = "block long, bucket int, base long, lefts array<long>, rights array<long>, ns array<long>, data binary"
+PAIR_FIELDS = [
+    ("block", pa.int64()), ("bucket", pa.int32()), ("base", pa.int64()), ("lefts", pa.list_(pa.int64())),
+    ("rights", pa.list_(pa.int64())), ("ns", pa.list_(pa.int64())), ("data", pa.binary()),
+]
 
 
 class Numbers(dict):
@@ -102,8 +113,12 @@ class Block:
 
     def rows(self, block: int) -> Iterator[pa.RecordBatch]:
         codes = np.concatenate(self.parts)
-        yield occurrences(block, codes, {"lang": pa.string(), "word": pa.string()})
         counts = np.bincount(codes)
+        names = ["block", "code", "lang", "word", "n", "data"]
+        yield pa.RecordBatch.from_arrays([
+            pa.array([block], pa.int64()), pa.array([0], pa.int32()), *(pa.nulls(1, pa.string()) for _ in range(2)),
+            pa.nulls(1, pa.int64()), pa.array([packed(separated(codes))], pa.binary()),
+        ], names=names)
         for lang, numbers in self.langs.items():
             words, found = list(numbers)[1:], np.array(list(numbers.values())[1:], np.int32)
             for at in range(0, len(words), ROWS):
@@ -112,31 +127,34 @@ class Block:
                     pa.array(np.full(len(some), block)), pa.array(some), pa.array([lang] * len(some)),
                     pa.array(words[at:at + ROWS], pa.binary()).cast(pa.string()), pa.array(counts[some].astype(np.int64)),
                     pa.nulls(len(some), pa.binary()),
-                ], names=["block", "code", "lang", "word", "n", "data"])
+                ], names=names)
 
 
-def occurrences(block: int, codes: np.ndarray, others: dict[str, pa.DataType]) -> pa.RecordBatch:
-    """The row of a block's sorted occurrences, with code zero; several zeros in a row separate no better than one."""
+def separated(codes: np.ndarray) -> np.ndarray:
+    """Without zeros after a zero: several separate no better than one."""
     keep = codes != 0
     keep[1:] |= codes[:-1] != 0
-    return pa.RecordBatch.from_arrays([
-        pa.array([block], pa.int64()), pa.array([0], pa.int32()), *(pa.nulls(1, kind) for kind in others.values()),
-        pa.nulls(1, pa.int64()), pa.array([packed(codes[keep])], pa.binary()),
-    ], names=["block", "code", *others, "n", "data"])
+    return codes[keep]
 
 
-def packed(codes: np.ndarray) -> bytes:
-    """The codes in as few bytes as the largest needs, that number first."""
-    width = 2 if not len(codes) or codes.max() < 1 << 16 else 4
-    return bytes([width]) + codes.astype(f"<u{width}").tobytes()
+def packed(codes: np.ndarray, ids: np.ndarray | None = None) -> bytes:
+    """A relation: the ids its codes stand for, none for the first, and the codes; compressed byte by byte of their numbers."""
+    ids = np.zeros(0, np.int64) if ids is None else ids
+    head = np.array([len(ids), len(codes)], "<i8").tobytes()
+    body = b"".join(part.reshape(-1, 1).view(np.uint8).T.tobytes() for part in (ids.astype("<i8"), codes.astype("<i4")))
+    return head + pa.compress(body, "zstd", asbytes=True)
 
 
-def unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[0]}", offset=1)
+def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The codes and their ids."""
+    n_ids, n_codes = np.frombuffer(data, "<i8", 2).tolist()
+    body = np.frombuffer(pa.decompress(data[16:], 8 * n_ids + 4 * n_codes, "zstd"), np.uint8)
+    ids = np.ascontiguousarray(body[:8 * n_ids].reshape(8, n_ids).T).view("<i8").ravel()
+    return np.ascontiguousarray(body[8 * n_ids:].reshape(4, n_codes).T).view("<i4").ravel(), ids
 
 
 def read_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    number = TaskContext.get().partitionId() << 32
+    number = TaskContext.get().partitionId() << BLOCK_BITS
     block = Block()
     for batch in batches:
         langs = batch.column("lang").to_pylist()
@@ -150,39 +168,79 @@ def read_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from block.rows(number)
 
 
-def join_neighbours(keep: bool) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """Per block: occurrences one word longer, and their different pairs of group ids with counts."""
+def semi_joined(codes: np.ndarray, ids: np.ndarray, frequent: pa.Table, words: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The relation of a block's frequent groups: words from the codes themselves, longer ones from pairs of neighbours."""
+    left, right, gids = (frequent.column(c).to_numpy() for c in ("left", "right", "gid"))
+    if words:
+        wanted, known = codes.astype(np.int64), left
+    else:
+        most = len(ids) + 1
+        first, second = codes[:-1].astype(np.int64), codes[1:]
+        wanted = np.where((first > 0) & (second > 0), first * most + second, 0)
+        known = (np.searchsorted(ids, left) + 1) * most + np.searchsorted(ids, right) + 1
+    by_id, order = np.argsort(gids), np.argsort(known)
+    number = np.empty(len(gids), np.int32)
+    number[by_id] = np.arange(1, len(gids) + 1)
+    known, number = known[order], number[order]
+    found = np.zeros(len(wanted), np.int32)
+    for start in range(0, len(wanted), ROWS):
+        some = wanted[start:start + ROWS]
+        at = np.minimum(np.searchsorted(known, some), len(known) - 1)
+        found[start:start + ROWS] = np.where(known[at] == some, number[at], 0)
+    return separated(found), gids[by_id]
+
+
+def bucket_of(left: np.ndarray, right: np.ndarray, buckets: int) -> np.ndarray:
+    mixed = (left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (right.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    return (((mixed >> np.uint64(33)) * np.uint64(0x165667B1)) >> np.uint64(20)) % np.uint64(buckets)
+
+
+def merge_joined(block: int, codes: np.ndarray, ids: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """A row per bucket of the different pairs of neighbours, with counts; their numbers in the block go on from row to row."""
+    first, second = codes[:-1].astype(np.int64), codes[1:]
+    adjacent = (first > 0) & (second > 0)
+    pairs, counts = np.unique(first[adjacent] * (len(ids) + 1) + second[adjacent], return_counts=True)
+    left, right = (ids[p - 1] for p in np.divmod(pairs, len(ids) + 1))
+    bucket = bucket_of(left, right, buckets)
+    order = np.argsort(bucket, kind="stable")
+    left, right, counts, bucket = left[order], right[order], counts[order].astype(np.int64), bucket[order]
+    starts = np.nonzero(np.diff(bucket, prepend=np.uint64(buckets)))[0]
+    ends = pa.array(np.append(starts, len(bucket)), pa.int32())
+    return pa.RecordBatch.from_arrays([
+        pa.array(np.full(len(starts), block)), pa.array(bucket[starts].astype(np.int32)), pa.array(starts),
+        *(pa.ListArray.from_arrays(ends, pa.array(c)) for c in (left, right, counts)), pa.nulls(len(starts), pa.binary()),
+    ], names=[name for name, _ in PAIR_FIELDS])
+
+
+def grow(words: bool, last: bool, buckets: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Per block: its relation of frequent groups, unless it is the last, and the counted pairs of neighbours in it."""
     def run(relation: pa.Table, frequent: pa.Table) -> pa.Table:
-        others = {"left": pa.int64(), "right": pa.int64()}
-        found = [pa.RecordBatch.from_pylist([], pa.schema([
-            ("block", pa.int64()), ("code", pa.int32()), *others.items(), ("n", pa.int64()), ("data", pa.binary())
-        ]))]
+        found = [pa.RecordBatch.from_pylist([], pa.schema(PAIR_FIELDS))]
         if relation.num_rows and frequent.num_rows:
             block = relation.column("block")[0].as_py()
-            codes = unpacked(relation.column("data")[0].as_py())
-            kept, ids = frequent.column("code").to_numpy(), frequent.column("gid").to_numpy()
-            # Frequent groups are numbered from 1; all others are no occurrence any more.
-            places = np.zeros(max(int(codes.max()), int(kept.max())) + 1, np.int64)
-            places[kept] = np.arange(1, len(kept) + 1)
-            places = places[codes]
-            adjacent = (places[:-1] > 0) & (places[1:] > 0)
-            pairs = places[:-1][adjacent] * (len(kept) + 1) + places[1:][adjacent]
-            if len(pairs):
-                pairs, which, counts = np.unique(pairs, return_inverse=True, return_counts=True)
-                left, right = np.divmod(pairs, len(kept) + 1)
-                if keep:
-                    longer = np.zeros(len(adjacent), np.int64)
-                    longer[adjacent] = which + 1
-                    found.append(occurrences(block, longer, others))
-                found.append(pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(pairs), block)), pa.array(np.arange(1, len(pairs) + 1, dtype=np.int32)),
-                    pa.array(ids[left - 1]), pa.array(ids[right - 1]), pa.array(counts.astype(np.int64)),
-                    pa.nulls(len(pairs), pa.binary()),
-                ], names=["block", "code", *others, "n", "data"]))
+            codes, ids = semi_joined(*unpacked(relation.column("data")[0].as_py()), frequent, words)
+            if not last:
+                row = {"block": block, "bucket": -1, "data": packed(codes, ids)}
+                found.append(pa.RecordBatch.from_pylist([row], pa.schema(PAIR_FIELDS)))
+            found.append(merge_joined(block, codes, ids, buckets))
         return pa.Table.from_batches(found)
     return run
 
 
+def counted(members: DataFrame, key: list[str], least: int) -> DataFrame:
+    """The members of frequent groups: a row per block that has them, with the group's count ``a`` and id.
+
+    The id is the smallest place of a member; that member alone has ``own``, and stands for the group.
+    """
+    same = Window.partitionBy(*key)
+    rows = members.withColumn("a", F.sum("n").over(same)).withColumn("gid", F.min("place").over(same))
+    return rows.filter(F.col("a") >= least).withColumn("own", F.col("place") == F.col("gid"))
+
+
+def place(number: Column) -> Column:
+    return F.shiftleft("block", PLACE_BITS) + number
+
+
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST,
                      longest: int = LONGEST) -> tuple[list[DataFrame], DataFrame]:
     """By length from 1, the frequent phrases: gid, lang, phrase, last word, count a, the counts of their first parts and of the
@@ -192,27 +250,48 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
         F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"),
         F.col(text_col).cast("string").cast("binary").alias("text"),
     )
-    relation = staged(rows.mapInArrow(read_blocks, WORDS), "phrases-1")
+    spark = docs.sparkSession
+    relation, old = staged_at(rows.mapInArrow(read_blocks, WORDS), "phrases-1")
     words = relation.filter("code > 0")
     totals = staged(words.groupBy("lang").agg(F.sum("n").alias("n")), "phrases-totals")
+    total = totals.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).collect()[0].n
+    buckets = min(MOST_BUCKETS, max(partitions(spark), -(-total // BUCKET)))
+    members = staged(
+        counted(words.withColumn("place", place(F.col("code"))), ["lang", "word"], least).select(
+            "block", F.col("code").cast("long").alias("left"), F.lit(0).cast("long").alias("right"), "gid", "own", "a",
+            # One member says what the group is.
+            *(F.when(F.col("own"), F.col(c)).alias(c) for c in ("lang", "word")),
+        ), "phrases-members-1",
+    )
     none = F.array().cast("array<long>")
-    groups = words.groupBy("lang", F.col("word").alias("phrase")).agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
-    found = [staged(groups.select(
-        F.monotonically_increasing_id().alias("gid"), "lang", "phrase", F.col("phrase").alias("last"), "a",
-        none.alias("firsts"), none.alias("rests"),
-    ), "phrases-frequent-1")]
-    key = ["lang", "phrase"]
-    members = words.withColumnRenamed("word", "phrase")
+    found = [members.filter("own").select(
+        "gid", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "a", none.alias("firsts"), none.alias("rests")
+    )]
+    relation = relation.filter("code = 0")
     for length in range(2, longest + 1):
-        known = members.join(found[-1].select(*key, "gid"), key).select(F.col("block").alias("of_block"), "code", "gid")
-        relation = staged(
-            relation.filter("code = 0").select("block", "data").groupBy("block").cogroup(known.groupBy("of_block"))
-            .applyInArrow(join_neighbours(keep=length < longest), GROUPS),
+        known = members.select(F.col("block").alias("of_block"), "left", "right", "gid")
+        grown, folder = staged_at(
+            relation.select("block", "data").groupBy("block").cogroup(known.groupBy("of_block"))
+            .applyInArrow(grow(length == 2, length == longest, buckets), PAIRS),
             f"phrases-{length}",
         )
-        members, key = relation.filter("code > 0"), ["left", "right"]
-        groups = members.groupBy(key).agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
-        found.append(staged(spelled(groups, found[-1]), f"phrases-frequent-{length}"))
+        # The relation it came from has been read for the last time.
+        discard(spark, old)
+        old = folder
+        relation = grown.filter("bucket = -1")
+        # Pairs are brought together by bucket, packed, and unpacked there: counting needs no further shuffle.
+        pairs = grown.filter("bucket >= 0").drop("data").repartition(buckets, "bucket").select(
+            "block", "bucket", "base", F.posexplode(F.arrays_zip("lefts", "rights", "ns"))
+        ).select(
+            "block", "bucket", place(F.col("base") + F.col("pos")).alias("place"),
+            F.col("col.lefts").alias("left"), F.col("col.rights").alias("right"), F.col("col.ns").alias("n"),
+        )
+        members = staged(
+            counted(pairs, ["bucket", "left", "right"], least).select("block", "left", "right", "gid", "own", "a"),
+            f"phrases-members-{length}",
+        )
+        found.append(staged(spelled(members.filter("own"), found[-1]), f"phrases-frequent-{length}"))
+    discard(spark, old)
     return found, totals
 
 
@@ -225,8 +304,8 @@ def spelled(groups: DataFrame, shorter: DataFrame) -> DataFrame:
         F.col("gid").alias("right"), "last", F.array_prepend("rests", F.col("a")).alias("rests")
     )
     return groups.join(first, "left").join(rest, "right").select(
-        F.monotonically_increasing_id().alias("gid"), "lang", F.concat_ws(" ", "begin", "last").alias("phrase"), "last", "a",
-        "firsts", "rests", "left", "right",
+        "gid", "lang", F.concat_ws(" ", "begin", "last").alias("phrase"), "last", "a", "firsts",
+        "rests", "left", "right",
     )
 
 
