@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from txrisk import values as V
 from txrisk.functions.draws import key_draw
+from txrisk.operators.ranges import exact_share
 
 
 def label_balance(rows: DataFrame, label: str = "label") -> DataFrame:
@@ -49,8 +50,20 @@ def with_split(rows: DataFrame, draw: Column | None = None, train_share: float =
     return rows.withColumn("split", F.when(draw < train_share, "train").otherwise("test"))
 
 
-def random_split(rows: DataFrame, train_share: float = V.TRAIN_SHARE,
-                 seed: int = V.SPLIT_SEED) -> tuple[DataFrame, DataFrame]:
-    """Spark's own split. Its result depends on how the rows are partitioned and ordered."""
-    train, test = rows.randomSplit([train_share, 1.0 - train_share], seed=seed)
-    return train, test
+def with_exact_split(rows: DataFrame, draw: Column | None = None, train_share: float = V.TRAIN_SHARE,
+                     seed: int = V.SPLIT_SEED) -> DataFrame:
+    """Adds ``split`` so that the train side has its share of the rows exactly, rounded half up.
+
+    The rows with the smallest draws are the train side, so a row's side depends on the others; ``with_split`` decides on
+    each row alone and meets the share on average.
+    """
+    draw = key_draw(F.col("transactionId"), seed) if draw is None else draw
+    drawn = exact_share(rows, draw, train_share, "_train")
+    return drawn.withColumn("split", F.when(F.col("_train"), "train").otherwise("test")).drop("_train")
+
+
+def with_random_split(rows: DataFrame, train_share: float = V.TRAIN_SHARE, seed: int = V.SPLIT_SEED) -> DataFrame:
+    """Adds ``split`` by Spark's own random split. Its result depends on how the rows are partitioned and ordered."""
+    sides = rows.randomSplit([train_share, 1.0 - train_share], seed=seed)
+    train, test = (side.withColumn("split", F.lit(name)) for side, name in zip(sides, ("train", "test"), strict=True))
+    return train.unionByName(test)

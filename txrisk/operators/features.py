@@ -15,6 +15,9 @@ NUMERIC_FEATURES = ("userId", "amount_log")
 # An indexer keeps every distinct value of a column on the driver and in each task, and a tree needs a bin
 # for each. A fit on a column with more than this many is refused; the index itself has no limit.
 MOST_FITTED = 10_000
+# Most frequent values of a column that are broadcast, and shares that their rows are dealt into.
+HOT = 1000
+SPREAD = 1 << 20
 
 
 def feature_columns(categories: tuple[str, ...] = V.CATEGORIES) -> list[str]:
@@ -55,6 +58,34 @@ def category_index(rows: DataFrame, categories: tuple[str, ...] = V.CATEGORIES)
     )
 
 
+def with_category_index(rows: DataFrame, index: DataFrame, categories: tuple[str, ...] = V.CATEGORIES) -> DataFrame:
+    """Adds each category's index by joins with a written index table: any number of values, none on the driver.
+
+    A value that is not in the table, and a missing one, gets the index after the last. The ``HOT`` most frequent values of a
+    column are looked up in a broadcast of so many rows at most; rows that found theirs are spread over all tasks of the
+    second join, and of the other values none has more than one in ``HOT`` of the rows the index was made from. The planner
+    broadcasts the second table, too, below its threshold.
+    """
+    for column in categories:
+        own = index.filter(F.col("column") == column)
+        size = F.coalesce(own.agg(F.max("index") + 1).scalar(), F.lit(0.0))
+        hot = own.filter(F.col("index") < HOT).select(F.col("value").alias("_hot"), F.col("index").alias("_hot_index"))
+        cold = own.filter(F.col("index") >= HOT).select(
+            F.col("value").alias("_cold"), F.col("index").alias("_cold_index"), F.lit(0).alias("_spread")
+        )
+        names, text = rows.columns, F.col(column).cast("string")
+        found = rows.join(F.broadcast(hot), text == F.col("_hot"), "left")
+        searched = F.col("_hot_index").isNull() & text.isNotNull()
+        salt = 1 + F.pmod(F.xxhash64(*(F.col(c) for c in names)), F.lit(SPREAD))
+        found = found.withColumn("_key", F.when(searched, text).otherwise("")).withColumn(
+            "_salt", F.when(searched, F.lit(0)).otherwise(salt.cast("int"))
+        ).join(cold, (F.col("_key") == F.col("_cold")) & (F.col("_salt") == F.col("_spread")), "left")
+        rows = found.select(
+            *names, F.coalesce("_hot_index", "_cold_index", size).alias(column + INDEX_SUFFIX)
+        )
+    return rows
+
+
 def fit_category_indexers(rows: DataFrame, categories: tuple[str, ...] = V.CATEGORIES,
                           most: int = MOST_FITTED) -> list[StringIndexerModel]:
     """One indexer per category column; unseen and null values share the index after the last.

@@ -276,6 +276,42 @@ FROM exposure
 SELECT 'userId' AS "column", CAST("userId" AS VARCHAR) AS value,
        CAST(row_number() OVER (ORDER BY count(*) DESC, CAST("userId" AS VARCHAR)) - 1 AS DOUBLE) AS "index"
 FROM tx GROUP BY "userId"
+""",
+    "exact_split": """
+SELECT "transactionId",
+       CASE WHEN row_number() OVER (ORDER BY u3) <= floor(0.8::DOUBLE * count(*) OVER () + 0.5) THEN 'train' ELSE 'test' END AS split
+FROM tx
+""",
+    "exact_split_counts": """
+SELECT split, CASE split WHEN 'train' THEN train ELSE n - train END AS "count",
+       CASE split WHEN 'train' THEN train ELSE n - train END AS ids
+FROM (SELECT count(*) AS n, floor(0.8::DOUBLE * count(*) + 0.5)::BIGINT AS train FROM tx), (VALUES ('train'), ('test')) sides(split)
+""",
+    "score_ranks": """
+SELECT amount, count(*) AS n, avg(place) AS rank
+FROM (SELECT amount, row_number() OVER (ORDER BY amount) AS place FROM tx) GROUP BY amount
+""",
+    "score_auroc": """
+SELECT count(*) AS "rows", count(*) FILTER (WHERE label = 1) AS positives,
+       round((sum(rank) FILTER (WHERE label = 1) - count(*) FILTER (WHERE label = 1) * (count(*) FILTER (WHERE label = 1) + 1) / 2)
+             / (count(*) FILTER (WHERE label = 1) * count(*) FILTER (WHERE label <> 1)), 9) AS auroc_score
+FROM (SELECT label, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2 AS rank FROM tx)
+""",
+    "features_wide": """
+, users AS (
+  SELECT "userId", CAST(row_number() OVER (ORDER BY count(*) DESC, CAST("userId" AS VARCHAR)) - 1 AS DOUBLE) AS "index"
+  FROM tx GROUP BY "userId"
+)
+SELECT "transactionId", users."index" AS "userId_idx", l."index" AS location_idx, d."index" AS device_idx, m."index" AS merchant_idx
+FROM tx JOIN users USING ("userId")
+JOIN indexed l ON l."column" = 'location' AND l.value = location
+JOIN indexed d ON d."column" = 'device' AND d.value = device
+JOIN indexed m ON m."column" = 'merchant' AND m.value = merchant
+""",
+    "gbt_tree_checks": """
+SELECT "transactionId", true AS same_margin, true AS same_prediction, true AS at_leaves, CAST(100 AS BIGINT) AS trees,
+       CAST(5 AS BIGINT) AS depth
+FROM tx WHERE u3 >= 0.8
 """,
     "training_rejects": _DAMAGED + """
 SELECT cause, count(*) AS "count" FROM damaged WHERE cause IS NOT NULL GROUP BY cause
@@ -299,7 +335,7 @@ SELECT "transactionId", label, true AS in_range, true AS by_half FROM tx WHERE u
 SELECT "transactionId", round(amount_log, 6) AS amount, true AS same FROM tx
 """,
     "gbt_metrics_checks": """
-SELECT count(*) AS test_rows, count(*) FILTER (WHERE label = 1) AS positives, true AS beats_chance
+SELECT count(*) AS test_rows, count(*) FILTER (WHERE label = 1) AS positives, true AS beats_chance, true AS near_best
 FROM tx WHERE u3 >= 0.8
 """,
     "gbt_layout": """

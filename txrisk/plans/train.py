@@ -9,12 +9,13 @@ import argparse
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from txrisk import values as V
 from txrisk.functions.draws import key_draw
 from txrisk.operators import model as classifier
-from txrisk.operators.classes import with_class_weights, with_split
+from txrisk.operators.classes import with_class_weights, with_exact_split, with_random_split, with_split
 from txrisk.operators.features import fit_category_indexers
 from txrisk.operators.metrics import classification_metrics, score_auroc
 from txrisk.operators.predictions import with_log_amount
@@ -28,6 +29,8 @@ MAX_FIT_ROWS = 10_000_000
 ROWS_PER_PART = 100_000
 LEAST_PARTS = 8
 
+# By the hash of the id row by row, by its order to the exact share, or by Spark's own draw.
+SPLITS = ("hash", "exact", "random")
 STAGED_COLUMNS = ("transactionId", "userId", "amount", "amount_log", *V.CATEGORIES, "label", "split", "cause")
 PLACED_BY = ("transactionId", "userId", "amount_log", *V.CATEGORIES, "label")
 REJECTED = "rejected"
@@ -41,17 +44,21 @@ class Trained:
     rejects: DataFrame
 
 
-def stage(labelled: DataFrame, draw: Column | None = None, folder: str | None = None) -> DataFrame:
+def stage(labelled: DataFrame, draw: Column | None = None, folder: str | None = None, split: str = SPLITS[0]) -> DataFrame:
     """Writes the prepared rows once, one folder per side of the split, and reads them back.
 
     Everything after this is several passes over a few columns: they run on a columnar table in
     shared storage, not on re-parsed input, and a lost executor re-reads its part of it. Rows the
     classifier cannot take make a third side, with their ``cause``. ``folder`` is overwritten; by default
-    each call gets a new one below the checkpoint folder.
+    each call gets a new one below the checkpoint folder. ``split`` is one of ``SPLITS``.
     """
     spark = labelled.sparkSession
     path = folder or work_dir(spark, "training")
-    rows = with_split(with_log_amount(labelled), draw).withColumn("cause", classifier.reject_cause())
+    rows = with_log_amount(labelled)
+    rows = {
+        "hash": lambda: with_split(rows, draw), "exact": lambda: with_exact_split(rows, draw),
+        "random": lambda: with_random_split(rows),
+    }[split]().withColumn("cause", classifier.reject_cause())
     rows = rows.withColumn("split", F.when(F.col("cause").isNotNull(), REJECTED).otherwise(F.col("split")))
     rows.select(*STAGED_COLUMNS).write.mode("overwrite").partitionBy("split").parquet(path)
     return spark.read.schema(rows.select(*STAGED_COLUMNS).schema).parquet(path)
@@ -88,9 +95,9 @@ def placed(rows: DataFrame, most: int = MAX_FIT_ROWS) -> DataFrame:
 
 
 def train(labelled: DataFrame, max_iter: int = V.MAX_ITER, draw: Column | None = None,
-          staging: str | None = None, max_fit_rows: int = MAX_FIT_ROWS, **params) -> Trained:
+          staging: str | None = None, max_fit_rows: int = MAX_FIT_ROWS, split: str = SPLITS[0], **params) -> Trained:
     """Weights, split, category indices (from all rows) and the fitted classifier (from the train side)."""
-    staged = stage(labelled, draw, staging)
+    staged = stage(labelled, draw, staging, split)
     train_rows, test_rows, rejects = sides(staged)
     indexers = fit_category_indexers(staged)
     model = classifier.fit(placed(train_rows, max_fit_rows), indexers, max_iter, **params)
@@ -104,9 +111,10 @@ def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
     """
     spark = test.sparkSession
     path = work_dir(spark, "scored-test")
-    classifier.score(model, test).select("label", "prediction", "rawPrediction").write.parquet(path)
+    scores = classifier.score(model, test).withColumn("score", vector_to_array("rawPrediction")[1])
+    scores.select("label", "prediction", "score").write.parquet(path)
     scored = spark.read.parquet(path)
-    return classification_metrics(scored).withColumn("auroc_score", F.lit(score_auroc(scored)))
+    return classification_metrics(scored).withColumn("auroc_score", score_auroc(scored).select("auroc_score").scalar())
 
 
 def run(spark: SparkSession, source: str, model_path: str, infer: bool = False,
@@ -129,12 +137,13 @@ def main() -> None:
     parser.add_argument("--step-size", type=float, default=V.STEP_SIZE)
     parser.add_argument("--subsampling-rate", type=float, default=V.SUBSAMPLING_RATE)
     parser.add_argument("--max-fit-rows", type=int, default=MAX_FIT_ROWS, help="most rows to learn from")
+    parser.add_argument("--split", choices=SPLITS, default=SPLITS[0], help="how the held-out rows are chosen")
     parser.add_argument("--staging", help="folder for the prepared rows, overwritten by each run")
     options = parser.parse_args()
     spark = get_spark("txrisk-train")
     metrics = run(
         spark, options.input, options.model, options.infer_schema, options.max_iter, options.staging,
-        max_fit_rows=options.max_fit_rows, maxDepth=options.max_depth, stepSize=options.step_size,
+        max_fit_rows=options.max_fit_rows, split=options.split, maxDepth=options.max_depth, stepSize=options.step_size,
         subsamplingRate=options.subsampling_rate,
     )
     metrics.show(truncate=False)
