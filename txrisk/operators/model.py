@@ -40,12 +40,17 @@ def classifier(max_iter: int = V.MAX_ITER, **params) -> GBTClassifier:
     return GBTClassifier(labelCol="label", featuresCol="features", weightCol="weight", **settings)
 
 
-def reject_cause() -> Column:
-    """Why the classifier cannot learn from a labelled row with ``amount_log``, null if it can."""
+def reject_cause(unreadable: Column | None = None) -> Column:
+    """Why the classifier cannot learn from a labelled row with ``amount_log``, null if it can.
+
+    The causes are those of a message that cannot be scored, and those of its label. ``unreadable`` is the text that the
+    JSON reader could not read, where it was asked to keep it: a field that is there but broken is no missing one.
+    """
     amount, label = F.col("amount"), F.col("label")
     fields = [F.col(c).isNull() for c in ("transactionId", "userId", "amount", "label", *V.CATEGORIES)]
     return (
         F.when(reduce(Column.__and__, fields), "unreadable line")
+        .when(F.col("transactionId").isNull(), "no transaction")
         .when(label.isNull(), "no label")
         .when(~label.isin(0, 1), "label outside 0 and 1")
         .when(F.col("userId").isNull(), "no user")
@@ -53,6 +58,7 @@ def reject_cause() -> Column:
         .when(F.isnan(amount.cast("double")), "amount is not a number")
         .when(amount == float("inf"), "amount is infinite")
         .when(F.col("amount_log").isNull(), "amount has no log")
+        .when(F.lit(False) if unreadable is None else unreadable.isNotNull(), "unreadable field")
     )
 
 

@@ -42,7 +42,7 @@ def share_leaders(rows: DataFrame, group: str, measure: str, top: int) -> DataFr
     )
 
 
-def top_ranked(rows: DataFrame, group: str, measure: str, top: int, rank: str) -> DataFrame:
+def top_ranked(rows: DataFrame, group: str, measure: str, top: int, rank: str, folder: str | None = None) -> DataFrame:
     """Rows whose RANK within their group is at most ``top``, with that rank as a column.
 
     All rows tied on a place belong to the result, and there may be any number of them. So no task
@@ -51,10 +51,11 @@ def top_ranked(rows: DataFrame, group: str, measure: str, top: int, rank: str) -
     written, at most ``top`` per share and map task besides ties. The leading values of the groups are
     found among them, and they look up their place. The planner knows the written tables' sizes and
     broadcasts only below its threshold; beyond that it is a sort-merge join, whose hot groups adaptive
-    execution splits.
+    execution splits. Both are written below ``folder``, which the caller may delete when done with the result.
     """
     spark = rows.sparkSession
-    shares, path = work_dir(spark, "share-leaders"), work_dir(spark, "leading")
+    folder = folder or work_dir(spark, "top")
+    shares, path = f"{folder}/share-leaders", f"{folder}/leading"
     share_leaders(rows, group, measure, top).write.parquet(shares)
     rows = spark.read.parquet(shares)
     leading_values(rows, group, measure, top).write.parquet(path)

@@ -96,7 +96,7 @@ _DAMAGED = """
                        WHEN 'Clothing' THEN 'no user'
                        WHEN 'Restaurants' THEN 'no amount'
                        WHEN 'Fuel' THEN 'amount is infinite'
-                       ELSE CASE WHEN lost THEN 'unreadable line' END END AS cause
+                       ELSE CASE WHEN lost THEN 'unreadable line' WHEN location = 'IL' THEN 'no transaction' END END AS cause
   FROM (SELECT *, merchant = 'Grocery' AND location = 'NY' AS lost FROM tx)
 )
 """
@@ -278,9 +278,10 @@ SELECT 'userId' AS "column", CAST("userId" AS VARCHAR) AS value,
 FROM tx GROUP BY "userId"
 """,
     "exact_split": """
-SELECT "transactionId",
-       CASE WHEN row_number() OVER (ORDER BY u3) <= floor(0.8::DOUBLE * count(*) OVER () + 0.5) THEN 'train' ELSE 'test' END AS split
-FROM tx
+, placed AS (
+  SELECT "transactionId", row_number() OVER (ORDER BY u3) AS place, count(*) OVER () AS n FROM tx
+)
+SELECT "transactionId", CASE WHEN place <= floor(0.8::DOUBLE * n + 0.5) THEN 'train' ELSE 'test' END AS split FROM placed
 """,
     "exact_split_counts": """
 SELECT split, CASE split WHEN 'train' THEN train ELSE n - train END AS "count",
@@ -288,14 +289,15 @@ SELECT split, CASE split WHEN 'train' THEN train ELSE n - train END AS "count",
 FROM (SELECT count(*) AS n, floor(0.8::DOUBLE * count(*) + 0.5)::BIGINT AS train FROM tx), (VALUES ('train'), ('test')) sides(split)
 """,
     "score_ranks": """
-SELECT amount, count(*) AS n, avg(place) AS rank
-FROM (SELECT amount, row_number() OVER (ORDER BY amount) AS place FROM tx) GROUP BY amount
+, placed AS (SELECT amount, row_number() OVER (ORDER BY amount) AS place FROM tx)
+SELECT amount, count(*) AS n, sum(place)::DOUBLE / count(*)::DOUBLE AS rank FROM placed GROUP BY amount
 """,
     "score_auroc": """
-SELECT count(*) AS "rows", count(*) FILTER (WHERE label = 1) AS positives,
-       round((sum(rank) FILTER (WHERE label = 1) - count(*) FILTER (WHERE label = 1) * (count(*) FILTER (WHERE label = 1) + 1) / 2)
-             / (count(*) FILTER (WHERE label = 1) * count(*) FILTER (WHERE label <> 1)), 9) AS auroc_score
-FROM (SELECT label, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2 AS rank FROM tx)
+, placed AS (SELECT label, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2 AS rank FROM tx
+), sums AS (
+  SELECT count(*) AS n, count(*) FILTER (WHERE label = 1) AS ones, sum(rank) FILTER (WHERE label = 1) AS ranks FROM placed
+)
+SELECT n AS "rows", ones AS positives, round((ranks - ones * (ones + 1) / 2) / (ones * (n - ones)), 9) AS auroc_score FROM sums
 """,
     "features_wide": """
 , users AS (
@@ -340,6 +342,20 @@ FROM tx WHERE u3 >= 0.8
 """,
     "gbt_layout": """
 SELECT count(*) AS test_rows, CAST(0 AS BIGINT) AS changed FROM tx WHERE u3 >= 0.8
+""",
+    "stream_uncommitted": """
+SELECT 'predictions' AS "table", count(*) AS "rows" FROM tx WHERE o_orderkey % 4 IN (0, 1)
+UNION ALL SELECT 'alerts', count(*) FILTER (WHERE prediction = 1) FROM tx WHERE o_orderkey % 4 IN (0, 1)
+UNION ALL SELECT 'quarantine', 0 UNION ALL SELECT 'batch_counts', 2
+UNION ALL SELECT 'summaries', count(*) FROM tx WHERE o_orderkey % 4 IN (0, 1)
+""",
+    "day_predictions": """
+SELECT CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS event_day, "transactionId", "userId", round(amount_log, 6) AS amount, location,
+       device, merchant, prediction,
+       CASE WHEN prediction = 1 THEN coalesce(nullif(log_codes, ''), 'ModelDetected') ELSE 'Normal' END AS fraud_reason
+FROM explained WHERE CAST("timestamp" AS DATE) = (SELECT min(CAST("timestamp" AS DATE)) FROM tx)
+""",
+    "console_rows": _PREDICTIONS + """ORDER BY "transactionId" LIMIT 20
 """,
     "stream_replay": _PREDICTIONS,
     "stream_compacted": _PREDICTIONS,
@@ -357,4 +373,9 @@ for _panel in ("merchant_exposure", "fraud_transactions", "user_top3", "device_c
                "prediction_counts", "reason_breakdown", "avg_amount", "location_counts"):
     _SELECTS[f"report_stored_{_panel}"] = _SELECTS[f"report_{_panel}"]
 
+for _panel in ("merchant_exposure", "device_counts", "merchant_contribution", "prediction_counts", "reason_breakdown",
+               "avg_amount", "location_counts"):
+    _SELECTS[f"report_added_{_panel}"] = _SELECTS[f"report_{_panel}"]
+_SELECTS["report_leaders_user_top3"] = _SELECTS["report_user_top3"]
+
 ORACLES = {name: _VIEWS + select for name, select in _SELECTS.items()}

@@ -11,18 +11,21 @@ from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from txrisk import schema, values as V
 from txrisk.functions.risk import drawn_label, reason_codes, risk_score
 from txrisk.functions.scalars import log_amount, minutes_before, rounded_amount
 from txrisk.operators import classes, features, metrics, model as classifier, trees
-from txrisk.operators.predictions import alerts, serving_rows, with_log_amount
+from txrisk.operators.predictions import alerts, serving_rows, stored_rows, with_log_amount
 from txrisk.operators.ranges import average_ranks
 from txrisk.plans import reports, train as training
 from txrisk.session import work_dir
-from txrisk.sources import envelope, orders as source
+from txrisk.sources import envelope, folders, orders as source
+from txrisk.sources.batch_table import withdraw_batch, write_batch
 from txrisk.sources.files import read_json, write_json
-from txrisk.streaming.scoring import Scorer, ServingTables, model_scorer, serve_batch, start_scoring
+from txrisk.streaming.scoring import Scorer, ServingTables, first_rows, model_scorer, serve_batch, start_scoring
+from txrisk.streaming.watch import Watch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,9 +36,11 @@ METRIC_PLACES = 9
 # How far the fitted model's area under the curve may be from that of the score its labels were drawn by.
 BEST_MARGIN = 0.05
 
-# What several queries of a session share, by application and folder: the fit and the filled tables.
-_FITS: dict[tuple[str, str], training.Trained] = {}
-_SERVED: dict[tuple[str, str], ServingTables] = {}
+# What several queries of a session share, by what it was made from, for the last folder asked for: the fit and the filled tables.
+_Made = tuple[str, str, int]
+_FITS: dict[_Made, training.Trained] = {}
+_SERVED: dict[_Made, ServingTables] = {}
+_BATCHED: dict[_Made, ServingTables] = {}
 
 AGE_ANCHOR = "2024-01-01 00:00:00"
 MINUTES_BACK = 30 * 24 * 60
@@ -256,25 +261,97 @@ def report_summary(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(reports.summary(_predictions(spark, folder)), TOTAL_PLACES, "amount_sum")
 
 
+def _start(spark: SparkSession, folder: str, scorer: Scorer, tables: ServingTables,
+           damage: Callable[[DataFrame], DataFrame] = lambda messages: messages) -> StreamingQuery:
+    messages = envelope.to_envelope(source.transactions(source.stream_orders(spark, folder)))
+    return start_scoring(
+        damage(messages), scorer, tables, work_dir(spark, "stream"), {"availableNow": True}, alert_digits=AMOUNT_PLACES,
+    )
+
+
 def _stream(spark: SparkSession, folder: str, scorer: Scorer,
             damage: Callable[[DataFrame], DataFrame] = lambda messages: messages, times: int = 1) -> ServingTables:
     """Runs the orders through message envelopes and the scoring stream, into new tables."""
     tables = ServingTables(work_dir(spark, "serving"))
     for _ in range(times):
-        messages = envelope.to_envelope(source.transactions(source.stream_orders(spark, folder)))
-        start_scoring(
-            damage(messages), scorer, tables, work_dir(spark, "stream"),
-            {"availableNow": True}, alert_digits=AMOUNT_PLACES,
-        ).awaitTermination()
+        _start(spark, folder, scorer, tables, damage).awaitTermination()
     return tables
 
 
+def _shared[Thing](kept: dict[_Made, Thing], spark: SparkSession, folder: str, make: Callable[[], Thing]) -> Thing:
+    """What ``make`` makes, once per session and state of the input; what was kept for another folder goes."""
+    key = (spark.sparkContext.applicationId, folder, folders.size(spark, f"{folder}/orders.parquet"))
+    if key not in kept:
+        kept.clear()
+        kept[key] = make()
+    return kept[key]
+
+
 def _served(spark: SparkSession, folder: str) -> ServingTables:
-    """The tables as the stream with the stand-in model fills them, once per session."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _SERVED:
-        _SERVED[key] = _stream(spark, folder, source.with_stand_in_prediction)
-    return _SERVED[key]
+    """The tables as the stream with the stand-in model fills them."""
+    return _shared(_SERVED, spark, folder, lambda: _stream(spark, folder, source.with_stand_in_prediction))
+
+
+def _serve_batches(spark: SparkSession, folder: str, tables: ServingTables, numbers: list[int], of: int) -> None:
+    """The orders dealt into ``of`` batches by their key, and those of some numbers served in turn."""
+    messages = envelope.to_envelope(_transactions(spark, folder))
+    batch = source.transaction_number(F.col("key")) % of
+    for number in numbers:
+        serve_batch(messages.filter(batch == number), number, source.with_stand_in_prediction, tables,
+                    alert_digits=AMOUNT_PLACES)
+
+
+def _batched(spark: SparkSession, folder: str) -> ServingTables:
+    """Tables of seven batches, one of them served twice, six of them in merged blocks of two."""
+    def make() -> ServingTables:
+        tables = ServingTables(work_dir(spark, "serving"), block=2)
+        _serve_batches(spark, folder, tables, [0, 1, 2, 3, 3, 4, 5, 6], 7)
+        tables.compact(spark)
+        return tables
+
+    return _shared(_BATCHED, spark, folder, make)
+
+
+def _added_summaries(spark: SparkSession, folder: str) -> DataFrame:
+    return _batched(spark, folder).summaries(spark)
+
+
+def report_leaders_user_top3(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(reports.user_top3(_batched(spark, folder).leaders(spark)), AMOUNT_PLACES, "amount")
+
+
+def stream_uncommitted(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per table after two batches, while a third is half written and a fourth withdrawn to be served again."""
+    tables = ServingTables(work_dir(spark, "serving"), block=2)
+    _serve_batches(spark, folder, tables, [0, 1, 3], 4)
+    messages = envelope.to_envelope(_transactions(spark, folder))
+    batch = source.transaction_number(F.col("key")) % 4
+    scored = source.with_stand_in_prediction(with_log_amount(envelope.accepted(envelope.checked(messages.filter(batch == 2)))))
+    write_batch(stored_rows(scored), tables.predictions_path, 2, tables.block)
+    withdraw_batch(spark, tables.counts_path, 3, tables.block)
+    seen = {
+        "predictions": tables.predictions(spark), "alerts": tables.alerts(spark), "quarantine": tables.quarantine(spark),
+        "batch_counts": tables.batch_counts(spark),
+    }
+    counts = [
+        rows.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows") for name, rows in seen.items()
+    ]
+    figures = tables.summaries(spark).agg(F.sum("row_count").alias("rows"))
+    return reduce(DataFrame.union, [*counts, figures.select(F.lit("summaries").alias("table"), "rows")])
+
+
+def day_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored predictions of the first day there is, from its month in the merged blocks and from one batch."""
+    first = _transactions(spark, folder).agg(F.min(F.to_date("timestamp"))).first()[0]
+    rows = _batched(spark, folder).predictions(spark, (first, first))
+    return _rounded(rows, AMOUNT_PLACES, "amount").select(
+        F.col(schema.DAY_COLUMN).cast("string").alias("event_day"), *schema.PREDICTION.names
+    )
+
+
+def console_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """What the console shows of a batch: the first rows by id."""
+    return first_rows(predictions(spark, folder)).limit(V.CONSOLE_ROWS)
 
 
 def _stored_predictions(spark: SparkSession, folder: str) -> DataFrame:
@@ -295,13 +372,7 @@ def stream_replay(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_compacted(spark: SparkSession, folder: str) -> DataFrame:
     """The predictions of seven batches, six of them in merged blocks of two."""
-    tables = ServingTables(work_dir(spark, "serving"), block=2)
-    messages = envelope.to_envelope(_transactions(spark, folder))
-    batch = F.pmod(F.xxhash64("key"), F.lit(7))
-    for number in range(7):
-        serve_batch(messages.filter(batch == number), number, source.with_stand_in_prediction, tables,
-                    alert_digits=AMOUNT_PLACES)
-    tables.compact(spark)
+    tables = _batched(spark, folder)
     return _rounded(tables.predictions(spark).select(*schema.PREDICTION.names), AMOUNT_PLACES, "amount")
 
 
@@ -311,8 +382,12 @@ def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def batch_totals(spark: SparkSession, folder: str) -> DataFrame:
-    """Counts over all batches of a stream with garbage in it, however the input was cut into batches."""
-    counts = _stream(spark, folder, source.with_stand_in_prediction, _garbled).batch_counts(spark)
+    """Counts over all batches of a stream with garbage in it, however it was cut, as they were observed on the way."""
+    tables = ServingTables(work_dir(spark, "serving"))
+    with Watch(spark) as watch:
+        query = _start(spark, folder, source.with_stand_in_prediction, tables, _garbled)
+        watch.await_all([query])
+        counts = watch.batch_counts(query)
     return counts.agg(*(F.sum(c).alias(c) for c in ("row_count", "accepted", "rejected")))
 
 
@@ -330,6 +405,7 @@ def _damaged(spark: SparkSession, folder: str) -> DataFrame:
     merchant = F.col("merchant")
     lost = (merchant == "Grocery") & (F.col("location") == "NY")
     changed = rows.withColumns({
+        "transactionId": F.when(~((merchant == "Grocery") & (F.col("location") == "IL")), F.col("transactionId")),
         "label": F.when(merchant == "Electronics", 2).when(merchant == "Travel", None).otherwise(F.col("label")),
         "userId": F.when(merchant != "Clothing", F.col("userId")),
         "amount": F.when(merchant == "Fuel", float("inf")).when(merchant != "Restaurants", F.col("amount")),
@@ -348,11 +424,10 @@ def training_weights(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _trained(spark: SparkSession, folder: str) -> training.Trained:
-    """The full fit, once per session."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _FITS:
-        _FITS[key] = training.train(_transactions(spark, folder), draw=source.split_draw())
-    return _FITS[key]
+    """The full fit."""
+    return _shared(
+        _FITS, spark, folder, lambda: training.train(_transactions(spark, folder), draw=source.split_draw())
+    )
 
 
 def gbt_score(spark: SparkSession, folder: str) -> DataFrame:
@@ -468,6 +543,18 @@ STORED_REPORTS = {
 }
 
 
+# The grouped panels, added up from the figures of the batches.
+ADDED_REPORTS = {
+    "merchant_exposure": _report(reports.merchant_exposure, TOTAL_PLACES, "sum", rows=_added_summaries),
+    "device_counts": _report(reports.device_counts, 0, rows=_added_summaries),
+    "merchant_contribution": _report(reports.merchant_contribution, TOTAL_PLACES, "fraud_amount", rows=_added_summaries),
+    "prediction_counts": _report(reports.prediction_counts, 0, rows=_added_summaries),
+    "reason_breakdown": _report(reports.reason_breakdown, 0, rows=_added_summaries),
+    "avg_amount": _report(reports.average_amount, TOTAL_PLACES, "avg_amount", rows=_added_summaries),
+    "location_counts": _report(reports.location_counts, 0, rows=_added_summaries),
+}
+
+
 def category_index_wide(spark: SparkSession, folder: str) -> DataFrame:
     """The index of a column with many values: the users."""
     return features.category_index(_transactions(spark, folder), ("userId",))
@@ -545,5 +632,10 @@ QUERIES: dict[str, Query] = {
     "stream_gbt_checks": stream_gbt_checks,
     "gbt_metrics_checks": gbt_metrics_checks,
     "gbt_layout": gbt_layout,
+    "report_leaders_user_top3": report_leaders_user_top3,
+    "stream_uncommitted": stream_uncommitted,
+    "day_predictions": day_predictions,
+    "console_rows": console_rows,
     **{f"report_stored_{name}": query for name, query in STORED_REPORTS.items()},
+    **{f"report_added_{name}": query for name, query in ADDED_REPORTS.items()},
 }

@@ -32,13 +32,15 @@ def main() -> None:
         parser.error("--jdbc-url needs --users and --parts")
     spark = get_spark("txrisk-report")
     if options.jdbc_url:
+        prepared = ()
         predictions = read_table(spark, options.jdbc_url, read_properties(options.jdbc_properties),
                                  "userId", *options.users, options.parts)
     else:
         tables = ServingTables(options.tables)
         size_shuffles(spark, folders.size(spark, tables.predictions_path))
         predictions = tables.predictions(spark)
-    reports.write_all(predictions.select(*schema.PREDICTION.names), options.output)
+        prepared = tables.summaries(spark), tables.leaders(spark)
+    reports.write_all(predictions.select(*schema.PREDICTION.names), options.output, *prepared)
 
 
 if __name__ == "__main__":

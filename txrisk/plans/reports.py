@@ -13,6 +13,7 @@ from txrisk import values as V
 from txrisk.operators.ranking import top_ranked
 from txrisk.operators.reductions import last_values, legend_figures, with_share
 
+LEADER_COLUMNS = ("transactionId", "userId", "amount", "location", "device", "merchant", "fraud_reason")
 SUMMARY_KEYS = ("prediction", "merchant", "device", "location", "fraud_reason")
 
 
@@ -25,6 +26,12 @@ def summary(predictions: DataFrame) -> DataFrame:
     )
 
 
+def add_summaries(summaries: DataFrame) -> DataFrame:
+    """One summary of several: counts and sums are added up."""
+    figures = ("row_count", "amount_sum", "amount_count")
+    return summaries.groupBy(*SUMMARY_KEYS).agg(*(F.sum(c).alias(c) for c in figures))
+
+
 def _row_count(rows: DataFrame) -> Column:
     return F.sum("row_count") if "row_count" in rows.columns else F.count(F.lit(1))
 
@@ -58,12 +65,19 @@ def fraud_transactions(predictions: DataFrame) -> DataFrame:
     return _flagged(predictions)
 
 
-def user_top3(predictions: DataFrame) -> DataFrame:
-    """Each user's flagged transactions of rank 3 or better by amount; ties share their rank."""
-    columns = ("transactionId", "userId", "amount", "location", "device", "merchant", "fraud_reason")
-    return top_ranked(
-        _flagged(predictions).select(*columns), "userId", "amount", V.TOP_RANK, "fraud_rank"
-    )
+def user_top3(predictions: DataFrame, folder: str | None = None) -> DataFrame:
+    """Each user's flagged transactions of rank 3 or better by amount; ties share their rank.
+
+    Takes the predictions or the ``leaders`` of parts of them, as whoever is in the top of all is in that of their part.
+    ``folder`` is where it keeps what it writes.
+    """
+    rows = _flagged(predictions) if "prediction" in predictions.columns else predictions
+    return top_ranked(rows.select(*LEADER_COLUMNS), "userId", "amount", V.TOP_RANK, "fraud_rank", folder)
+
+
+def leaders(rows: DataFrame, folder: str | None = None) -> DataFrame:
+    """The rows of ``user_top3`` without their rank, of predictions or of other leaders."""
+    return user_top3(rows, folder).drop("fraud_rank")
 
 
 def device_counts(rows: DataFrame) -> DataFrame:
@@ -164,17 +178,21 @@ ROW_REPORTS = {
 }
 
 
-def write_all(predictions: DataFrame, folder: str) -> None:
+def write_all(predictions: DataFrame, folder: str, summaries: DataFrame | None = None,
+              leading: DataFrame | None = None) -> None:
     """Writes every report below ``folder``.
 
     The grouped reports read the written summary, so together they scan the predictions once, and the
-    last values read the written ranking.
+    last values read the written ranking. With the ``summaries`` and leaders (``leading``) of all batches at hand, only the list of
+    flagged transactions reads predictions.
     """
     spark = predictions.sparkSession
-    summary(predictions).write.mode("overwrite").parquet(f"{folder}/summary")
+    figures = summary(predictions) if summaries is None else add_summaries(summaries)
+    figures.write.mode("overwrite").parquet(f"{folder}/summary")
     rows = spark.read.parquet(f"{folder}/summary")
     frames = {name: report(rows) for name, report in SUMMARY_REPORTS.items()}
-    frames |= {name: report(predictions) for name, report in ROW_REPORTS.items()}
+    frames["fraud_transactions"] = fraud_transactions(predictions)
+    frames["user_top3"] = user_top3(predictions if leading is None else leading)
     for name, frame in frames.items():
         frame.write.mode("overwrite").parquet(f"{folder}/{name}")
     ranked = spark.read.parquet(f"{folder}/user_top3")

@@ -10,10 +10,12 @@ import argparse
 
 from txrisk.operators import model as classifier
 from txrisk.session import get_spark, size_shuffles
+from txrisk.sources.envelope import checked
 from txrisk.sources.files import BATCH_BYTES, stream_files
 from txrisk.sources.jdbc import read_properties
 from txrisk.sources.kafka import read_topic
-from txrisk.streaming.scoring import JdbcTarget, ServingTables, model_scorer, start_scoring
+from txrisk.streaming.scoring import JdbcTarget, ServingTables, console_writer, model_scorer, start_scoring
+from txrisk.streaming.watch import Watch
 
 # A rate, not a cut: what is left waits for the next batch.
 BATCH_RECORDS = 50_000_000
@@ -38,6 +40,8 @@ def main() -> None:
     parser.add_argument("--jdbc-properties", help="JSON file with its user, password and driver")
     parser.add_argument("--jdbc-batch-id", action="store_true", help="with the number of the batch in each row")
     parser.add_argument("--console", action="store_true", help="show the first rows of each batch")
+    parser.add_argument("--console-messages", action="store_true",
+                        help="show the first messages of each batch, in a query of its own")
     options = parser.parse_args()
     if options.topic and not options.servers:
         parser.error("--topic needs --servers")
@@ -57,11 +61,15 @@ def main() -> None:
     if options.jdbc_url:
         target = JdbcTarget(options.jdbc_url, read_properties(options.jdbc_properties),
                             with_batch_id=options.jdbc_batch_id)
-    start_scoring(
-        messages, model_scorer(classifier.load(options.model)), ServingTables(options.tables),
-        options.checkpoint, trigger, console=options.console, jdbc_target=target,
-    )
-    spark.streams.awaitAnyTermination()
+    with Watch(spark) as watch:
+        queries = [start_scoring(
+            messages, model_scorer(classifier.load(options.model)), ServingTables(options.tables),
+            options.checkpoint, trigger, console=options.console, jdbc_target=target,
+        )]
+        if options.console_messages:
+            shown = console_writer(checked(messages), f"{options.checkpoint.rstrip('/')}-console")
+            queries.append((shown.trigger(**trigger) if trigger else shown).start())
+        watch.await_all(queries)
 
 
 if __name__ == "__main__":

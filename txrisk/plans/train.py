@@ -13,6 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from txrisk import values as V
+from txrisk.schema import CORRUPT_COLUMN
 from txrisk.functions.draws import key_draw
 from txrisk.operators import model as classifier
 from txrisk.operators.classes import with_class_weights, with_exact_split, with_random_split, with_split
@@ -54,14 +55,17 @@ def stage(labelled: DataFrame, draw: Column | None = None, folder: str | None =
     """
     spark = labelled.sparkSession
     path = folder or work_dir(spark, "training")
+    unreadable = F.col(CORRUPT_COLUMN) if CORRUPT_COLUMN in labelled.columns else None
     rows = with_log_amount(labelled)
     rows = {
         "hash": lambda: with_split(rows, draw), "exact": lambda: with_exact_split(rows, draw),
         "random": lambda: with_random_split(rows),
-    }[split]().withColumn("cause", classifier.reject_cause())
+    }[split]().withColumn("cause", classifier.reject_cause(unreadable))
     rows = rows.withColumn("split", F.when(F.col("cause").isNotNull(), REJECTED).otherwise(F.col("split")))
-    rows.select(*STAGED_COLUMNS).write.mode("overwrite").partitionBy("split").parquet(path)
-    return spark.read.schema(rows.select(*STAGED_COLUMNS).schema).parquet(path)
+    # The time is no feature, but a JSON reader looks for faults in the fields that are asked for only.
+    rows = rows.select(*STAGED_COLUMNS, *(c for c in ("timestamp",) if c in labelled.columns))
+    rows.write.mode("overwrite").partitionBy("split").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def sides(staged: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -121,7 +125,8 @@ def run(spark: SparkSession, source: str, model_path: str, infer: bool = False,
         max_iter: int = V.MAX_ITER, staging: str | None = None, **params) -> DataFrame:
     """Trains, saves the model and returns its metrics; rejects are counted in ``<model>-rejects``."""
     size_shuffles(spark, folders.size(spark, source))
-    trained = train(read_json(spark, source, infer), max_iter, staging=staging, **params)
+    rows = read_json(spark, source, infer, keep_unreadable=True)
+    trained = train(rows, max_iter, staging=staging, **params)
     classifier.save(trained.model, model_path)
     reject_counts(trained.rejects).write.mode("overwrite").json(f"{model_path.rstrip('/')}-rejects")
     return evaluate(trained.model, trained.test)

@@ -45,6 +45,25 @@ PREDICTION = T.StructType([
     T.StructField("fraud_reason", T.StringType()),
 ])
 
+# The day of the transaction and the first of its month, by which merged predictions are kept apart.
+DAY_COLUMN, MONTH_COLUMN = "event_day", "event_month"
+STORED_PREDICTION = T.StructType(
+    [*PREDICTION, T.StructField(DAY_COLUMN, T.DateType()), T.StructField(MONTH_COLUMN, T.DateType())]
+)
+
+# Figures of a batch or of merged ones; they add up.
+SUMMARY = T.StructType([
+    *(PREDICTION[c] for c in ("prediction", "merchant", "device", "location", "fraud_reason")),
+    T.StructField("row_count", T.LongType()),
+    T.StructField("amount_sum", T.DoubleType()),
+    T.StructField("amount_count", T.LongType()),
+])
+
+# Flagged rows among the top of their user in a batch or in merged ones.
+LEADER = T.StructType([
+    PREDICTION[c] for c in ("transactionId", "userId", "amount", "location", "device", "merchant", "fraud_reason")
+])
+
 ALERT = T.StructType([
     T.StructField("transactionId", T.StringType()),
     T.StructField("userId", T.LongType()),

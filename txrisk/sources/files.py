@@ -11,14 +11,17 @@ BATCH_BYTES = 512 * 2**30
 
 
 def read_json(spark: SparkSession, path: str, infer: bool = False,
-              row_schema: T.StructType = schema.LABELLED) -> DataFrame:
-    """JSON lines under the fixed schema, in one pass.
+              row_schema: T.StructType = schema.LABELLED, keep_unreadable: bool = False) -> DataFrame:
+    """JSON lines under the fixed schema, in one pass; ``keep_unreadable`` adds the text of lines with a fault.
 
     ``infer=True`` lets Spark find the schema, which reads everything once more, sorts the columns
     by name and leaves timestamps as text.
     """
-    reader = spark.read if infer else spark.read.schema(row_schema)
-    return reader.json(path)
+    if infer:
+        return spark.read.json(path)
+    if keep_unreadable:
+        row_schema = T.StructType([*row_schema, T.StructField(schema.CORRUPT_COLUMN, T.StringType())])
+    return spark.read.schema(row_schema).option("columnNameOfCorruptRecord", schema.CORRUPT_COLUMN).json(path)
 
 
 def stream_files(spark: SparkSession, path: str, row_schema: T.StructType = schema.ENVELOPE,

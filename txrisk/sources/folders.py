@@ -23,6 +23,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in files.listStatus(place) if s.isDirectory())
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths of the files and folders that a pattern names, sorted, found in one listing."""
+    place, files = _open(spark, pattern)
+    return sorted(s.getPath().toString() for s in files.globStatus(place) or [])
+
+
 def size(spark: SparkSession, path: str) -> int:
     """Bytes of all files below the folders that a path or pattern names; 0 if there are none."""
     place, files = _open(spark, path)

@@ -2,21 +2,29 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from txrisk import schema, values as V
 from txrisk.operators import model as classifier
-from txrisk.operators.predictions import alerts, serving_rows, with_log_amount
-from txrisk.sources import jdbc
-from txrisk.sources.batch_table import BLOCK, compact, read_batch, read_batches, write_batch
+from txrisk.operators.predictions import alerts, stored_rows, with_log_amount
+from txrisk.plans import reports
+from txrisk.session import work_dir
+from txrisk.sources import folders, jdbc
+from txrisk.sources.batch_table import (
+    BATCH_COLUMN, BLOCK, compact, finished_batches, merged_blocks, read_batch, read_batches, refuse_merged, withdraw_batch,
+    write_batch,
+)
 from txrisk.sources.envelope import accepted, checked, rejected
+from txrisk.streaming.watch import observed
 
 # Takes transactions with ``amount`` and ``amount_log``, adds ``prediction``.
 Scorer = Callable[[DataFrame], DataFrame]
@@ -28,7 +36,11 @@ def model_scorer(model: PipelineModel) -> Scorer:
 
 @dataclass(frozen=True)
 class ServingTables:
-    """The tables a scoring query fills, all below one folder. ``block`` batches are merged at a time."""
+    """The tables a scoring query fills, all below one folder. ``block`` batches are merged at a time.
+
+    A batch's counts are written last and commit it: every table shows committed batches only, so a reader never sees
+    predictions without their alerts, figures or counts. Merged predictions are partitioned by the month of their transaction.
+    """
 
     root: str
     block: int = BLOCK
@@ -45,12 +57,37 @@ class ServingTables:
     def quarantine_path(self) -> str:
         return f"{self.root}/quarantine"
 
+    @property
+    def summaries_path(self) -> str:
+        return f"{self.root}/summaries"
+
+    @property
+    def leaders_path(self) -> str:
+        return f"{self.root}/leaders"
+
     @property
     def counts_path(self) -> str:
         return f"{self.root}/batch_counts"
 
-    def predictions(self, spark: SparkSession) -> DataFrame:
-        return read_batches(spark, self.predictions_path, schema.PREDICTION)
+    def _committed(self, spark: SparkSession) -> Callable[[int], bool]:
+        batches, blocks = finished_batches(spark, self.counts_path), merged_blocks(spark, self.counts_path)
+        return lambda batch: batch in batches or batch // self.block in blocks
+
+    def _read(self, spark: SparkSession, path: str, kind: T.StructType) -> DataFrame:
+        return read_batches(spark, path, kind, self._committed(spark))
+
+    def predictions(self, spark: SparkSession, days: tuple[date, date] | None = None) -> DataFrame:
+        """With ``event_day`` and ``batch_id``; of the first to the last of some ``days``, or all.
+
+        Of merged blocks, those days' months only are read; batches of their own are sorted by day, so the statistics of
+        their files tell what can be passed over.
+        """
+        rows = self._read(spark, self.predictions_path, schema.STORED_PREDICTION)
+        if days is None:
+            return rows
+        first, last = (F.lit(d) for d in days)
+        months = F.col(schema.MONTH_COLUMN).between(F.trunc(first, "month"), last)
+        return rows.filter(months & F.col(schema.DAY_COLUMN).between(first, last))
 
     def register(self, spark: SparkSession) -> None:
         """Makes the predictions a view for SQL, under the name of the serving table."""
@@ -58,27 +95,45 @@ class ServingTables:
         rows.createOrReplaceTempView(V.PREDICTIONS_TABLE)
 
     def alerts(self, spark: SparkSession) -> DataFrame:
-        return read_batches(spark, self.alerts_path, schema.ALERT)
+        return self._read(spark, self.alerts_path, schema.ALERT)
 
     def quarantine(self, spark: SparkSession) -> DataFrame:
-        return read_batches(spark, self.quarantine_path, schema.REJECT)
+        return self._read(spark, self.quarantine_path, schema.REJECT)
+
+    def summaries(self, spark: SparkSession) -> DataFrame:
+        """The figures of the batches, which the grouped reports add up instead of reading the predictions."""
+        return self._read(spark, self.summaries_path, schema.SUMMARY).drop(BATCH_COLUMN)
+
+    def leaders(self, spark: SparkSession) -> DataFrame:
+        """The flagged rows that are in the top of their user in their batch or block: those in the top of all are among them."""
+        return self._read(spark, self.leaders_path, schema.LEADER).drop(BATCH_COLUMN)
 
     def batch_counts(self, spark: SparkSession) -> DataFrame:
-        return read_batches(spark, self.counts_path, schema.BATCH_COUNT)
+        return self._read(spark, self.counts_path, schema.BATCH_COUNT)
 
     def compact(self, spark: SparkSession) -> dict[str, list[int]]:
-        """Merges the finished blocks of all four tables; their numbers by path.
+        """Merges the finished blocks of all tables, the counts last; the numbers of the blocks by path.
 
-        A batch's counts are written last, so batches before the latest counted one are committed.
+        Figures are added up and leaders ranked again, so a merged block holds about as much of them as one batch. Batches
+        before the latest committed one are committed as well.
         """
-        latest = self.batch_counts(spark).agg(F.max("batch_id")).first()[0]
+        latest = self.batch_counts(spark).agg(F.max(BATCH_COLUMN)).first()[0]
         if latest is None:
             return {}
+        work = work_dir(spark, "merged-leaders")
         tables = {
-            self.predictions_path: schema.PREDICTION, self.alerts_path: schema.ALERT,
-            self.quarantine_path: schema.REJECT, self.counts_path: schema.BATCH_COUNT,
+            self.predictions_path: (schema.STORED_PREDICTION, (schema.MONTH_COLUMN,), None),
+            self.alerts_path: (schema.ALERT, (), None),
+            self.quarantine_path: (schema.REJECT, (), None),
+            self.summaries_path: (schema.SUMMARY, (), reports.add_summaries),
+            self.leaders_path: (schema.LEADER, (), lambda rows: reports.leaders(rows, f"{work}/{uuid.uuid4().hex}")),
+            self.counts_path: (schema.BATCH_COUNT, (), None),
         }
-        return {path: compact(spark, path, kind, latest, self.block) for path, kind in tables.items()}
+        merged = {
+            path: compact(spark, path, kind, latest, self.block, by, merge) for path, (kind, by, merge) in tables.items()
+        }
+        folders.delete(spark, work)
+        return merged
 
 
 @dataclass(frozen=True)
@@ -95,46 +150,64 @@ class JdbcTarget:
     with_batch_id: bool = False
 
 
-def _counts(predictions: DataFrame, quarantine: DataFrame) -> DataFrame:
-    """One row, counted on what was written (file footers only), so no retry can count twice."""
-
-    def size(rows: DataFrame) -> Column:
-        return rows.agg(F.count(F.lit(1))).scalar()
+def _counts(summary: DataFrame, quarantine: DataFrame) -> DataFrame:
+    """One row, from what was written: the batch's figures and the file footers of its rejects. No retry can count twice."""
+    def size(rows: DataFrame, n: Column) -> Column:
+        return F.coalesce(rows.agg(n).scalar(), F.lit(0))
 
-    return predictions.sparkSession.range(1, numPartitions=1).select(
-        size(predictions).alias("accepted"), size(quarantine).alias("rejected")
+    return summary.sparkSession.range(1, numPartitions=1).select(
+        size(summary, F.sum("row_count")).alias("accepted"), size(quarantine, F.count(F.lit(1))).alias("rejected")
     ).select((F.col("accepted") + F.col("rejected")).alias("row_count"), "accepted", "rejected")
 
 
-def serve_batch(messages: DataFrame, batch_id: int, scorer: Scorer, tables: ServingTables,
-                alert_digits: int | None = None, console: bool = False,
-                jdbc_target: JdbcTarget | None = None) -> None:
-    """Fills the tables with one micro-batch. Running it again gives the same tables.
+def serve_batch(messages: DataFrame, batch_id: int, scorer: Scorer, tables: ServingTables, **options) -> None:
+    """Fills the tables with one micro-batch of messages, see ``serve_checked``."""
+    serve_checked(checked(messages), batch_id, scorer, tables, **options)
 
-    Every message is parsed once and every accepted row scored once: the checked rows are persisted
-    for the two tables they go to, and whatever else is needed is read from the written predictions.
+
+def serve_checked(rows: DataFrame, batch_id: int, scorer: Scorer, tables: ServingTables,
+                  alert_digits: int | None = None, console: bool = False,
+                  jdbc_target: JdbcTarget | None = None) -> None:
+    """Fills the tables with one micro-batch of checked rows. Running it again gives the same tables.
+
+    Every message is parsed once and every accepted row scored once: the rows are persisted for the two tables they
+    go to, and whatever else is needed is read from the written predictions. A batch that is run again is withdrawn
+    first and committed last, so that no reader sees a mixture of both runs.
     """
-    spark = messages.sparkSession
-    rows = checked(messages).persist(StorageLevel.MEMORY_AND_DISK)
+    spark, block = rows.sparkSession, tables.block
+    refuse_merged(spark, tables.counts_path, batch_id, block)
+    withdraw_batch(spark, tables.counts_path, batch_id, block)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         scored = scorer(with_log_amount(accepted(rows)))
-        write_batch(serving_rows(scored), tables.predictions_path, batch_id, tables.block)
-        write_batch(rejected(rows), tables.quarantine_path, batch_id, tables.block)
+        stored = stored_rows(scored).sortWithinPartitions(schema.DAY_COLUMN)
+        write_batch(stored, tables.predictions_path, batch_id, block)
+        write_batch(rejected(rows), tables.quarantine_path, batch_id, block)
     finally:
         rows.unpersist()
 
-    written = read_batch(spark, tables.predictions_path, schema.PREDICTION, batch_id, tables.block).select(
+    written = read_batch(spark, tables.predictions_path, schema.STORED_PREDICTION, batch_id, block).select(
         *schema.PREDICTION.names
     )
-    write_batch(alerts(written, alert_digits), tables.alerts_path, batch_id, tables.block)
+    write_batch(alerts(written, alert_digits), tables.alerts_path, batch_id, block)
+    write_batch(reports.summary(written), tables.summaries_path, batch_id, block)
+    work = work_dir(spark, "batch-leaders")
+    write_batch(reports.leaders(written, work), tables.leaders_path, batch_id, block)
+    folders.delete(spark, work)
     if console:
-        written.show(V.CONSOLE_ROWS, truncate=False)
+        first_rows(written).show(V.CONSOLE_ROWS, truncate=False)
     if jdbc_target is not None:
         copied = written.withColumn("batch_id", F.lit(batch_id)) if jdbc_target.with_batch_id else written
         jdbc.append_table(copied, jdbc_target.url, jdbc_target.properties, jdbc_target.table)
 
-    set_aside = read_batch(spark, tables.quarantine_path, schema.REJECT, batch_id, tables.block)
-    write_batch(_counts(written, set_aside), tables.counts_path, batch_id, tables.block)
+    summary = read_batch(spark, tables.summaries_path, schema.SUMMARY, batch_id, block)
+    set_aside = read_batch(spark, tables.quarantine_path, schema.REJECT, batch_id, block)
+    write_batch(_counts(summary, set_aside), tables.counts_path, batch_id, block)
+
+
+def first_rows(rows: DataFrame, n: int = V.CONSOLE_ROWS) -> DataFrame:
+    """What a console shows of a batch, and one row more to tell whether there are others: by id, so that it is the same each time."""
+    return rows.orderBy("transactionId").limit(n + 1)
 
 
 def start_scoring(messages: DataFrame, scorer: Scorer, tables: ServingTables, checkpoint: str,
@@ -143,13 +216,13 @@ def start_scoring(messages: DataFrame, scorer: Scorer, tables: ServingTables, ch
 
     ``checkpoint`` belongs in the shared folder: a restarted query goes on where it stopped.
     ``trigger`` is passed to Spark, such as ``{"availableNow": True}``; by default batches follow one
-    another at once. ``options`` go to ``serve_batch``.
+    another at once. ``options`` go to ``serve_checked``. The batch's counts are observed as it is read, see ``streaming.watch``.
     """
 
     def serve(batch: DataFrame, batch_id: int) -> None:
-        serve_batch(batch, batch_id, scorer, tables, **options)
+        serve_checked(batch, batch_id, scorer, tables, **options)
 
-    writer = messages.writeStream.foreachBatch(serve).outputMode("append").option(
+    writer = observed(checked(messages)).writeStream.foreachBatch(serve).outputMode("append").option(
         "checkpointLocation", checkpoint
     )
     if trigger:
