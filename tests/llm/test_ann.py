@@ -56,6 +56,48 @@ def test_recall_on_the_largest_test_table(spark):
         assert near == sorted(near, key=lambda x: (x[1], x[0]))
 
 
+@pytest.mark.parametrize("clusters", [2, 4, 8, 16])
+def test_all_ten_are_found_among_small_clusters(spark, clusters):
+    """Clusters of eight rows hold fewer than ten neighbours: the search has to go on beyond its own."""
+    draw = np.random.default_rng(clusters)
+    centres = draw.standard_normal((clusters, 16)) * 50
+    vectors = {i * 100: centres[i % clusters] + 1e-3 * draw.standard_normal(16) for i in range(8 * clusters)}
+    rows = frame(spark, list(vectors.values()), list(vectors))
+    found = result(nearest(rows, hundredth(rows)).collect())
+    assert all(len(near) == min(10, 8 * clusters - 1) for near in found.values()) and len(found) == 8 * clusters
+    assert recall(found, plain(vectors)) >= 0.9
+
+
+def test_rows_with_the_query_s_id_do_not_count(spark):
+    draw = np.random.default_rng(1)
+    vectors = [draw.standard_normal(8) * 1e-3 for _ in range(60)] + [draw.standard_normal(8) + 9 for _ in range(30)]
+    rows = frame(spark, vectors, [100] * 60 + list(range(1, 31)))
+    found = result(nearest(rows, hundredth(rows), share=0.01).collect())
+    assert len(found[100]) == 10 and not {100} & {i for i, _ in found[100]}
+
+
+def test_no_group_holds_more_than_a_block(spark, monkeypatch):
+    """Many queries and many rows in one leaf are dealt out, and the result is the same."""
+    draw = np.random.default_rng(2)
+    vectors = {i * 100: draw.standard_normal(4) for i in range(300)}
+    rows = frame(spark, list(vectors.values()), list(vectors))
+    whole = result(nearest(rows, hundredth(rows), depth=0).collect())
+    groups = spark.sparkContext.accumulator(0)
+    rank = ann.rank_block
+
+    def watched(k):
+        inner = rank(k)
+
+        def run(queries, points):
+            groups.add(int(len(queries) > 64 or len(points) > 64))
+            return inner(queries, points)
+        return run
+
+    monkeypatch.setattr(ann, "rank_block", watched)
+    dealt = result(nearest(rows, hundredth(rows), depth=0, block=40, sample_rows=8).collect())
+    assert groups.value == 0 and dealt == whole
+
+
 def test_clusters_end_the_search_early(spark):
     draw = np.random.default_rng(3)
     centres = draw.standard_normal((40, 32)) * 10

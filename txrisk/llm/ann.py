@@ -4,15 +4,17 @@ Each tree halves the space again and again, by the plane between two points of a
 sample's median. Every row is indexed in one leaf of every tree. A query walks all trees with one
 priority queue, whose next entry is the subtree with the smallest distance beyond the planes crossed so
 far; it goes on until the leaves it took hold ``share`` times as many entries as there are rows (each row
-has one per tree, so these are fewer rows), or until every subtree left
-lies beyond the query's k-th nearest sample point, which is an exact bound. Candidates of the leaves are
+has one per tree, so these are fewer rows) and those of one tree hold ``SURE`` times ``k`` rows besides the query's own,
+or until every subtree left lies beyond the query's k-th nearest sample point, which is an exact bound. Candidates of the leaves are
 ranked by their exact distance.
 
 Isotropic vectors are the worst case: there, planes bound nothing and recall follows the share searched
 (README: over 0.9 at the default). On clustered vectors the bound ends most searches early.
 
 - The sample has about ``SAMPLE`` rows, so trees, sample and leaf sizes (the only things sent to all tasks) are bounded.
-- A leaf with over ``BLOCK`` rows is dealt out in blocks that its queries visit all, so that no task holds more.
+- A leaf with over ``BLOCK`` rows is dealt out in blocks that its queries visit all, and one that over ``BLOCK`` queries
+  visit has these dealt out, too, so that no group holds more of either. Trees get deeper with the number of rows, as far as the
+  sample allows.
 - Rows that repeat both id and vector are made one first. Of equal vectors only the ``k`` + 1 smallest ids, all
   different then, can be among the nearest; they are taken before the index is built, so any number of
   copies stays cheap and no result is lost.
@@ -43,6 +45,8 @@ SAMPLE = 16_384
 LEAST_LEAF = 8
 SHARE = 1.0
 BLOCK = 4_096
+# In small or clustered tables all trees may give a query the same few rows: so many times k different ones are looked at.
+SURE = 8
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -108,13 +112,17 @@ class Tree:
         return node - ((1 << self.depth) - 1)
 
 
-def probed(query: np.ndarray, trees: list[Tree], sizes: np.ndarray, bound: float, most: float) -> list[tuple[int, int]]:
-    """The (tree, leaf) to visit, by one priority queue over all trees."""
+def probed(query: np.ndarray, trees: list[Tree], sizes: np.ndarray, bound: float, most: float,
+           least: int) -> list[tuple[int, int]]:
+    """The (tree, leaf) to visit, by one priority queue over all trees.
+
+    Leaves of one tree have no row in common, so a tree that holds ``least`` entries holds as many rows.
+    """
     inner = (1 << trees[0].depth) - 1
     sides = [(t.normals @ query - t.offsets).tolist() for t in trees]
     queue = [(0.0, number, 0) for number in range(len(trees))]
-    found, held = [], 0
-    while queue and held < most:
+    found, held, of_tree = [], 0, [0] * len(trees)
+    while queue and (held < most or max(of_tree) < least):
         beyond, number, node = heapq.heappop(queue)
         if beyond > bound:
             break
@@ -127,6 +135,7 @@ def probed(query: np.ndarray, trees: list[Tree], sizes: np.ndarray, bound: float
         if sizes[number, leaf]:
             found.append((number, leaf))
             held += int(sizes[number, leaf])
+            of_tree[number] += int(sizes[number, leaf])
     return found
 
 
@@ -150,19 +159,20 @@ def probe(trees: list[Tree], sizes: np.ndarray, sample: np.ndarray, sample_ids:
         for batch in batches:
             queries = matrix(batch.column("v"))
             rows, leaves = [], []
-            for number, (query, asked) in enumerate(zip(queries, batch.column("vec_id").to_pylist(), strict=True)):
+            asked_ids, owns = batch.column("vec_id").to_pylist(), batch.column("own").to_pylist()
+            for number, (query, asked, own) in enumerate(zip(queries, asked_ids, owns, strict=True)):
                 # Points with the query's id are left out, as it can't find them; a little more for rounding.
                 near = np.sqrt(((sample - query) ** 2).sum(1))[sample_ids != asked]
                 bound = float(np.partition(near, k - 1)[k - 1]) * (1 + 1e-9) + 1e-12 if len(near) >= k else np.inf
-                visits = probed(query, trees, sizes, bound, most)
+                visits = probed(query, trees, sizes, bound, most, SURE * k + own)
                 rows += [number] * len(visits)
                 leaves += visits
             if rows:
                 taken = batch.take(pa.array(rows))
                 yield pa.RecordBatch.from_arrays([
                     pa.array([t for t, _ in leaves], pa.int32()), pa.array([x for _, x in leaves], pa.int32()),
-                    taken.column("vec_id"), taken.column("v"),
-                ], names=["tree", "leaf", "query_id", "q"])
+                    taken.column("query"), taken.column("vec_id"),
+                ], names=["tree", "leaf", "query", "query_id"])
     return run
 
 
@@ -220,22 +230,38 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vect
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     sample = np.array([r["v"] for r in chosen], float)
     sample_ids = np.array([r["vec_id"] for r in chosen], np.int64)
+    depth = max(depth, int(np.log2(max(1, total // block))))
     depth = max(0, min(depth, int(np.log2(max(1, len(sample) // LEAST_LEAF)))))
     forest = [Tree(sample, depth, seed) for seed in range(trees)]
     indexed = rows.mapInArrow(index(forest), "tree int, leaf int, vec_id long, row long, v array<double>")
     sizes = np.zeros((trees, 1 << depth), np.int64)
     for r in indexed.groupBy("tree", "leaf").count().collect():
         sizes[r["tree"], r["leaf"]] = r["count"]
-    asked = usable(queries, id_col, vector_col).filter(F.size("v") == length).distinct().mapInArrow(
-        probe(forest, sizes, sample, sample_ids, k, share), "tree int, leaf int, query_id long, q array<double>"
+    # How many rows each query has to pass over, as they have its id.
+    own = rows.groupBy(F.col("vec_id").alias("own_id")).agg(F.count("*").alias("own"))
+    asked = usable(queries, id_col, vector_col).filter(F.size("v") == length).distinct()
+    asked = staged(
+        asked.join(own, F.col("vec_id") == F.col("own_id"), "left")
+        .select(F.monotonically_increasing_id().alias("query"), "vec_id", "v", F.coalesce("own", F.lit(0)).alias("own")),
+        "ann-queries",
     )
-    blocks = int(sizes.max()) // block + 1
-    if blocks > 1:
-        indexed = indexed.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"))
-        asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    else:
-        indexed, asked = indexed.withColumn("block", F.lit(0)), asked.withColumn("block", F.lit(0))
-    keys = ("tree", "leaf", "block")
+    visits = staged(asked.mapInArrow(
+        probe(forest, sizes, sample, sample_ids, k, share), "tree int, leaf int, query long, query_id long"
+    ), "ann-visits")
+    visitors = visits.groupBy("tree", "leaf").count().agg(F.coalesce(F.max("count"), F.lit(0)).alias("most")).first()["most"]
+    asked = visits.join(asked.select("query", F.col("v").alias("q")), "query")
+    blocks, shares = int(sizes.max()) // block + 1, visitors // block + 1
+
+    def dealt(key: str, n: int) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(n)).cast("int") if n > 1 else F.lit(0)
+
+    def everywhere(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1))) if n > 1 else F.lit(0)
+
+    # Each block of a leaf's rows meets each share of its queries once.
+    indexed = indexed.withColumn("block", dealt("row", blocks)).withColumn("share", everywhere(shares))
+    asked = asked.withColumn("share", dealt("query", shares)).withColumn("block", everywhere(blocks))
+    keys = ("tree", "leaf", "block", "share")
     found = asked.groupBy(*keys).cogroup(indexed.groupBy(*keys)).applyInArrow(rank_block(k), names)
     # A row is found in several trees, and by each vector of its query.
     found = found.groupBy("query_id", "vec_id", "row").agg(F.min("score").alias("score"))
