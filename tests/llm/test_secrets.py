@@ -1,6 +1,7 @@
 import hashlib
 import os
 import re
+import time
 
 import pytest
 
@@ -88,3 +89,12 @@ def test_repeated_rows_and_empty(spark):
     docs = spark.createDataFrame([(1, TEXTS[0]), (1, TEXTS[0]), (None, TEXTS[0])], "doc_id long, text string")
     assert [r.n_assign for r in secret_report(docs).collect()] == [1, 1, 1]
     assert secret_report(docs.limit(0)).count() == 0
+
+
+def test_many_spans_in_one_text(spark):
+    """The work grows with the spans, not with their square."""
+    text = " ".join(f"{i:024x}" for i in range(100_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    begun = time.time()
+    row = secret_report(docs).collect()[0]
+    assert row.n_hex == 100_000 and time.time() - begun < 60

@@ -85,9 +85,9 @@ def linked(spans: DataFrame, scope: int) -> DataFrame:
     def is_one(*kinds: str) -> Column:
         return F.col("kind").isin([KINDS.index(k) for k in kinds])
 
-    order = Window.partitionBy("row").orderBy("start", "kind")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    after = order.rowsBetween(1, Window.unboundedFollowing)
+    before = Window.partitionBy("row").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    # What follows is what comes before in the reverse order: a growing frame is kept up row by row, a shrinking one is not.
+    after = Window.partitionBy("row").orderBy(F.desc("start"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
 
     def near(part: Column, reach: int) -> Column:
         last = F.max(F.when(part, F.col("end"))).over(before)
