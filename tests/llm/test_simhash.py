@@ -95,3 +95,24 @@ def test_repeated_null_and_no_ids(spark):
     assert sorted((r.doc_id or 0, r.component_id or 0) for r in found) == [(0, 0), (0, 4), (4, 4), (4, 4)]
     assert without_near_copies(docs).count() == 2
     assert simhash_groups(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("n", [2, 24, 1000])
+def test_long_chains_take_few_rounds(spark, monkeypatch, n):
+    """A chain of links collapses by pointer jumping: rounds grow with the logarithm of its length."""
+    rounds = []
+    inner = simhash.staged
+
+    def counted(rows, purpose):
+        rounds.append(purpose)
+        return inner(rows, purpose)
+
+    monkeypatch.setattr(simhash, "staged", counted)
+    order = list(range(n + 1))
+    for names in (order, random.Random(n).sample(order, n + 1)):
+        rounds.clear()
+        links = [(names[i], names[i + 1]) for i in range(n)]
+        edges = spark.createDataFrame([(max(e), min(e)) for e in links], "a long, b long")
+        found = {r.node: r.root for r in simhash.components(edges).collect()}
+        assert found == dict.fromkeys(order, 0)
+        assert rounds.count("simhash-merge") <= 8 and rounds.count("simhash-jump") <= 20

@@ -205,8 +205,27 @@ def links(prints: DataFrame, distance: int) -> DataFrame:
     return sharded.groupBy("half", "shard").applyInArrow(link_shard(distance), "a long, b long")
 
 
+def jumped(merge: DataFrame) -> DataFrame:
+    """(old, to) with each node's whole way down instead of its next step, halved in each round.
+
+    A step never leads up, so every way ends in a node that stays; a chain of n steps takes log n rounds.
+    """
+    while True:
+        onward = merge.select(F.col("old").alias("to"), F.col("to").alias("next"))
+        moved = staged(merge.join(onward, "to").select(
+            "old", F.col("next").alias("to"), (F.col("next") != F.col("to")).alias("moved")
+        ), "simhash-jump")
+        merge = moved.select("old", "to")
+        if moved.filter("moved").isEmpty():
+            return merge
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """Each linked node with the smallest of its component: node, root."""
+    """Each linked node with the smallest of its component: node, root.
+
+    In each round nodes follow their smallest neighbours all the way down and become one, so that chains collapse at
+    once; what is left are the edges between nodes that were smaller than all their neighbours.
+    """
     edges = staged(edges, "simhash-links")
     label = staged(
         edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("root", F.col("node")),
@@ -214,10 +233,10 @@ def components(edges: DataFrame) -> DataFrame:
     )
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        merge = staged(
+        merge = jumped(staged(
             both.groupBy("a").agg(F.least("a", F.min("b")).alias("to")).select(F.col("a").alias("old"), "to"),
             "simhash-merge",
-        )
+        ))
         label = staged(
             label.join(merge, F.col("root") == F.col("old"), "left")
             .select("node", F.coalesce("to", "root").alias("root")), "simhash-roots"
