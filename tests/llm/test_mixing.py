@@ -1,3 +1,4 @@
+import time
 from collections import defaultdict
 from fractions import Fraction
 
@@ -95,3 +96,15 @@ def test_rows_that_share_an_id_are_dealt_out(spark, monkeypatch):
     finally:
         spark.conf.unset(coalesce)
     assert most < 1000
+
+
+def test_many_sources(spark):
+    """Targets of many sources, in one growing frame."""
+    sources = spark.range(20_000).select(
+        F.lit(False).alias("unnamed"), F.concat(F.lit("s"), "id").alias("source"), (F.col("id") % 97 + 1).alias("source_size"))
+    begun = time.time()
+    found = {r.source: r.target for r in mixing.targets(sources).collect()}
+    assert time.time() - begun < 60
+    sizes = {r.source: r.source_size for r in sources.collect()}
+    assert abs(sum(found.values()) - sum(sizes.values())) < 1e-3
+    assert all(t <= 3 * sizes[s] + 1e-9 for s, t in found.items())

@@ -50,9 +50,11 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST
     rows = sizes.withColumn("all", F.lit(1)).withColumn(
         "weight", F.element_at(cycle, (F.row_number().over(ranked) - 1) % len(weights) + 1).cast("long")
     ).withColumn("cap", most * F.col("source_size"))
-    rising = Window.partitionBy("all").orderBy(F.col("cap") / F.col("weight"), "unnamed", "source")
-    before = rising.rowsBetween(Window.unboundedPreceding, -1)
-    onward = rising.rowsBetween(0, Window.unboundedFollowing)
+    rising = (F.col("cap") / F.col("weight")).asc(), F.asc("unnamed"), F.asc_nulls_first("source")
+    falling = (F.col("cap") / F.col("weight")).desc(), F.desc("unnamed"), F.desc_nulls_last("source")
+    before = Window.partitionBy("all").orderBy(*rising).rowsBetween(Window.unboundedPreceding, -1)
+    # A source and those after it, as a frame that grows.
+    onward = Window.partitionBy("all").orderBy(*falling).rowsBetween(Window.unboundedPreceding, 0)
     whole_mix = Window.partitionBy("all")
     rows = rows.withColumns({
         "total": F.sum("source_size").over(whole_mix),
