@@ -117,32 +117,34 @@ def featurise(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     return run
 
 
-def fit_ordinal(features: list[Features], grades: np.ndarray, bits: int = BITS, steps: int = STEPS,
-                least_documents: int = LEAST_DOCUMENTS) -> OrdinalModel:
-    """Maximum likelihood of the cumulative-link model with a small absolute penalty."""
+def fit_ordinal(features: list[Features], grades: np.ndarray, bits: int = BITS, counts: np.ndarray | None = None,
+                steps: int = STEPS, least_documents: int = LEAST_DOCUMENTS) -> OrdinalModel:
+    """Maximum likelihood of the cumulative-link model with a small absolute penalty; ``counts`` are ratings per row."""
     size = 1 << bits
     flat = np.concatenate([np.asarray(part, np.int32) for f in features for part in f])
     value = np.concatenate([values(f) for f in features])
     rows = np.repeat(np.arange(len(features), dtype=np.int32), [len(w) + len(s) for w, s in features])
     common = (np.bincount(flat, minlength=size) >= least_documents)[flat]
     rows, flat, value = rows[common], flat[common], value[common]
-    n = len(features)
+    counts = np.ones(len(features)) if counts is None else counts
+    n = counts.sum()
     weights, moments = np.zeros(size), np.full(size, 1e-8)
     # Start at the grades' own frequencies; absent grades leave thresholds apart, not infinite.
-    at_most = (np.bincount(grades, minlength=GRADES).cumsum()[:-1] + 0.5) / (n + 1)
+    at_most = (np.bincount(grades, counts, minlength=GRADES).cumsum()[:-1] + 0.5) / (n + 1)
     start = np.log(at_most / (1 - at_most))
     # The first threshold and the logarithms of the gaps keep the thresholds ordered.
     cut = np.concatenate([start[:1], np.log(np.maximum(np.diff(start), 1e-2))])
     cut_moments = np.full(len(cut), 1e-8)
     for _ in range(steps):
         thresholds = np.cumsum(np.concatenate([cut[:1], np.exp(cut[1:])]))
-        scores = np.bincount(rows, value * weights[flat], minlength=n)
+        scores = np.bincount(rows, value * weights[flat], minlength=len(features))
         edges = np.concatenate([[-np.inf], thresholds, [np.inf]])
         with np.errstate(over="ignore"):
             upper = 1 / (1 + np.exp(-(edges[grades + 1] - scores)))
             lower = 1 / (1 + np.exp(-(edges[grades] - scores)))
         chance = np.maximum(upper - lower, 1e-12)
         d_upper, d_lower = upper * (1 - upper) / chance, lower * (1 - lower) / chance
+        d_upper, d_lower = counts * d_upper, counts * d_lower
         d_score = (d_upper - d_lower) / n
         slope = np.bincount(flat, value * d_score[rows], minlength=size)
         d_edges = np.zeros(GRADES + 1)
@@ -171,7 +173,10 @@ def graded(labels: DataFrame) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           max_rated: int = MAX_RATED, bits: int = BITS) -> OrdinalModel | None:
     """Fits on the rated documents, or None if there are none."""
-    rated = sorted(sampled(graded(labels), "rated_id", max_rated).collect())
+    # Ratings are counted first: an id with any number of them is one of the ids that are drawn, with a row per grade.
+    counted = graded(labels).groupBy("rated_id", "grade").agg(F.count("*").alias("n"))
+    ids = counted.select("rated_id").distinct().count()
+    rated = sorted(sampled(counted, "rated_id", max_rated, ids).collect())
     if not rated:
         return None
     spark = docs.sparkSession
@@ -188,11 +193,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         key: (words.values.to_numpy(), shape.values.to_numpy())
         for key, words, shape in zip(found["doc_id"].to_pylist(), found["words"], found["shape"], strict=True)
     }
-    rated = [(by_id[r["rated_id"]], r["grade"]) for r in rated if r["rated_id"] in by_id]
+    rated = [(by_id[r["rated_id"]], r["grade"], r["n"]) for r in rated if r["rated_id"] in by_id]
     if not rated:
         return None
-    features, grades = zip(*rated, strict=True)
-    return fit_ordinal(features, np.array(grades), bits)
+    features, grades, counts = zip(*rated, strict=True)
+    return fit_ordinal(features, np.array(grades), bits, np.array(counts, float))
 
 
 def scorer(model: OrdinalModel, text_col: str, bits: int,
