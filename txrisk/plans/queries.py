@@ -560,6 +560,9 @@ def category_index_wide(spark: SparkSession, folder: str) -> DataFrame:
     return features.category_index(_transactions(spark, folder), ("userId",))
 
 
+# What several queries share, for those who time them.
+SHARED: dict[str, Callable[[SparkSession, str], object]] = {"fit": _trained, "served": _served, "batched": _batched}
+
 QUERIES: dict[str, Query] = {
     "transactions": transactions,
     "json_roundtrip": json_roundtrip,
