@@ -17,6 +17,10 @@ What keeps that affordable and even:
   on what it meets ``LOCAL`` times or more; the ``COMMON`` largest are what all tasks are sent. They steer the load only.
 - A minimiser that still has over ``crowd`` strings has them dealt out by whole windows, equal ones
   collapsed in the same way. Nothing is dropped.
+- A string holds ``MOST_WINDOWS`` windows at most: a longer run of windows with one minimiser, such as that of one
+  word repeated, is cut, each part with the words its last window needs. No window is lost or in two parts.
+- Texts are hashed in blocks of bytes, and words are told by where they stand, so that one very long text takes a
+  worker some sixty bytes a word beside its own. Minimisers are written once, as two later steps read them.
 
 Words are separated by space and U+0009 to U+000D. A null text has no words; texts shorter than a window are
 kept as they are. Rows that repeat an id are documents of their own, the earlier row first; minimisers are
@@ -44,6 +48,8 @@ COMMON = 65_536
 LEAST_COMMON = 64
 LOCAL = 8
 LAST = np.uint64(1 << 63)
+MOST_WINDOWS = 256
+BLOCK_BYTES = 1 << 18
 
 PART = pa.schema([
     ("kind", pa.string()), ("doc_id", pa.int64()), ("row", pa.int64()), ("start", pa.int64()), ("end", pa.int64()),
@@ -84,36 +90,91 @@ class Grams:
 
     def __init__(self, common: np.ndarray) -> None:
         self.common = common
-        self.up = self.down = powers(BASE, 1)
+        self.up, self.down = powers(BASE, BLOCK_BYTES), powers(BASE_INVERSE, BLOCK_BYTES)
+
+    def words(self, text: bytes) -> np.ndarray:
+        """One hash for each word. A word that goes on in the next block adds up, so blocks change no hash."""
+        data, found, length = np.frombuffer(text, np.uint8), [], 0
+        for at in range(0, len(data), BLOCK_BYTES):
+            block = data[at:at + BLOCK_BYTES]
+            n = len(block)
+            in_word = np.zeros(n + 2, np.int8)
+            in_word[1:-1] = ~IS_SPACE[block]
+            turns = np.diff(in_word)
+            starts, ends = np.nonzero(turns == 1)[0], np.nonzero(turns == -1)[0]
+            if not len(starts):
+                length = 0
+                continue
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum((block + np.uint64(1)) * self.up[:n], out=sums[1:])
+            value = (sums[ends] - sums[starts]) * self.down[starts]
+            # ``length``: bytes of the word that the block before ended in, which the first one here goes on with.
+            goes_on = length > 0 and starts[0] == 0
+            if goes_on:
+                found[-1][-1:] += value[:1] * np.uint64(pow(BASE, length, 1 << 64))
+            before = length if goes_on and len(starts) == 1 else 0
+            length = before + int(ends[-1] - starts[-1]) if ends[-1] == n else 0
+            if len(value) > goes_on:
+                found.append(value[int(goes_on):])
+        return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
     def __call__(self, text: bytes, gram: int) -> np.ndarray:
         """One hash for each place where ``gram`` words start; those of common grams are above all others."""
-        data = np.frombuffer(text, np.uint8)
-        n = len(data)
-        if n >= len(self.up):
-            self.up, self.down = powers(BASE, 2 * n), powers(BASE_INVERSE, 2 * n)
-        in_word = np.zeros(n + 2, np.int8)
-        in_word[1:-1] = ~IS_SPACE[data]
-        turns = np.diff(in_word)
-        starts, ends = np.nonzero(turns == 1)[0], np.nonzero(turns == -1)[0]
-        count = len(starts) - gram + 1
+        of_words = self.words(text)
+        count = len(of_words) - gram + 1
         if count < 1:
             return np.zeros(0, np.uint64)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((data + np.uint64(1)) * self.up[:n], out=sums[1:])
-        of_words = (sums[ends] - sums[starts]) * self.down[starts]
         of_words ^= of_words >> np.uint64(32)
         value = np.zeros(count, np.uint64)
         for i in range(gram):
-            value = value * np.uint64(BASE) + of_words[i:i + count]
+            value *= np.uint64(BASE)
+            value += of_words[i:i + count]
             value ^= value >> np.uint64(29)
-        value = value * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(1)
+        value *= np.uint64(0xBF58476D1CE4E5B9)
+        value >>= np.uint64(1)
         if len(self.common):
             at = np.minimum(np.searchsorted(self.common, value), len(self.common) - 1)
             value[self.common[at] == value] |= LAST
         return value
 
 
+class Words:
+    """A text with one space between words, and where its words stand in it."""
+
+    def __init__(self, text: bytes) -> None:
+        data = np.frombuffer(text, np.uint8)
+        space = IS_SPACE[data]
+        keep = ~space
+        # With each word, the first space after it.
+        keep[1:] |= ~space[:-1]
+        data = data[keep]
+        data[space[keep]] = 32
+        if len(data) and data[-1] == 32:
+            data = data[:-1]
+        self.text = data.tobytes()
+        gaps = np.nonzero(data == 32)[0]
+        self.starts = np.concatenate([[0], gaps + 1]) if len(data) else gaps
+        self.ends = np.append(gaps, len(data)) if len(data) else gaps
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def part(self, start: int, end: int) -> bytes:
+        return self.text[self.starts[start]:self.ends[end - 1]]
+
+    def without(self, gone: list[tuple[int, int]]) -> tuple[bytes, int]:
+        """The words outside the (start, end) of ``gone``, which may overlap, and how many went."""
+        left, at, removed = [], 0, 0
+        for start, end in sorted(gone):
+            if start > at:
+                left.append(self.part(at, start))
+            removed += max(0, end - max(at, start))
+            at = max(at, end)
+        if at < len(self):
+            left.append(self.part(at, len(self)))
+        return b" ".join(left), removed
+
+
 def frequent(window: int, gram: int) -> Callable[[Batches], Batches]:
     """Minimisers with the number of documents that have them, of those met often in one stretch of a task."""
     def run(batches: Batches) -> Batches:
@@ -148,24 +209,36 @@ def common_grams(docs: DataFrame, window: int, gram: int) -> np.ndarray:
     return np.sort(np.array([r["h"] for r in rows], np.int64)).view(np.uint64)
 
 
-def runs(grams: np.ndarray, per_window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Super-k-mers: their minimisers, first windows, and the windows after their last."""
-    least = grams
-    # The smallest of ``per_window`` neighbours, by doubling spans.
+def slid(values: np.ndarray, width: int, choose: np.ufunc) -> np.ndarray:
+    """``choose`` over each ``width`` neighbours, by doubling spans."""
     span = 1
-    while 2 * span <= per_window:
-        least = np.minimum(least[:-span], least[span:])
+    while 2 * span <= width:
+        values = choose(values[:-span], values[span:])
         span *= 2
-    if span < per_window:
-        rest = per_window - span
-        least = np.minimum(least[:-rest], least[rest:])
-    changes = np.nonzero(least[1:] != least[:-1])[0] + 1
-    first = np.concatenate([[0], changes])
-    return least[first], first, np.append(changes, len(least))
+    if span < width:
+        rest = width - span
+        values = choose(values[:-rest], values[rest:])
+    return values
+
+
+def runs(grams: np.ndarray, per_window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Super-k-mers: their minimisers, first windows, and the windows after their last."""
+    least = slid(grams, per_window, np.minimum)
+    first = np.concatenate([[0], np.nonzero(least[1:] != least[:-1])[0] + 1])
+    return least[first], first, np.append(first[1:], len(least))
+
+
+def chosen(grams: np.ndarray, per_window: int) -> np.ndarray:
+    """The minimisers, one for each place that is the smallest of a window."""
+    least = slid(grams, per_window, np.minimum)
+    # No window around a place has a smallest above its own; where the largest of them equals it, it is one.
+    around = np.zeros(len(least) + 2 * (per_window - 1), np.uint64)
+    around[per_window - 1:per_window - 1 + len(least)] = least
+    return grams[slid(around, per_window, np.maximum) == grams]
 
 
 def minimisers(window: int, gram: int, common: np.ndarray) -> Callable[[Batches], Batches]:
-    """Per document the distinct minimisers of its windows, each with the number of places it stands at."""
+    """Per document the distinct minimisers of its windows, each with the number of places it is one at."""
     def run(batches: Batches) -> Batches:
         hashed = Grams(common)
         for batch in batches:
@@ -174,14 +247,13 @@ def minimisers(window: int, gram: int, common: np.ndarray) -> Callable[[Batches]
                 grams = hashed(text, gram)
                 if len(grams) <= window - gram:
                     continue
-                least = np.unique(runs(grams, window - gram + 1)[0])
-                values, counts = np.unique(grams, return_counts=True)
-                found.append(least)
-                times.append(counts[np.searchsorted(values, least)])
-                keys += [key] * len(least)
+                values, counts = np.unique(chosen(grams, window - gram + 1), return_counts=True)
+                found.append(values)
+                times.append(counts)
+                keys.append(np.full(len(values), key, np.int64))
             if keys:
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(keys, pa.int64()), pa.array(np.concatenate(found).view(np.int64)),
+                    pa.array(np.concatenate(keys)), pa.array(np.concatenate(found).view(np.int64)),
                     pa.array(np.concatenate(times).astype(np.int64)),
                 ], names=["doc_id", "h", "n"])
     return run
@@ -229,22 +301,22 @@ def pack(window: int, gram: int, common: np.ndarray) -> Callable[[Batches], Batc
         for batch in batches:
             names = ("doc_id", "row", "text", "hs")
             for key, row, text, hs in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
-                words = text.split()
+                words = Words(text)
                 if not hs or len(words) < window:
-                    digest = sha256(b" ".join(words)).hexdigest().encode()
+                    digest = sha256(words.text).hexdigest().encode()
                     rows.append((DONE, key, row, 0, len(words), None, digest))
                 else:
-                    text = b" ".join(words)
-                    rows.append((TEXT, key, row, 0, len(words), None, text))
-                    size += len(text)
-                    found, first, after = runs(hashed(text, gram), window - gram + 1)
+                    rows.append((TEXT, key, row, 0, len(words), None, words.text))
+                    size += len(words.text)
+                    found, first, after = runs(hashed(words.text, gram), window - gram + 1)
                     repeated = np.isin(found.view(np.int64), np.array(hs, np.int64))
                     for i in np.nonzero(repeated)[0].tolist():
-                        start, end = int(first[i]), int(after[i]) + window - 1
-                        place = key is None, key or 0, row, start
-                        held.add(b" ".join(words[start:end]), signed(int(found[i])), place, end - start)
-                if held.full() and (batch_out := held.flush()):
-                    yield batch_out
+                        for start in range(int(first[i]), int(after[i]), MOST_WINDOWS):
+                            end = min(start + MOST_WINDOWS, int(after[i])) + window - 1
+                            place = key is None, key or 0, row, start
+                            held.add(words.part(start, end), signed(int(found[i])), place, end - start)
+                        if held.full() and (batch_out := held.flush()):
+                            yield batch_out
                 if size >= HELD_BYTES or len(rows) >= 10_000:
                     yield part_batch(rows)
                     rows, size = [], 0
@@ -337,12 +409,9 @@ def strip(batches: Batches) -> Batches:
         rows = []
         names = ("doc_id", "text", "gone")
         for key, text, gone in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
-            words = text.split(b" ")
-            keep = np.ones(len(words), bool)
-            for span in gone or ():
-                keep[span["start"]:span["end"]] = False
-            left = [words[i] for i in np.nonzero(keep)[0].tolist()]
-            rows.append((key, len(words), len(words) - len(left), b" ".join(left).decode()))
+            words = Words(text)
+            left, removed = words.without([(span["start"], span["end"]) for span in gone or ()])
+            rows.append((key, len(words), removed, left.decode()))
         if rows:
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays(
@@ -363,6 +432,8 @@ def repeated_minimisers(docs: DataFrame, window: int, gram: int, common: np.ndar
     """Per key of a document (``key_of``) the minimisers that occur again somewhere: key, hs."""
     keyed = docs.select(key_of().alias("doc_id"), "text")
     found = keyed.mapInArrow(minimisers(window, gram, common), "doc_id long, h long, n long")
+    # Written, as both sides of the next join read them.
+    found = staged(found, "substring-minimisers")
     again = found.groupBy("h").agg(F.sum("n").alias("times")).filter("times > 1").select("h")
     return found.select("doc_id", "h").join(again, "h", "left_semi").groupBy("doc_id").agg(
         F.collect_set("h").alias("hs")
