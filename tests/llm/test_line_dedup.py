@@ -1,3 +1,8 @@
+import re
+from hashlib import md5
+
+import pytest
+
 from llm_helpers import awkward, documents, prose
 from txrisk.llm.line_dedup import line_dedup
 
@@ -45,3 +50,62 @@ def test_repeated_rows(spark):
     # Rows that repeat id and text are one document; of the two texts of id 3, one holds the first occurrences.
     assert all(r.n_removed > 0 for r in found if r.doc_id != 3)
     assert {r.n_removed > 0 for r in found if r.doc_id == 3} == {False, True}
+
+
+def plain(texts, span=3, divisor=4, least=1, most=None):
+    """What stays of each text, document after document."""
+    seen, found = set(), []
+    for text in texts:
+        rows = (text or "").split("\n")
+        hashes = [0] * (span - 1) + [int(md5(r.encode()).hexdigest()[:8], 16) % 1_000_003 for r in rows]
+        hits = []
+        for i in range(len(rows)):
+            value = 0
+            for h in hashes[i:i + span]:
+                value = (value * 131_071 + h) % 1_000_003
+            hits.append(value % divisor == 0)
+        cuts = [0]
+        for i, hit in enumerate(hits[:-1], 1):
+            settled = hit and not any(hits[max(0, i - least):i - 1])
+            if settled and (least == 1 or least <= i <= len(rows) - least):
+                cuts.append(i)
+        spans = []
+        for start, end in zip(cuts, [*cuts[1:], len(rows)], strict=True):
+            while most and end - start >= 2 * most:
+                spans.append((start, start + most))
+                start += most
+            spans.append((start, end))
+        left = []
+        for start, end in spans:
+            chunk = "\n".join(rows[start:end])
+            if end - start > 1 and re.search(r"[^\x20\x09-\x0d]", chunk):
+                if chunk in seen:
+                    continue
+                seen.add(chunk)
+            left += rows[start:end]
+        found.append("\n".join(left))
+    return found
+
+
+@pytest.mark.parametrize("least,most,divisor", [(1, None, 4), (2, None, 2), (3, 4, 2), (1, 5, 4), (2, 8, 2)])
+def test_spaced_and_cut_chunks(spark, least, most, divisor):
+    shared = [lines(n, 40 + n) for n in (2, 3, 5, 9, 30)]
+    texts = awkward() + ["\n".join(lines(i % 4, 60 + i) + shared[i % 5] + lines(i % 3, 80 + i)) for i in range(40)]
+    texts += ["\n".join(["again"] * n + ["end"]) for n in (1, 2, 5, 17, 18, 200)] + ["\n" * 30, "\n".join(shared[3])]
+    found = line_dedup(documents(spark, texts).repartition(3), divisor=divisor, least=least, most=most).collect()
+    assert [r.text for r in sorted(found)] == plain(texts, 3, divisor, least, most)
+
+
+def test_copies_lose_all_lines_and_runs_all_but_one_part(spark):
+    texts = ["\n".join(lines(n, 70 + n)) for n in range(2, 30)]
+    run = "\n".join(["same line"] * 100)
+    found = {r.doc_id: r for r in line_dedup(documents(spark, texts + texts + [run]), divisor=2, least=2, most=4).collect()}
+    assert all(found[i].text == t for i, t in enumerate(texts, 1))
+    assert all(found[len(texts) + i].text == "" for i in range(1, len(texts) + 1))
+    assert len(found[2 * len(texts) + 1].text.split("\n")) <= 4 + 7
+
+
+def test_a_text_of_very_many_lines(spark):
+    text = "\n".join(f"line {i * 7919 % 1_000_003}" for i in range(300_000))
+    found = {r.doc_id: r for r in line_dedup(documents(spark, [text, text]), least=2).collect()}
+    assert (found[1].n_removed, found[2].n_removed, found[2].text) == (0, 300_000, "")
