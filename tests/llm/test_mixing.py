@@ -108,3 +108,19 @@ def test_many_sources(spark):
     sizes = {r.source: r.source_size for r in sources.collect()}
     assert abs(sum(found.values()) - sum(sizes.values())) < 1e-3
     assert all(t <= 3 * sizes[s] + 1e-9 for s, t in found.items())
+
+
+def test_targets_of_many_uneven_sources(spark):
+    """Against the plain rounds, with ranges that are not merged."""
+    sizes = {f"s{i * 7919 % 1009}": (i % 13) ** 4 + i % 3 for i in range(600)} | {None: 5}
+    rows = [(s is None, s or "", n) for s, n in sizes.items()]
+    frame = spark.createDataFrame(rows, "unnamed boolean, source string, source_size long")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        found = {None if r.unnamed else r.source: r.target for r in mixing.targets(frame).collect()}
+    finally:
+        spark.conf.unset(coalesce)
+    expected = plain_targets(sizes)
+    assert found.keys() == expected.keys()
+    assert all(abs(found[s] - float(t)) < 1e-6 for s, t in expected.items())

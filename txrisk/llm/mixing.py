@@ -13,9 +13,10 @@ stands on many, is cut by key, id and size, and rows equal in these are dealt ou
 
 Sources rank by code point, null last; weights repeat along that order. Targets share the size of all
 documents by weight, but stop at ``most`` times their source's size; the excess is shared anew by
-weight among the others. That is solved in one pass over the sources (one row each) in rising order of
-size over weight: a source is full if its cap is not above its share of what the full ones before it
-leave. Documents of size 0 are taken 0 words. Rows that repeat an id share a key and are ordered by
+weight among the others. That is solved in rising order of size over weight: a source is full if its cap is not above
+its share of what the full ones before it leave. Ranks and running sums over sources are those of sorted ranges, so that a table
+may have any number of sources. Documents of size 0 are taken 0 words; of a very long text its number of words is all that is
+shuffled. Only id, text and source are read for the plan, whatever other columns are called. Rows that repeat an id share a key and are ordered by
 size, so a rerun gives the same counts. No documents: no rows.
 """
 
@@ -26,6 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from txrisk.llm.common import SPACE, new_name, numbered, partitions, staged, whole
+from txrisk.operators.ranges import with_running_total
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -45,26 +47,25 @@ def key_of(id_col: Column) -> Column:
 
 def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST) -> DataFrame:
     """Adds ``target`` to one row per source (unnamed, source, source_size)."""
-    ranked = Window.partitionBy("all").orderBy("unnamed", "source")
     cycle = F.array(*map(F.lit, weights))
-    rows = sizes.withColumn("all", F.lit(1)).withColumn(
-        "weight", F.element_at(cycle, (F.row_number().over(ranked) - 1) % len(weights) + 1).cast("long")
-    ).withColumn("cap", most * F.col("source_size"))
-    rising = (F.col("cap") / F.col("weight")).asc(), F.asc("unnamed"), F.asc_nulls_first("source")
-    falling = (F.col("cap") / F.col("weight")).desc(), F.desc("unnamed"), F.desc_nulls_last("source")
-    before = Window.partitionBy("all").orderBy(*rising).rowsBetween(Window.unboundedPreceding, -1)
-    # A source and those after it, as a frame that grows.
-    onward = Window.partitionBy("all").orderBy(*falling).rowsBetween(Window.unboundedPreceding, 0)
-    whole_mix = Window.partitionBy("all")
-    rows = rows.withColumns({
-        "total": F.sum("source_size").over(whole_mix),
-        "cap_before": F.coalesce(F.sum("cap").over(before), F.lit(0)),
-        "weight_onward": F.sum("weight").over(onward),
-    }).withColumn(
-        "full", F.col("cap") * F.col("weight_onward") <= F.col("weight") * (F.col("total") - F.col("cap_before"))
+    by_name = [F.asc("unnamed"), F.asc("source")]
+    rows = with_running_total(sizes, by_name, F.lit(1).cast("long"), "nth").withColumn(
+        "weight", F.element_at(cycle, (F.col("nth") % len(weights) + 1).cast("int")).cast("long")
+    ).withColumn("cap", most * F.col("source_size")).withColumn("rise", F.col("cap") / F.col("weight"))
+    rising = [F.asc("rise"), *by_name]
+    rows = with_running_total(rows, rising, F.col("cap"), "cap_before")
+    rows = with_running_total(rows, rising, F.col("weight"), "weight_before")
+    # A row each: what all sources hold, then what the full ones leave to the others.
+    sums = rows.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight"))
+    total, all_weight = sums.select("size").scalar(), sums.select("weight").scalar()
+    rows = staged(rows.withColumn(
+        "full", F.col("cap") * (all_weight - F.col("weight_before")) <= F.col("weight") * (total - F.col("cap_before"))
+    ), "mix-sources")
+    rest = rows.agg(
+        (F.sum("source_size") - F.coalesce(F.sum(F.when(F.col("full"), F.col("cap"))), F.lit(0))).alias("left"),
+        F.sum(F.when(~F.col("full"), F.col("weight"))).alias("shared"),
     )
-    left = F.col("total") - F.coalesce(F.sum(F.when(F.col("full"), F.col("cap"))).over(whole_mix), F.lit(0))
-    shared = F.sum(F.when(~F.col("full"), F.col("weight"))).over(whole_mix)
+    left, shared = rest.select("left").scalar(), rest.select("shared").scalar()
     target = F.when(F.col("full"), F.col("cap").cast("double")).otherwise(
         (F.col("weight") * left).cast("double") / shared.cast("double")
     )
