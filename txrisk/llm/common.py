@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from txrisk.session import work_dir
@@ -11,6 +15,10 @@ from txrisk.sources import folders
 SPACE = r"[\x20\x09-\x0D]"
 
 
+# The folders staged within the innermost ``scratch``; None outside of any.
+_STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -27,6 +35,9 @@ def staged(rows: DataFrame, purpose: str) -> DataFrame:
 def staged_at(rows: DataFrame, purpose: str) -> tuple[DataFrame, str]:
     """The staged rows and their folder, to be given to ``discard`` when no later step reads them."""
     path = work_dir(rows.sparkSession, purpose)
+    held = _STAGED.get()
+    if held is not None:
+        held.append(path)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path), path
 
@@ -36,6 +47,23 @@ def discard(spark: SparkSession, folder: str) -> None:
     folders.delete(spark, folder)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Deletes the tables that are staged within, when it ends without an error.
+
+    For a step whose result is written before the end: take its folder out of the list, and nothing reads the others
+    any more. After an error they stay, as a step that is run again writes folders of its own.
+    """
+    held: list[str] = []
+    token = _STAGED.set(held)
+    try:
+        yield held
+    finally:
+        _STAGED.reset(token)
+    for path in held:
+        discard(spark, path)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
