@@ -1,7 +1,12 @@
 """A training corpus from the documents: judged, deduplicated, mixed and packed.
 
 Each stage takes (spark, docs, folder of the tables) and works on all that the stage before it kept. ``run`` writes each
-stage's rows below the shared folder and reads them back for the next.
+stage's rows below the shared folder and reads them back for the next; once they are written, what the stage had staged and
+the rows it was given go, so that the folder holds two stages at most and in the end the last one's rows.
+
+Nulls, ties and repeats have the result that the stages' operators state: a null text is an empty one, rows that repeat an
+id are documents of their own, of equal rows one stays, and an empty table gives no sequences. Whole texts are judged and
+compared, and cut by the mix and the packing only. All columns of documents reach the last stage, whatever they are called.
 """
 
 from __future__ import annotations
@@ -11,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from txrisk.llm import exact_dedup, mixing, packing, quality, simhash
-from txrisk.llm.common import staged, table
+from txrisk.llm.common import discard, scratch, staged_at, table
 
 
 def judge_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -52,7 +57,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, given = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch(spark) as held:
+            docs, path = staged_at(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            held.remove(path)
+        if given is not None:
+            discard(spark, given)
+        given = path
     return docs
