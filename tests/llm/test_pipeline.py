@@ -77,3 +77,22 @@ def test_empty_table(spark):
     for name, stage in corpus_pipeline.STAGES:
         given = staged(stage(spark, given, SF), f"empty-{name}")
         assert given.count() == 0
+
+
+def test_a_run_leaves_its_last_rows_only(spark, tmp_path, monkeypatch):
+    """What stages had staged is gone when the run ends, but not what others have, and the result can be read twice."""
+    from txrisk.llm import common
+
+    def work_dir(session, purpose):
+        folder = tmp_path / f"{purpose}-{len(list(tmp_path.iterdir()))}-{len(made)}"
+        made.append(folder)
+        return str(folder)
+
+    made = []
+    monkeypatch.setattr(common, "work_dir", work_dir)
+    other = staged(spark.range(3), "other")
+    packed = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert packed.count() == len(packed.collect()) > 0 and other.count() == 3
+    assert len(made) > 8
+    assert sorted(f.name.split("-")[0] for f in tmp_path.iterdir()) == ["other", "pipeline"]
+    assert common._STAGED.get() is None
