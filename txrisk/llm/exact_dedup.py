@@ -14,7 +14,8 @@ row), also where an id repeats.
    one copy of each content in memory.
 4. Members find their representative's result by a join on its number, on narrow rows.
 
-Empty input gives an empty result. Other columns are ignored, whatever their names.
+Empty input gives an empty result. Other columns are ignored, whatever their names. Texts are compared and written whole,
+however long: the tasks that collapse and compare one hold it as a value, so Spark's limit of 2 GB a value is the only one.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ be so that every length of the histogram is covered.
    is spread over many tasks; number and length give sequence and offset.
 
 A null text counts as empty and is one piece of the end id alone. Repeated rows are packed each for
-itself. No rows give none. Only id and text are read, whatever other columns are called.
+itself. No rows give none. Only id and text are read, whatever other columns are called. A very long text is encoded whole: its
+worker holds it, its words and its ids, and passes on its pieces' lengths and checksums only.
 """
 
 from __future__ import annotations

@@ -12,7 +12,9 @@ its text at its matches: a match starts after the pieces and matches before it.
 split, and only matches, not texts, are shuffled. The interval join looks from each part to the nearest
 part of either side in its text, in one sorted pass, so that many parts never meet in pairs.
 
-A null text counts as empty; every row gives a row, repeated ids too; no rows give none.
+A null text counts as empty; every row gives a row, repeated ids too; no rows give none. Spans that start at one place come
+in the order of the kinds. Texts are searched whole; the spans of one text are sorted in one task, which may spill, and joined
+to one value. Only id and text are read, whatever other columns are called.
 """
 
 from __future__ import annotations

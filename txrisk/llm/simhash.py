@@ -19,7 +19,8 @@ Exact pairs at scale:
    Rounds are written out, nothing is gathered on the driver.
 
 Nulls: a null text has no words; null ids take part, and are a component's id only if it has no other. Repeated
-rows are equal. No rows give none. Only id and text are read, whatever other columns are called.
+rows are equal. No rows give none. Only id and text are read, whatever other columns are called. A very long text is read whole: its
+worker holds its words and 8 bytes a shingle, whose bits are counted in blocks, and passes on its fingerprint only.
 """
 
 from __future__ import annotations
