@@ -32,13 +32,16 @@ def staged(rows: DataFrame, purpose: str) -> DataFrame:
     return staged_at(rows, purpose)[0]
 
 
-def staged_at(rows: DataFrame, purpose: str) -> tuple[DataFrame, str]:
-    """The staged rows and their folder, to be given to ``discard`` when no later step reads them."""
+def staged_at(rows: DataFrame, purpose: str, **options: str) -> tuple[DataFrame, str]:
+    """The staged rows and their folder, to be given to ``discard`` when no later step reads them.
+
+    ``options`` are the writer's, with ``__`` for the dots in their names.
+    """
     path = work_dir(rows.sparkSession, purpose)
     held = _STAGED.get()
     if held is not None:
         held.append(path)
-    rows.write.parquet(path)
+    rows.write.options(**{name.replace("__", "."): value for name, value in options.items()}).parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path), path
 
 

@@ -65,6 +65,9 @@ PLACE_BITS = 29
 # Words per packed bucket of pairs, and the most buckets.
 BUCKET = 1 << 22
 MOST_BUCKETS = 1 << 16
+# Pairs of a row, and how relations are written: Spark reads up to 4096 rows of a row group at once, however long they are.
+PAIRS_OF_ROW = 1 << 12
+WRITTEN = {"parquet__block__size": str(1 << 24)}
 WORDS = "block long, code int, lang string, word string, n long, data binary"
 PAIRS = "block long, bucket int, base long, lefts array<long>, rights array<long>, ns array<long>, data binary"
 PAIR_FIELDS = [
@@ -196,7 +199,7 @@ def bucket_of(left: np.ndarray, right: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def merge_joined(block: int, codes: np.ndarray, ids: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """A row per bucket of the different pairs of neighbours, with counts; their numbers in the block go on from row to row."""
+    """The different pairs of neighbours with counts, in rows of one bucket each; their numbers in the block go on from row to row."""
     first, second = codes[:-1].astype(np.int64), codes[1:]
     adjacent = (first > 0) & (second > 0)
     pairs, counts = np.unique(first[adjacent] * (len(ids) + 1) + second[adjacent], return_counts=True)
@@ -204,7 +207,8 @@ def merge_joined(block: int, codes: np.ndarray, ids: np.ndarray, buckets: int) -
     bucket = bucket_of(left, right, buckets)
     order = np.argsort(bucket, kind="stable")
     left, right, counts, bucket = left[order], right[order], counts[order].astype(np.int64), bucket[order]
-    starts = np.nonzero(np.diff(bucket, prepend=np.uint64(buckets)))[0]
+    cut = np.arange(len(bucket)) % PAIRS_OF_ROW == 0
+    starts = np.nonzero(cut | (np.diff(bucket, prepend=np.uint64(buckets)) != 0))[0]
     ends = pa.array(np.append(starts, len(bucket)), pa.int32())
     return pa.RecordBatch.from_arrays([
         pa.array(np.full(len(starts), block)), pa.array(bucket[starts].astype(np.int32)), pa.array(starts),
@@ -251,7 +255,7 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
         F.col(text_col).cast("string").cast("binary").alias("text"),
     )
     spark = docs.sparkSession
-    relation, old = staged_at(rows.mapInArrow(read_blocks, WORDS), "phrases-1")
+    relation, old = staged_at(rows.mapInArrow(read_blocks, WORDS), "phrases-1", **WRITTEN)
     words = relation.filter("code > 0")
     totals = staged(words.groupBy("lang").agg(F.sum("n").alias("n")), "phrases-totals")
     total = totals.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).collect()[0].n
@@ -273,7 +277,7 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
         grown, folder = staged_at(
             relation.select("block", "data").groupBy("block").cogroup(known.groupBy("of_block"))
             .applyInArrow(grow(length == 2, length == longest, buckets), PAIRS),
-            f"phrases-{length}",
+            f"phrases-{length}", **WRITTEN,
         )
         # The relation it came from has been read for the last time.
         discard(spark, old)
