@@ -23,13 +23,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def staged(rows: DataFrame, purpose: str) -> DataFrame:
+def staged(rows: DataFrame, purpose: str, **options: str) -> DataFrame:
     """The rows, written once below the shared folder and read back.
 
     Cuts lineage, gives each row one value of what is not repeatable (row numbers), and outlives
     any executor.
     """
-    return staged_at(rows, purpose)[0]
+    return staged_at(rows, purpose, **options)[0]
 
 
 def staged_at(rows: DataFrame, purpose: str, **options: str) -> tuple[DataFrame, str]:

@@ -67,7 +67,7 @@ BUCKET = 1 << 22
 MOST_BUCKETS = 1 << 16
 # Pairs of a row, and how relations are written: Spark reads up to 4096 rows of a row group at once, however long they are.
 PAIRS_OF_ROW = 1 << 12
-WRITTEN = {"parquet__block__size": str(1 << 24)}
+WRITTEN = {"compression": "zstd", "parquet__block__size": str(1 << 24)}
 WORDS = "block long, code int, lang string, word string, n long, data binary"
 PAIRS = "block long, bucket int, base long, lefts array<long>, rights array<long>, ns array<long>, data binary"
 PAIR_FIELDS = [
@@ -260,12 +260,15 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     totals = staged(words.groupBy("lang").agg(F.sum("n").alias("n")), "phrases-totals")
     total = totals.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).collect()[0].n
     buckets = min(MOST_BUCKETS, max(partitions(spark), -(-total // BUCKET)))
+    # A place holds block and number, which are not shuffled beside it.
+    placed = words.select("lang", "word", "n", place(F.col("code")).alias("place"))
     members = staged(
-        counted(words.withColumn("place", place(F.col("code"))), ["lang", "word"], least).select(
-            "block", F.col("code").cast("long").alias("left"), F.lit(0).cast("long").alias("right"), "gid", "own", "a",
+        counted(placed, ["lang", "word"], least).select(
+            F.shiftright("place", PLACE_BITS).alias("block"),
+            F.col("place").bitwiseAND((1 << PLACE_BITS) - 1).alias("left"), F.lit(0).cast("long").alias("right"), "gid", "own", "a",
             # One member says what the group is.
             *(F.when(F.col("own"), F.col(c)).alias(c) for c in ("lang", "word")),
-        ), "phrases-members-1",
+        ), "phrases-members-1", **WRITTEN,
     )
     none = F.array().cast("array<long>")
     found = [members.filter("own").select(
@@ -292,7 +295,7 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
         )
         members = staged(
             counted(pairs, ["bucket", "left", "right"], least).select("block", "left", "right", "gid", "own", "a"),
-            f"phrases-members-{length}",
+            f"phrases-members-{length}", **WRITTEN,
         )
         found.append(staged(spelled(members.filter("own"), found[-1]), f"phrases-frequent-{length}"))
     discard(spark, old)
