@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from llm_helpers import awkward
@@ -122,3 +123,23 @@ def test_nothing_frequent_and_no_rows(spark):
     docs = table(spark, [("x", "a b c"), (None, None)])
     assert collocations(docs).count() == 0
     assert collocations(docs.limit(0)).count() == 0
+
+
+def test_pairs_come_in_short_rows_of_one_bucket():
+    """Rows bound what is read at once; numbers go on over them, as they are places of groups."""
+    random_codes = np.random.default_rng(5).integers(0, 301, 200_000).astype(np.int32)
+    ids = np.sort(np.random.default_rng(6).choice(1 << 50, 300, replace=False))
+    rows = phrases.merge_joined(9, random_codes, ids, 3).to_pylist()
+    assert max(len(r["lefts"]) for r in rows) == phrases.PAIRS_OF_ROW
+    assert {len(r[c]) - len(r["lefts"]) for r in rows for c in ("rights", "ns")} == {0}
+    assert {r["bucket"] for r in rows} == {0, 1, 2} and len(rows) > 3
+    found, at = Counter(), 0
+    for r in rows:
+        assert (r["block"], r["base"]) == (9, at)
+        at += len(r["lefts"])
+        lefts, rights = np.array(r["lefts"]), np.array(r["rights"])
+        assert (phrases.bucket_of(lefts, rights, 3) == r["bucket"]).all()
+        found.update(dict(zip(zip(r["lefts"], r["rights"], strict=True), r["ns"], strict=True)))
+    codes = random_codes.tolist()
+    wanted = Counter((ids[a - 1], ids[b - 1]) for a, b in zip(codes, codes[1:], strict=False) if a and b)
+    assert at == len(found) and found == wanted
