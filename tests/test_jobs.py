@@ -209,6 +209,12 @@ def test_fit_rows_do_not_depend_on_layout(spark, transactions):
     assert 400 < train.placed(rows, 600).count() < 800
 
 
+def test_tasks_of_a_fit_send_no_metrics_of_the_plan_behind_it(spark, transactions):
+    rows = train.placed(train.sides(train.stage(transactions))[0])
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Scan ExistingRDD" in plan and "Exchange" not in plan and "FileScan" not in plan
+
+
 def test_training_job_from_json(spark, transactions, folder):
     write_json(transactions, folder + "/json")
     for infer in (False, True):

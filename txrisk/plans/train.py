@@ -20,7 +20,7 @@ from txrisk.operators.classes import with_class_weights, with_exact_split, with_
 from txrisk.operators.features import fit_category_indexers
 from txrisk.operators.metrics import classification_metrics, score_auroc
 from txrisk.operators.predictions import with_log_amount
-from txrisk.session import get_spark, size_shuffles, work_dir
+from txrisk.session import get_spark, shared_dir, size_shuffles, work_dir
 from txrisk.sources import folders
 from txrisk.sources.files import read_json
 
@@ -90,12 +90,16 @@ def placed(rows: DataFrame, most: int = MAX_FIT_ROWS) -> DataFrame:
 
     Subsampling and the choice of bins go by part and place, so the same rows give the same model
     from any files and on any number of cores. Beyond ``most`` rows, a share is drawn by the hash of the row.
+
+    They are checkpointed, parts and order as they are: each task of each tree level would otherwise send back the
+    metrics of the whole plan behind them, which is most of what a fit sends to the driver.
     """
+    shared_dir(rows.sparkSession)
     total = rows.count()
     if total > most:
         rows = rows.filter(key_draw(F.struct(*PLACED_BY), V.SPLIT_SEED + 1) < most / total)
     parts = max(LEAST_PARTS, -(-min(total, most) // ROWS_PER_PART))
-    return rows.repartition(parts, *PLACED_BY).sortWithinPartitions(*PLACED_BY)
+    return rows.repartition(parts, *PLACED_BY).sortWithinPartitions(*PLACED_BY).checkpoint()
 
 
 def train(labelled: DataFrame, max_iter: int = V.MAX_ITER, draw: Column | None = None,
