@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_helpers import awkward
@@ -143,3 +144,28 @@ def test_pairs_come_in_short_rows_of_one_bucket():
     codes = random_codes.tolist()
     wanted = Counter((ids[a - 1], ids[b - 1]) for a, b in zip(codes, codes[1:], strict=False) if a and b)
     assert at == len(found) and found == wanted
+
+
+def test_pairs_are_counted_from_packed_rows():
+    """Blocks in any order, a pair in many blocks: the smallest place is the id; packed, a pair takes far less than its 24 bytes."""
+    ids = np.sort(np.random.default_rng(6).choice(1 << 40, 300, replace=False))
+    wanted, places, members = Counter(), {}, {}
+    rows = []
+    for block in (9, 2, 5):
+        codes = np.random.default_rng(block).integers(0, 301, 30_000).astype(np.int32)
+        batch = phrases.merge_joined(block, codes, ids, 1)
+        assert {len(batch.column("lefts")[0].as_py())} == {phrases.PAIRS_OF_ROW}
+        at = 0
+        for r in batch.to_pylist():
+            for pair, n in zip(zip(r["lefts"], r["rights"], strict=True), r["ns"], strict=True):
+                wanted[pair] += n
+                place = (block << phrases.PLACE_BITS) + at
+                places[pair] = min(place, places.get(pair, place))
+                members.setdefault(pair, []).append((block, place))
+                at += 1
+        rows.append(phrases.packed_rows(batch))
+    assert sum(len(d) for b in rows for d in b.column("data").to_pylist()) < 12 * sum(map(len, members.values()))
+    found = phrases.count_pairs(pa.Table.from_batches(rows)).to_pylist()
+    assert sorted(map(tuple, (r.values() for r in found))) == sorted(
+        (block, *pair, places[pair], place == places[pair], a) for pair, a in wanted.items() for block, place in members[pair]
+    )

@@ -15,7 +15,8 @@ occurs ``a`` times, whose first words occur ``l`` times and the rest ``r`` times
 
 A longer phrase is so only ever counted where both its parts are frequent, which is exact, as no phrase occurs more often than
 its parts. Ids name groups, they are no hashes, so equal means equal. A block holds about ``BLOCK`` words whatever the input's size, and
-never more than that and one document; counting sorts rows and can spill; nothing else is held whole, and the driver holds
+never more than that and one document; counting words sorts rows and can spill, pairs are counted per bucket, on average of at most
+``BUCKET`` words; nothing else is held whole, and the driver holds
 nothing but the number of words. Counts of first and last parts are carried along as phrases grow, and scores are exact (38 digits).
 
 Phrases that lie in a longer one with ``share`` percent of their count or more are dropped; one word longer is enough to look at, as
@@ -63,17 +64,15 @@ BLANK = re.compile(rb"[ \t]")
 BLOCK_BITS = 11
 PLACE_BITS = 29
 # Words per packed bucket of pairs, and the most buckets.
-BUCKET = 1 << 22
+BUCKET = 1 << 20
 MOST_BUCKETS = 1 << 16
 # Pairs of a row, and how relations are written: Spark reads up to 4096 rows of a row group at once, however long they are.
 PAIRS_OF_ROW = 1 << 12
 WRITTEN = {"compression": "zstd", "parquet__block__size": str(1 << 24)}
 WORDS = "block long, code int, lang string, word string, n long, data binary"
-PAIRS = "block long, bucket int, base long, lefts array<long>, rights array<long>, ns array<long>, data binary"
-PAIR_FIELDS = [
-    ("block", pa.int64()), ("bucket", pa.int32()), ("base", pa.int64()), ("lefts", pa.list_(pa.int64())),
-    ("rights", pa.list_(pa.int64())), ("ns", pa.list_(pa.int64())), ("data", pa.binary()),
-]
+PAIRS = "block long, bucket int, base long, data binary"
+PAIR_FIELDS = [("block", pa.int64()), ("bucket", pa.int32()), ("base", pa.int64()), ("data", pa.binary())]
+MEMBERS = "block long, left long, right long, gid long, own boolean, a long"
 
 
 class Numbers(dict):
@@ -212,8 +211,60 @@ def merge_joined(block: int, codes: np.ndarray, ids: np.ndarray, buckets: int) -
     ends = pa.array(np.append(starts, len(bucket)), pa.int32())
     return pa.RecordBatch.from_arrays([
         pa.array(np.full(len(starts), block)), pa.array(bucket[starts].astype(np.int32)), pa.array(starts),
-        *(pa.ListArray.from_arrays(ends, pa.array(c)) for c in (left, right, counts)), pa.nulls(len(starts), pa.binary()),
-    ], names=[name for name, _ in PAIR_FIELDS])
+        *(pa.ListArray.from_arrays(ends, pa.array(c)) for c in (left, right, counts)),
+    ], names=["block", "bucket", "base", "lefts", "rights", "ns"])
+
+
+def packed_rows(pairs: pa.RecordBatch) -> pa.RecordBatch:
+    """The rows of ``merge_joined`` with their lists as one value each."""
+    ends = pairs.column("lefts").offsets.to_numpy()
+    columns = [pairs.column(c).values.to_numpy() for c in ("lefts", "rights", "ns")]
+    data = [packed_pairs(*(c[start:end] for c in columns)) for start, end in zip(ends, ends[1:], strict=False)]
+    fields = [pairs.column(c) for c in ("block", "bucket", "base")]
+    return pa.RecordBatch.from_arrays([*fields, pa.array(data, pa.binary())], schema=pa.schema(PAIR_FIELDS))
+
+
+def packed_pairs(left: np.ndarray, right: np.ndarray, counts: np.ndarray) -> bytes:
+    """Pairs and their counts; the left ids rise and are kept as steps. Compressed byte by byte of the numbers."""
+    columns = np.stack([np.diff(left, prepend=0), right, counts]).astype("<i8")
+    body = columns.reshape(-1, 1).view(np.uint8).T.tobytes()
+    return np.array([len(left)], "<i8").tobytes() + pa.compress(body, "zstd", asbytes=True)
+
+
+def unpacked_pairs(data: bytes) -> np.ndarray:
+    """The left ids, right ids and counts as three rows."""
+    n = int(np.frombuffer(data, "<i8", 1)[0])
+    body = np.frombuffer(pa.decompress(data[8:], 24 * n, "zstd"), np.uint8)
+    columns = np.ascontiguousarray(body.reshape(8, 3 * n).T).view("<i8").reshape(3, n)
+    columns[0] = np.cumsum(columns[0])
+    return columns
+
+
+def count_pairs(bucket: pa.Table) -> pa.Table:
+    """A bucket's pairs, a row per block that has them, with the pair's count ``a`` and id, as ``counted`` gives words."""
+    bucket = bucket.sort_by([("block", "ascending"), ("base", "ascending")])
+    parts = [unpacked_pairs(data) for data in bucket.column("data").to_pylist()]
+    sizes = [part.shape[1] for part in parts]
+    left, right, n = np.concatenate(parts, axis=1)
+    del parts
+    block, base = (np.repeat(bucket.column(c).to_numpy(), sizes) for c in ("block", "base"))
+    place = (block << PLACE_BITS) + base + np.arange(len(n)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    del base
+    # Places rise and the sort is stable: the first of equal pairs has the smallest.
+    order = np.lexsort((right, left))
+    own = np.ones(len(order), bool)
+    own[1:] = (np.diff(left[order]) != 0) | (np.diff(right[order]) != 0)
+    starts = np.nonzero(own)[0]
+    held = np.diff(np.append(starts, len(order)))
+    counts = np.repeat(np.add.reduceat(n[order], starts), held)
+    members = pa.table({
+        "block": block[order], "left": left[order], "right": right[order], "gid": np.repeat(place[order[starts]], held), "own": own,
+        "a": counts,
+    })
+    del left, right, n, block, place, order, own, counts
+    # Or the pool keeps the largest bucket's room beside what comes next in this worker.
+    pa.default_memory_pool().release_unused()
+    return pa.Table.from_batches(members.to_batches(ROWS))
 
 
 def grow(words: bool, last: bool, buckets: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -226,7 +277,7 @@ def grow(words: bool, last: bool, buckets: int) -> Callable[[pa.Table, pa.Table]
             if not last:
                 row = {"block": block, "bucket": -1, "data": packed(codes, ids)}
                 found.append(pa.RecordBatch.from_pylist([row], pa.schema(PAIR_FIELDS)))
-            found.append(merge_joined(block, codes, ids, buckets))
+            found.append(packed_rows(merge_joined(block, codes, ids, buckets)))
         return pa.Table.from_batches(found)
     return run
 
@@ -286,15 +337,10 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
         discard(spark, old)
         old = folder
         relation = grown.filter("bucket = -1")
-        # Pairs are brought together by bucket, packed, and unpacked there: counting needs no further shuffle.
-        pairs = grown.filter("bucket >= 0").drop("data").repartition(buckets, "bucket").select(
-            "block", "bucket", "base", F.posexplode(F.arrays_zip("lefts", "rights", "ns"))
-        ).select(
-            "block", "bucket", place(F.col("base") + F.col("pos")).alias("place"),
-            F.col("col.lefts").alias("left"), F.col("col.rights").alias("right"), F.col("col.ns").alias("n"),
-        )
+        # Pairs are brought together by bucket, packed, and unpacked and counted there.
+        pairs = grown.filter("bucket >= 0").repartition(buckets, "bucket")
         members = staged(
-            counted(pairs, ["bucket", "left", "right"], least).select("block", "left", "right", "gid", "own", "a"),
+            pairs.groupBy("bucket").applyInArrow(count_pairs, MEMBERS).filter(F.col("a") >= least),
             f"phrases-members-{length}", **WRITTEN,
         )
         found.append(staged(spelled(members.filter("own"), found[-1]), f"phrases-frequent-{length}"))
