@@ -1,5 +1,7 @@
+import glob
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -8,6 +10,7 @@ import pytest
 
 from llm_helpers import awkward
 from txrisk.llm import phrases
+from txrisk.llm.common import SHUFFLE_CLEANUP, shuffles_deleted, staged
 from txrisk.llm.phrases import collocations
 
 DOCS = "doc_id long, text string, lang string, block long, code int, n long, gid long, phrase string"
@@ -169,3 +172,56 @@ def test_pairs_are_counted_from_packed_rows():
     assert sorted(map(tuple, (r.values() for r in found))) == sorted(
         (block, *pair, places[pair], place == places[pair], a) for pair, a in wanted.items() for block, place in members[pair]
     )
+
+
+def test_members_are_packed_by_block(monkeypatch):
+    """A few rows go to each block, not one for each of its members."""
+    monkeypatch.setattr(phrases, "HELD", 7000)
+    draw, n = np.random.default_rng(3), 20_000
+    ids = np.sort(draw.choice(1 << 40, 500, replace=False))
+    pairs = draw.permutation(5 * 500 * 500)[:n]
+    columns = {"block": pairs % 5 << 11, "left": ids[pairs // 5 % 500], "right": ids[pairs // 2500], "gid": draw.choice(ids, n)}
+    rows = [r for b in phrases.packed_members(iter(pa.table(columns).to_batches(3000))) for r in b.to_pylist()]
+    assert len(rows) == 5 * 3 and sum(len(r["data"]) for r in rows) < 16 * n
+    found = [(r["of_block"], *m) for r in rows for m in zip(*phrases.unpacked_pairs(r["data"]).tolist(), strict=True)]
+    assert sorted(found) == sorted(zip(*(c.tolist() for c in columns.values()), strict=True))
+    assert list(phrases.packed_members(iter([]))) == []
+
+
+def test_words_are_deleted_before_phrases_grow(spark, monkeypatch):
+    """A relation that grows has its occurrences alone, and the shuffles behind what is staged are deleted with each write."""
+    steps, real = [], phrases.staged_at
+
+    def watched(rows, purpose, **options):
+        steps.append((purpose, rows.columns, spark.conf.get(SHUFFLE_CLEANUP, None)))
+        found = real(rows, purpose, **options)
+        steps.append(found[1])
+        return found
+
+    def grow(*args, real=phrases.grow):
+        steps.append(glob.glob(steps[1]))
+        return real(*args)
+
+    monkeypatch.setattr(phrases, "staged_at", watched)
+    monkeypatch.setattr(phrases, "grow", grow)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    rows = drawn(4, 30)
+    assert sorted(map(tuple, collocations(table(spark, rows), least=3).collect())) == plain(rows, 3)
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == before
+    assert [s[:2] for s in steps if isinstance(s, tuple) and s[0] == "phrases-1"] == [("phrases-1", ["block", "data"])]
+    assert {s[2] for s in steps if isinstance(s, tuple)} == {"true"}
+    assert [s for s in steps if isinstance(s, list)] == [[]] * 4
+
+
+def test_shuffles_are_deleted_with_their_write(spark):
+    folders = [str(f) for f in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
+
+    def files():
+        return {f for folder in folders for f in glob.glob(f"{folder}/*/shuffle_*")}
+
+    before, until = files(), time.time() + 30
+    with shuffles_deleted(spark):
+        assert staged(spark.range(1000).repartition(7, "id"), "test").count() == 1000
+        while files() - before and time.time() < until:
+            time.sleep(0.1)
+    assert not files() - before

@@ -13,6 +13,8 @@ from txrisk.sources import folders
 
 # White space of all operators, as a Java and RE2 pattern: space and U+0009 to U+000D.
 SPACE = r"[\x20\x09-\x0D]"
+# Spark's setting by which a query's shuffles are deleted when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 # The folders staged within the innermost ``scratch``; None outside of any.
@@ -67,6 +69,20 @@ def scratch(spark: SparkSession) -> Iterator[list[str]]:
         discard(spark, path)
 
 
+@contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Within, the shuffles of a write are deleted as it ends, not whenever the driver's memory is next cleaned."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

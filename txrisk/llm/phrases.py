@@ -8,7 +8,7 @@ occurs ``a`` times, whose first words occur ``l`` times and the rest ``r`` times
 2. Group-count: counts are added up per word over all blocks, and words with ``least`` or more stay. All counts are combined per block
    before they are shuffled, so the commonest word is a row per block, not per occurrence. A group's id is the place of its
    first member, a block and a number there; it needs no join to get back to the members.
-3. Semi-join: each block gets the ids of its own frequent groups, drops all other occurrences, and persists what is left.
+3. Semi-join: each block gets the ids of its own frequent groups, packed, drops all other occurrences, and persists what is left.
 4. Merge-join: as a block's occurrences are sorted and lie together, those of equal piece and adjacent position are neighbours in its
    list; every two neighbours are an occurrence of a phrase one word longer, made of two ids that overlap in all but one word.
    The block persists its different pairs with their counts, packed by a hash of the pair, and 2 to 4 are repeated.
@@ -42,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from txrisk.llm.common import discard, partitions, staged, staged_at
+from txrisk.llm.common import discard, partitions, shuffles_deleted, staged, staged_at
 
 LEAST = 100
 LONGEST = 5
@@ -66,6 +66,8 @@ PLACE_BITS = 29
 # Words per packed bucket of pairs, and the most buckets.
 BUCKET = 1 << 20
 MOST_BUCKETS = 1 << 16
+# Members of frequent groups that a task sorts by block at a time.
+HELD = 1 << 19
 # Pairs of a row, and how relations are written: Spark reads up to 4096 rows of a row group at once, however long they are.
 PAIRS_OF_ROW = 1 << 12
 WRITTEN = {"compression": "zstd", "parquet__block__size": str(1 << 24)}
@@ -73,6 +75,7 @@ WORDS = "block long, code int, lang string, word string, n long, data binary"
 PAIRS = "block long, bucket int, base long, data binary"
 PAIR_FIELDS = [("block", pa.int64()), ("bucket", pa.int32()), ("base", pa.int64()), ("data", pa.binary())]
 MEMBERS = "block long, left long, right long, gid long, own boolean, a long"
+KNOWN = "of_block long, data binary"
 
 
 class Numbers(dict):
@@ -170,9 +173,9 @@ def read_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from block.rows(number)
 
 
-def semi_joined(codes: np.ndarray, ids: np.ndarray, frequent: pa.Table, words: bool) -> tuple[np.ndarray, np.ndarray]:
+def semi_joined(codes: np.ndarray, ids: np.ndarray, frequent: np.ndarray, words: bool) -> tuple[np.ndarray, np.ndarray]:
     """The relation of a block's frequent groups: words from the codes themselves, longer ones from pairs of neighbours."""
-    left, right, gids = (frequent.column(c).to_numpy() for c in ("left", "right", "gid"))
+    left, right, gids = frequent
     if words:
         wanted, known = codes.astype(np.int64), left
     else:
@@ -224,15 +227,15 @@ def packed_rows(pairs: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*fields, pa.array(data, pa.binary())], schema=pa.schema(PAIR_FIELDS))
 
 
-def packed_pairs(left: np.ndarray, right: np.ndarray, counts: np.ndarray) -> bytes:
-    """Pairs and their counts; the left ids rise and are kept as steps. Compressed byte by byte of the numbers."""
-    columns = np.stack([np.diff(left, prepend=0), right, counts]).astype("<i8")
+def packed_pairs(left: np.ndarray, right: np.ndarray, numbers: np.ndarray) -> bytes:
+    """Pairs and their counts or ids; the left ids rise and are kept as steps. Compressed byte by byte of the numbers."""
+    columns = np.stack([np.diff(left, prepend=0), right, numbers]).astype("<i8")
     body = columns.reshape(-1, 1).view(np.uint8).T.tobytes()
     return np.array([len(left)], "<i8").tobytes() + pa.compress(body, "zstd", asbytes=True)
 
 
 def unpacked_pairs(data: bytes) -> np.ndarray:
-    """The left ids, right ids and counts as three rows."""
+    """The left ids, right ids and counts or ids as three rows."""
     n = int(np.frombuffer(data, "<i8", 1)[0])
     body = np.frombuffer(pa.decompress(data[8:], 24 * n, "zstd"), np.uint8)
     columns = np.ascontiguousarray(body.reshape(8, 3 * n).T).view("<i8").reshape(3, n)
@@ -267,13 +270,37 @@ def count_pairs(bucket: pa.Table) -> pa.Table:
     return pa.Table.from_batches(members.to_batches(ROWS))
 
 
+def packed_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members of frequent groups for the blocks that have them: a row per block for every ``HELD`` members of a task."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= HELD:
+            yield by_block(held)
+            held, n = [], 0
+    if n:
+        yield by_block(held)
+
+
+def by_block(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    block, left, right, gid = (np.concatenate([b.column(c).to_numpy() for b in held]) for c in ("block", "left", "right", "gid"))
+    order = np.lexsort((right, left, block))
+    block, left, right, gid = block[order], left[order], right[order], gid[order]
+    starts = np.nonzero(np.diff(block, prepend=-1))[0]
+    ends = np.append(starts[1:], len(block))
+    data = [packed_pairs(left[start:end], right[start:end], gid[start:end]) for start, end in zip(starts, ends, strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(block[starts]), pa.array(data, pa.binary())], names=["of_block", "data"])
+
+
 def grow(words: bool, last: bool, buckets: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """Per block: its relation of frequent groups, unless it is the last, and the counted pairs of neighbours in it."""
     def run(relation: pa.Table, frequent: pa.Table) -> pa.Table:
         found = [pa.RecordBatch.from_pylist([], pa.schema(PAIR_FIELDS))]
         if relation.num_rows and frequent.num_rows:
             block = relation.column("block")[0].as_py()
-            codes, ids = semi_joined(*unpacked(relation.column("data")[0].as_py()), frequent, words)
+            members = np.concatenate([unpacked_pairs(data) for data in frequent.column("data").to_pylist()], axis=1)
+            codes, ids = semi_joined(*unpacked(relation.column("data")[0].as_py()), members, words)
             if not last:
                 row = {"block": block, "bucket": -1, "data": packed(codes, ids)}
                 found.append(pa.RecordBatch.from_pylist([row], pa.schema(PAIR_FIELDS)))
@@ -305,9 +332,15 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
         F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"),
         F.col(text_col).cast("string").cast("binary").alias("text"),
     )
-    spark = docs.sparkSession
-    relation, old = staged_at(rows.mapInArrow(read_blocks, WORDS), "phrases-1", **WRITTEN)
-    words = relation.filter("code > 0")
+    with shuffles_deleted(docs.sparkSession):
+        return grown_phrases(rows, least, longest)
+
+
+def grown_phrases(rows: DataFrame, least: int, longest: int) -> tuple[list[DataFrame], DataFrame]:
+    """``frequent_phrases`` of rows of lang and text, null in neither of them but the text."""
+    spark = rows.sparkSession
+    read, both = staged_at(rows.mapInArrow(read_blocks, WORDS), "phrases-0", **WRITTEN)
+    words = read.filter("code > 0")
     totals = staged(words.groupBy("lang").agg(F.sum("n").alias("n")), "phrases-totals")
     total = totals.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).collect()[0].n
     buckets = min(MOST_BUCKETS, max(partitions(spark), -(-total // BUCKET)))
@@ -321,13 +354,16 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
             *(F.when(F.col("own"), F.col(c)).alias(c) for c in ("lang", "word")),
         ), "phrases-members-1", **WRITTEN,
     )
+    # The words have been read for the last time; without them, the first relation is half as large.
+    relation, old = staged_at(read.filter("code = 0").select("block", "data"), "phrases-1", **WRITTEN)
+    discard(spark, both)
     none = F.array().cast("array<long>")
     found = [members.filter("own").select(
         "gid", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "a", none.alias("firsts"), none.alias("rests")
     )]
-    relation = relation.filter("code = 0")
     for length in range(2, longest + 1):
-        known = members.select(F.col("block").alias("of_block"), "left", "right", "gid")
+        # Members are shuffled packed by block, not one by one.
+        known = members.select("block", "left", "right", "gid").mapInArrow(packed_members, KNOWN)
         grown, folder = staged_at(
             relation.select("block", "data").groupBy("block").cogroup(known.groupBy("of_block"))
             .applyInArrow(grow(length == 2, length == longest, buckets), PAIRS),
