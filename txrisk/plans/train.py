@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import argparse
+import math
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -24,11 +25,11 @@ from txrisk.session import get_spark, shared_dir, size_shuffles, work_dir
 from txrisk.sources import folders
 from txrisk.sources.files import read_json
 
-# Boosting passes over its rows once per tree level. It learns from at most so many, drawn by their hash.
-MAX_FIT_ROWS = 10_000_000
-# Parts the rows are dealt into for the fit: their number depends on that of the rows alone.
+# Parts the rows are dealt into for the fit: their number depends on that of the rows alone. Each task of each tree level
+# sends its metrics to the driver, so beyond so many parts their number and their rows grow alike, with the root of all rows.
 ROWS_PER_PART = 100_000
 LEAST_PARTS = 8
+EVEN_PARTS = 100
 
 # By the hash of the id row by row, by its order to the exact share, or by Spark's own draw.
 SPLITS = ("hash", "exact", "random")
@@ -85,26 +86,33 @@ def reject_counts(rejects: DataFrame) -> DataFrame:
     return rejects.groupBy("cause").agg(F.count(F.lit(1)).alias("count"))
 
 
-def placed(rows: DataFrame, most: int = MAX_FIT_ROWS) -> DataFrame:
-    """The rows to fit on, in parts and an order that follow from the rows alone.
+def part_count(rows: int) -> int:
+    """Parts for so many rows to fit on."""
+    even = -(-rows // ROWS_PER_PART)
+    return max(LEAST_PARTS, min(even, math.isqrt(even * EVEN_PARTS)))
+
+
+def placed(rows: DataFrame, most: int | None = None) -> DataFrame:
+    """The rows to fit on, all of them, in parts and an order that follow from the rows alone.
 
     Subsampling and the choice of bins go by part and place, so the same rows give the same model
-    from any files and on any number of cores. Beyond ``most`` rows, a share is drawn by the hash of the row.
+    from any files and on any number of cores. Only a caller who names ``most`` gets a share of so many, drawn by the hash
+    of the row; no query does.
 
     They are checkpointed, parts and order as they are: each task of each tree level would otherwise send back the
     metrics of the whole plan behind them, which is most of what a fit sends to the driver.
     """
     shared_dir(rows.sparkSession)
     total = rows.count()
-    if total > most:
+    if most is not None and total > most:
         rows = rows.filter(key_draw(F.struct(*PLACED_BY), V.SPLIT_SEED + 1) < most / total)
-    parts = max(LEAST_PARTS, -(-min(total, most) // ROWS_PER_PART))
-    return rows.repartition(parts, *PLACED_BY).sortWithinPartitions(*PLACED_BY).checkpoint()
+        total = most
+    return rows.repartition(part_count(total), *PLACED_BY).sortWithinPartitions(*PLACED_BY).checkpoint()
 
 
 def train(labelled: DataFrame, max_iter: int = V.MAX_ITER, draw: Column | None = None,
-          staging: str | None = None, max_fit_rows: int = MAX_FIT_ROWS, split: str = SPLITS[0], **params) -> Trained:
-    """Weights, split, category indices (from all rows) and the fitted classifier (from the train side)."""
+          staging: str | None = None, max_fit_rows: int | None = None, split: str = SPLITS[0], **params) -> Trained:
+    """Weights, split, category indices (from all rows) and the fitted classifier (from all of the train side)."""
     staged = stage(labelled, draw, staging, split)
     train_rows, test_rows, rejects = sides(staged)
     indexers = fit_category_indexers(staged)
@@ -145,7 +153,7 @@ def main() -> None:
     parser.add_argument("--max-depth", type=int, default=V.MAX_DEPTH)
     parser.add_argument("--step-size", type=float, default=V.STEP_SIZE)
     parser.add_argument("--subsampling-rate", type=float, default=V.SUBSAMPLING_RATE)
-    parser.add_argument("--max-fit-rows", type=int, default=MAX_FIT_ROWS, help="most rows to learn from")
+    parser.add_argument("--max-fit-rows", type=int, help="learn from a share of so many rows instead of all")
     parser.add_argument("--split", choices=SPLITS, default=SPLITS[0], help="how the held-out rows are chosen")
     parser.add_argument("--staging", help="folder for the prepared rows, overwritten by each run")
     options = parser.parse_args()
