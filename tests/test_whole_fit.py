@@ -48,6 +48,12 @@ def test_layout_is_checked_on_two_whole_fits(spark, orders, train_side, learned)
     assert (row.test_rows, row.changed) == (ORDERS - len(train_side), 0)
 
 
+def test_reloaded_model_is_of_the_whole_fit(spark, orders, train_side, learned):
+    rows = queries.gbt_reload_checks(spark, orders).collect()
+    assert learned == [train_side]
+    assert len(rows) == ORDERS - len(train_side) and all(r.same for r in rows)
+
+
 def test_parts_of_a_fit_grow_slower_than_a_large_table():
     assert [train.part_count(n) for n in (0, 1, 800_001, 7_200_000, 10_000_000)] == [8, 8, 9, 72, 100]
     assert [train.part_count(n) for n in (40_000_000, 1_000_000_000)] == [200, 1000]
