@@ -54,6 +54,12 @@ def test_reloaded_model_is_of_the_whole_fit(spark, orders, train_side, learned):
     assert len(rows) == ORDERS - len(train_side) and all(r.same for r in rows)
 
 
+def test_saved_model_scores_by_the_whole_fit(spark, orders, train_side, learned):
+    rows = queries.model_save_load_score(spark, orders).collect()
+    assert learned == [train_side]
+    assert not {r.transactionId for r in rows} & set(train_side) and len(rows) == ORDERS - len(train_side)
+
+
 def test_parts_of_a_fit_grow_slower_than_a_large_table():
     assert [train.part_count(n) for n in (0, 1, 800_001, 7_200_000, 10_000_000)] == [8, 8, 9, 72, 100]
     assert [train.part_count(n) for n in (40_000_000, 1_000_000_000)] == [200, 1000]
