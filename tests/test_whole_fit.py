@@ -60,6 +60,12 @@ def test_saved_model_scores_by_the_whole_fit(spark, orders, train_side, learned)
     assert not {r.transactionId for r in rows} & set(train_side) and len(rows) == ORDERS - len(train_side)
 
 
+def test_stream_scores_by_the_whole_fit(spark, orders, train_side, learned):
+    rows = queries.stream_gbt_score(spark, orders).collect()
+    assert learned == [train_side]
+    assert len({r.transactionId for r in rows}) == len(rows) == ORDERS
+
+
 def test_parts_of_a_fit_grow_slower_than_a_large_table():
     assert [train.part_count(n) for n in (0, 1, 800_001, 7_200_000, 10_000_000)] == [8, 8, 9, 72, 100]
     assert [train.part_count(n) for n in (40_000_000, 1_000_000_000)] == [200, 1000]
